@@ -104,3 +104,149 @@ lab AS (
 SELECT f.*, gm.mean_gap_s,
        CAST(CASE WHEN lab.user_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS label
 FROM f JOIN gm USING (user_id) LEFT JOIN lab USING (user_id)"""
+
+ORACLE["p08_rolling"] = f"""
+WITH {_E}
+SELECT event_id, user_id, ts,
+       count(*) OVER w AS n_7d,
+       COALESCE(CAST(sum(c) OVER w AS DOUBLE), 0.0) / 100.0 AS sum_7d
+FROM e
+WINDOW w AS (PARTITION BY user_id ORDER BY ts
+             RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW)"""
+
+ORACLE["p11_asof_last_view"] = """
+WITH p AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase'),
+     v AS (SELECT user_id, ts AS prev_ts, value AS prev_value, event_id AS prev_event_id
+           FROM events WHERE event_type = 'view')
+SELECT p.event_id, p.user_id, p.ts, p.value, v.prev_ts, v.prev_value, v.prev_event_id
+FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts > v.prev_ts"""
+
+_SESS = """
+l AS (SELECT event_id, user_id, ts, value,
+             lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+      FROM events),
+s AS (SELECT *, CASE WHEN prev IS NULL OR ts - prev > INTERVAL 30 MINUTE THEN 1 ELSE 0 END
+                AS is_start FROM l),
+n AS (SELECT *, sum(is_start) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                    ROWS UNBOUNDED PRECEDING) AS session_idx FROM s)"""
+
+ORACLE["p12_sessionize"] = f"""
+WITH {_SESS}
+SELECT event_id, user_id, ts, CAST(session_idx AS BIGINT) AS session_idx,
+       CAST(is_start AS INTEGER) AS is_start
+FROM n"""
+
+ORACLE["p12_sessions"] = f"""
+WITH {_SESS}
+SELECT user_id, CAST(session_idx AS BIGINT) AS session_idx,
+       min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
+       count(*) AS n_events,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS sum_value
+FROM n GROUP BY user_id, session_idx"""
+
+ORACLE["p13_enrich"] = f"""
+WITH {_E},
+u AS (SELECT user_id, count(*) AS n_events, CAST(sum(c) AS DOUBLE) / 100.0 AS sum_value
+      FROM e WHERE ts < {T} GROUP BY user_id)
+SELECT u.user_id, u.n_events, u.sum_value, c.c_mktsegment, c.c_nationkey, c.c_acctbal,
+       n.n_name, r.r_name
+FROM u
+LEFT JOIN customer c ON u.user_id = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+_KY = """x AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+                  CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y FROM events)"""
+
+ORACLE["p14_target_mean"] = f"""
+WITH {_KY}
+SELECT event_id, k, y,
+       CAST(sum(y) OVER (PARTITION BY k) - y AS DOUBLE)
+       / NULLIF(CAST(count(y) OVER (PARTITION BY k) - 1 AS DOUBLE), 0) AS te
+FROM x"""
+
+ORACLE["p15_clip_and_scale"] = """
+WITH b AS (SELECT quantile_disc(value, 0.01) AS lo, quantile_disc(value, 0.99) AS hi FROM events),
+x AS (SELECT event_id, least(greatest(value, b.lo), b.hi) AS v FROM events, b),
+xc AS (SELECT CAST(round(v * 100) AS BIGINT) AS c FROM x),
+s AS (SELECT CAST(sum(c) AS DOUBLE) / CAST(count(c) * 100 AS DOUBLE) AS mean,
+             sqrt(CAST(count(c) * sum(c * c) - sum(c) * sum(c) AS DOUBLE)
+                  / CAST(count(c) * (count(c) - 1) AS DOUBLE)) / 100.0 AS std
+      FROM xc)
+SELECT event_id, v AS value_clipped, (v - s.mean) / s.std AS value_z FROM x, s"""
+
+ORACLE["p16_hash_split"] = """
+SELECT DISTINCT user_id,
+       CAST(CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS INTEGER)
+       AS fold
+FROM events"""
+
+ORACLE["p17_top_k"] = """
+SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS rank
+FROM (SELECT user_id, event_id, value,
+             row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn
+      FROM events)
+WHERE rn <= 3"""
+
+ORACLE["p18_metrics"] = f"""
+WITH sc AS (
+  SELECT user_id, CAST(count(*) FILTER (WHERE event_type = 'purchase') + 1 AS DOUBLE)
+                  / CAST(count(*) + 2 AS DOUBLE) AS score
+  FROM events WHERE ts < {T} GROUP BY user_id),
+lab AS (SELECT DISTINCT user_id FROM events
+        WHERE ts >= {T} AND ts < {T_END} AND event_type = 'purchase'),
+j AS (SELECT sc.score, CASE WHEN lab.user_id IS NULL THEN 0 ELSE 1 END AS label
+      FROM sc LEFT JOIN lab USING (user_id)),
+r AS (SELECT label, rank() OVER (ORDER BY score) AS rk,
+             count(*) OVER (PARTITION BY score) AS ties FROM j),
+cnt AS (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label <> 1) AS n FROM j),
+au AS (SELECT CAST(sum(CASE WHEN label = 1 THEN 2 * rk + ties - 1 ELSE 0 END) - cnt.p * (cnt.p + 1)
+                   AS DOUBLE) / CAST(2 * cnt.p * cnt.n AS DOUBLE) AS auc
+       FROM r, cnt GROUP BY cnt.p, cnt.n),
+m AS (SELECT count(*) FILTER (WHERE label = 1) AS n_pos,
+             count(*) FILTER (WHERE label <> 1) AS n_neg,
+             count(*) FILTER (WHERE score >= 0.2 AND label = 1) AS tp,
+             count(*) FILTER (WHERE score >= 0.2 AND label <> 1) AS fp,
+             count(*) FILTER (WHERE score < 0.2 AND label = 1) AS fn,
+             round(avg(-(label * ln(score) + (1 - label) * ln(1.0 - score))), 9) AS logloss
+      FROM j)
+SELECT n_pos, n_neg,
+       CAST(tp AS DOUBLE) / NULLIF(CAST(tp + fp AS DOUBLE), 0) AS precision,
+       CAST(tp AS DOUBLE) / NULLIF(CAST(tp + fn AS DOUBLE), 0) AS recall,
+       logloss, au.auc
+FROM m, au"""
+
+ORACLE["p19_leaderboard"] = """
+WITH t AS (SELECT user_id, max(value) AS best_score, count(*) AS n_submissions
+           FROM events GROUP BY user_id)
+SELECT user_id, best_score, n_submissions,
+       CAST(rank() OVER (ORDER BY best_score DESC) AS INTEGER) AS rank,
+       count(*) OVER () AS n_teams,
+       CAST(rank() OVER (ORDER BY best_score DESC) AS DOUBLE)
+       / CAST(count(*) OVER () AS DOUBLE) AS rank_frac
+FROM t"""
+
+
+def _report(kind: str) -> str:
+    return f"""
+WITH {_E}
+SELECT event_type, day,
+       CAST(GROUPING(event_type) AS INTEGER) AS g_event_type,
+       CAST(GROUPING(day) AS INTEGER) AS g_day,
+       count(*) AS n_events, CAST(sum(c) AS DOUBLE) / 100.0 AS sum_value
+FROM e GROUP BY {kind} (event_type, day)"""
+
+
+ORACLE["p20_report_cube"] = _report("CUBE")
+ORACLE["p20_report_rollup"] = _report("ROLLUP")
+
+ORACLE["p21_cohort_diff"] = """
+WITH a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'
+           AND ts >= TIMESTAMP '2024-01-01 00:00:00' AND ts < TIMESTAMP '2024-01-03 00:00:00'),
+     b AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'
+           AND ts >= TIMESTAMP '2024-01-28 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00')
+SELECT user_id, 'lost' AS status FROM (SELECT user_id FROM a EXCEPT SELECT user_id FROM b)
+UNION ALL
+SELECT user_id, 'kept' AS status FROM (SELECT user_id FROM a INTERSECT SELECT user_id FROM b)
+UNION ALL
+SELECT user_id, 'new' AS status FROM (SELECT user_id FROM b EXCEPT SELECT user_id FROM a)"""
