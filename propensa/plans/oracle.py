@@ -250,3 +250,46 @@ UNION ALL
 SELECT user_id, 'kept' AS status FROM (SELECT user_id FROM a INTERSECT SELECT user_id FROM b)
 UNION ALL
 SELECT user_id, 'new' AS status FROM (SELECT user_id FROM b EXCEPT SELECT user_id FROM a)"""
+
+_WM = "wm AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS wm FROM events)"
+
+_HOURLY = f"""
+WITH {_E},
+w AS (SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n_events,
+             CAST(sum(c) AS DOUBLE) / 100.0 AS sum_value
+      FROM e GROUP BY 1, 2)"""
+
+ORACLE["p23_hourly_counts_batch"] = _HOURLY + """
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n_events, sum_value
+FROM w"""
+
+# append mode emits the windows the final watermark has passed
+ORACLE["p23_hourly_counts_stream"] = _HOURLY + f""", {_WM}
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n_events, sum_value
+FROM w, wm WHERE window_start + INTERVAL 1 HOUR <= wm.wm"""
+
+ORACLE["p24_stream_sessions"] = f"""
+WITH {_SESS},
+sess AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
+                count(*) AS n_events,
+                CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS sum_value
+         FROM n GROUP BY user_id, session_idx),
+{_WM}
+SELECT user_id, session_start, session_end, n_events, sum_value
+FROM sess, wm WHERE session_end <= wm.wm"""
+
+ORACLE["p25_stream_dedup"] = """
+SELECT event_id, ts, user_id, event_type, value
+FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1"""
+
+ORACLE["p26_partitioned_features"] = f"""
+WITH {_E}
+SELECT user_id, day, count(*) AS n_events, CAST(sum(c) AS DOUBLE) / 100.0 AS sum_value
+FROM e GROUP BY user_id, day"""
+
+ORACLE["p26_submission_csv"] = f"""
+SELECT user_id, CAST(count(*) FILTER (WHERE event_type = 'purchase') + 1 AS DOUBLE)
+                / CAST(count(*) + 2 AS DOUBLE) AS score
+FROM events WHERE ts < {T} GROUP BY user_id
+HAVING CAST(count(*) FILTER (WHERE event_type = 'purchase') + 1 AS DOUBLE)
+       / CAST(count(*) + 2 AS DOUBLE) >= 0.2"""

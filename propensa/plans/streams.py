@@ -1 +1,73 @@
-"""Streaming queries (registered later)."""
+"""Streaming (P23-P25) and sink (P26) queries.
+
+Each streaming query drains the fixture's event file through a stream into a
+fresh folder under the shared checkpoint folder and returns the sink read
+back as a table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from propensa import defaults
+from propensa.functions import cents
+from propensa.plans.batch import baseline_scored
+from propensa.plans.registry import register
+from propensa.session import shared_dir
+from propensa.sources import events, write_csv, write_partitioned
+from propensa.streaming import (
+    event_stream, hourly_counts, run_available_now, stream_dedup, stream_sessions,
+)
+
+
+def _drain(spark: SparkSession, sf_dir: str, build, name: str) -> DataFrame:
+    base = shared_dir(spark, name)
+    out = build(event_stream(spark, sf_dir, glob="events.parquet"))
+    run_available_now(out, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("p23_hourly_counts_stream")
+def q_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drain(spark, sf_dir, hourly_counts, "hourly")
+
+
+@register("p23_hourly_counts_batch")
+def q_hourly_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = events(spark, sf_dir)
+    agg = (ev.groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
+             .agg(F.count(F.lit(1)).alias("n_events"), F.sum(cents("value")).alias("_sc")))
+    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      "event_type", "n_events",
+                      (F.col("_sc").cast("double") / 100.0).alias("sum_value"))
+
+
+@register("p24_stream_sessions")
+def q_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drain(spark, sf_dir, stream_sessions, "sessions")
+
+
+@register("p25_stream_dedup")
+def q_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drain(spark, sf_dir, lambda s: stream_dedup(s).drop("props"), "dedup")
+
+
+@register("p26_partitioned_features")
+def q_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = (events(spark, sf_dir)
+             .groupBy("user_id", F.to_date("ts").alias("day"))
+             .agg(F.count(F.lit(1)).alias("n_events"),
+                  (F.sum(cents("value")).cast("double") / 100.0).alias("sum_value")))
+    path = write_partitioned(daily, shared_dir(spark, "daily_features"), "day")
+    return spark.read.parquet(path).select("user_id", "day", "n_events", "sum_value")
+
+
+@register("p26_submission_csv")
+def q_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picked = (baseline_scored(spark, sf_dir)
+              .filter(F.col("score") >= F.lit(defaults.THRESHOLD))
+              .select("user_id", "score"))
+    path = write_csv(picked, shared_dir(spark, "submission"))
+    return (spark.read.option("header", True)
+            .schema("user_id bigint, score double").csv(path))
