@@ -48,10 +48,13 @@ def prefix_before(df: DataFrame, order: str, sums: Sequence[str],
     if b > 1:
         qs = df.stat.approxQuantile(order, [i / b for i in range(1, b)], rel_err)
         bounds = sorted({float(x) for x in qs})
-    splits = [float("-inf")] + bounds + [float("inf")]
-    tagged = Bucketizer(splits=splits, inputCol=order, outputCol="_bk",
-                        handleInvalid="keep").transform(
-        df.withColumn(order, F.col(order).cast("double")))
+    df = df.withColumn(order, F.col(order).cast("double"))
+    if bounds:
+        splits = [float("-inf")] + bounds + [float("inf")]
+        tagged = Bucketizer(splits=splits, inputCol=order, outputCol="_bk",
+                            handleInvalid="keep").transform(df)
+    else:
+        tagged = df.withColumn("_bk", F.lit(0.0))
     w = (Window.partitionBy("_bk").orderBy(order)
          .rowsBetween(Window.unboundedPreceding, -1))
     inner = tagged.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_in_{c}")

@@ -67,7 +67,9 @@ def stream_sessions(stream: DataFrame, gap: str = f"{defaults.SESSION_GAP_MINUTE
 def stream_dedup(stream: DataFrame, key: str = "event_id",
                  watermark: str = "1 hour") -> DataFrame:
     """Drop repeats of ``key`` seen within the watermark; rows older than
-    the watermark are dropped as late.  State is one row per live key."""
+    the watermark are dropped as late.  As for every stateful operator since
+    Spark 3.4, "late" is judged against the watermark of the previous
+    micro-batch.  State is one row per live key."""
     out = stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark([key])
     return out.withColumn("ts", _ntz(F.col("ts")))
 
