@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from propensa import defaults
 from propensa.functions import cents, exact_mean, exact_std, fold_of
 from propensa.operators.joins import bounded_broadcast
+from propensa.session import materialize
 
 
 def target_mean(df: DataFrame, cat: str, y: str, out: str = "te",
@@ -16,12 +17,14 @@ def target_mean(df: DataFrame, cat: str, y: str, out: str = "te",
 
     Null for the only row of its category (no other rows to learn from).
     Per-category sums come from a partial aggregate, so a hot category is
-    combined map-side; the small stats table is joined back (broadcast behind
-    a row check, else a shuffle join that AQE may split if skewed).
-    Null categories form their own group, as in ``GROUP BY``.
+    combined map-side.  The stats table is checkpointed once (so its size
+    check costs no second pass over ``df``) and joined back: broadcast when
+    it has at most ``max_broadcast_rows`` rows, else a shuffle join that
+    AQE's skew handling may split.  Null categories form their own group, as
+    in ``GROUP BY``.
     """
-    stats = (df.groupBy(F.col(cat).alias("_cat"))
-               .agg(F.sum(F.col(y)).alias("_sy"), F.count(F.col(y)).alias("_ny")))
+    stats = materialize(df.groupBy(F.col(cat).alias("_cat"))
+                          .agg(F.sum(F.col(y)).alias("_sy"), F.count(F.col(y)).alias("_ny")))
     stats = bounded_broadcast(stats, max_broadcast_rows)
     j = df.join(stats, df[cat].eqNullSafe(stats["_cat"]), "left")
     te = F.try_divide((F.col("_sy") - F.col(y)).cast("double"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from propensa import defaults
 from propensa.operators.rank import prefix_before
+from propensa.session import materialize
 
 EPS = 1e-15
 
@@ -37,7 +38,9 @@ def metrics(scored: DataFrame, score: str = "score", label: str = "label",
     """One row: n_pos, n_neg, precision and recall at ``threshold``
     (predict 1 when score >= threshold), log loss (score clipped to
     [1e-15, 1 - 1e-15], rounded to 9 decimals) and AUC."""
-    s = scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    # materialised once: the counts and the AUC both read it
+    s = materialize(scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+                          .select(score, label))
     y = F.col(label)
     pred = F.col(score) >= F.lit(threshold)
     p = F.least(F.greatest(F.col(score).cast("double"), F.lit(EPS)), F.lit(1 - EPS))

@@ -17,16 +17,16 @@ def fit_score(train: DataFrame, test: DataFrame, features: Sequence[str],
               max_iter: int = 50, reg: float = 0.01) -> DataFrame:
     """Fit on ``train`` and return ``key, label, score`` for ``test``.
 
-    Null features are read as 0.  The training frame is checkpointed into
-    the shared folder first: the optimiser makes many passes over it, and a
-    lost executor then re-reads the checkpoint instead of the whole lineage.
+    Null features are read as 0.  Checkpoint the inputs first when they
+    have a long lineage (the registered query does), so a lost executor
+    re-reads the checkpoint instead of recomputing the features.
     """
     def prep(df: DataFrame) -> DataFrame:
         return df.select(key, F.col(label).cast("double").alias(label),
                          *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                            for c in features])
 
-    train_p = prep(train).checkpoint(eager=True)
+    train_p = prep(train).cache()   # the optimiser makes many passes
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
@@ -34,6 +34,7 @@ def fit_score(train: DataFrame, test: DataFrame, features: Sequence[str],
                            regParam=reg, probabilityCol="_prob"),
     ])
     model = pipe.fit(train_p)
+    train_p.unpersist()
     scored = model.transform(prep(test))
     return scored.select(key, F.col(label).cast("int").alias(label),
                          vector_to_array("_prob")[1].alias("score"))

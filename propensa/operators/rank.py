@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensa import defaults
+from propensa.session import materialize
 
 
 def top_k(df: DataFrame, key: str, order: str, k: int = defaults.TOP_K,
@@ -43,7 +44,7 @@ def prefix_before(df: DataFrame, order: str, sums: Sequence[str],
     """
     spark = df.sparkSession
     b = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df = df.filter(F.col(order).isNotNull()).checkpoint(eager=True)
+    df = materialize(df.filter(F.col(order).isNotNull()))
     bounds: list[float] = []
     if b > 1:
         qs = df.stat.approxQuantile(order, [i / b for i in range(1, b)], rel_err)
@@ -93,8 +94,10 @@ def leaderboard(submissions: DataFrame, team: str, score: str,
                 higher_is_better: bool = True, buckets: int | None = None) -> DataFrame:
     """Best score per team, its rank among teams and rank / number of teams."""
     best = F.max(score) if higher_is_better else F.min(score)
-    teams = submissions.groupBy(team).agg(best.alias("best_score"),
-                                          F.count(F.lit(1)).cast("bigint").alias("n_submissions"))
+    # materialised once: the ranking, the join back and the team count read it
+    teams = materialize(submissions.groupBy(team)
+                        .agg(best.alias("best_score"),
+                             F.count(F.lit(1)).cast("bigint").alias("n_submissions")))
     ranked = global_rank(teams, "best_score", higher_is_better, "rank", buckets)
     n_teams = teams.select(F.count(F.lit(1))).scalar()
     return (ranked.withColumn("n_teams", n_teams.cast("bigint"))

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from propensa import defaults
 from propensa.functions import parse_prop
-from propensa.operators import encode, evaluate, joins, rank, report
+from propensa.operators import clean, encode, evaluate, joins, rank, report
 from propensa.operators import features as feat
 from propensa.operators import sequence as seq
 from propensa.operators.model import fit_score
 from propensa.plans.registry import register
 from propensa.functions import ts_lit
 from propensa.sources import events, load
+from propensa.session import materialize
 
 
 @register("p01_load")
@@ -95,6 +96,13 @@ def q_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seq.sessions(events(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- cleaning
+
+@register("p25_dedup_batch")
+def q_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.dedup(events(spark, sf_dir), "event_id", ["ts"])
+
+
 # ---------------------------------------------------------------- joins
 
 @register("p13_enrich")
@@ -202,6 +210,7 @@ MODEL_FEATURES = (
 
 @register("p22_fit_score")
 def q_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = encode.hash_split(feat.training_table(events(spark, sf_dir)), "user_id")
+    # one pass over events for both splits
+    t = materialize(encode.hash_split(feat.training_table(events(spark, sf_dir)), "user_id"))
     return fit_score(t.filter(F.col("fold") != 0), t.filter(F.col("fold") == 0),
                      MODEL_FEATURES)

@@ -293,3 +293,11 @@ SELECT user_id, CAST(count(*) FILTER (WHERE event_type = 'purchase') + 1 AS DOUB
 FROM events WHERE ts < {T} GROUP BY user_id
 HAVING CAST(count(*) FILTER (WHERE event_type = 'purchase') + 1 AS DOUBLE)
        / CAST(count(*) + 2 AS DOUBLE) >= 0.2"""
+
+ORACLE["p25_dedup_batch"] = """
+SELECT event_id, ts, user_id, event_type, value, props
+FROM events WHERE event_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY event_id
+                           ORDER BY ts, user_id, event_type, value, props) = 1
+UNION ALL
+SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE event_id IS NULL"""

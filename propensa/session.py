@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "propensa", master: str | None = None,
@@ -21,6 +21,8 @@ def build_session(app: str = "propensa", master: str | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # merge session windows inside each partition before the shuffle
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.driver.memory", os.environ.get("PROPENSA_DRIVER_MEMORY", "8g"))
     )
     if shuffle_partitions is not None:
@@ -42,11 +44,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         import tempfile
         path = tempfile.mkdtemp(prefix="propensa-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: the server owns the checkpoint folder
+        return path
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Used for small derived tables that several branches of a plan read: they
+    are computed once, and a lost executor re-reads them instead of
+    recomputing their lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

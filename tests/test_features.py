@@ -106,3 +106,19 @@ def test_parse_props(spark):
     from propensa.functions import parse_prop
     df = spark.createDataFrame([('{"k": 69}',), ('{"j": 1}',), (None,)], "props string")
     assert [r.k for r in df.select(parse_prop("props", "k").alias("k")).collect()] == [69, None, None]
+
+
+def test_dedup_keeps_earliest_copy_and_null_keys(make_events):
+    from propensa.operators.clean import dedup
+    rows = [(1, "2024-01-02 00:00:00", 1, "view", 2.0),
+            (1, "2024-01-01 00:00:00", 1, "view", 9.0),      # earliest copy wins
+            (None, "2024-01-01 00:00:00", 2, "view", 1.0),   # null keys pass through
+            (None, "2024-01-01 00:00:00", 2, "view", 1.0)]
+    rows += [(7, "2024-01-05 00:00:00", 3, "click", float(i % 5)) for i in range(500)]  # hot group
+    got = dedup(make_events(rows, 6)).collect()
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.event_id, []).append(r)
+    assert by_id[1][0].value == 9.0 and len(by_id[1]) == 1
+    assert len(by_id[None]) == 2
+    assert len(by_id[7]) == 1 and by_id[7][0].value == 0.0
