@@ -6,16 +6,14 @@ partition by ``(key, time bucket)`` instead, so a hot key is spread over as
 many tasks as its history has buckets, and they bring in what a bucket needs
 from earlier buckets in one of two ways:
 
-* *halo rows* (``rolling``): a row is copied into the following buckets its
-  frame can reach.  With a bucket at least as wide as the frame that is at
-  most one extra copy.
-* *carries* (``asof_last``, ``sessionize``): a per-(key, bucket) summary (a
-  few values per bucket) is scanned per key with a window and joined back.
-  The summary has one row per non-empty bucket, so even a hot key's summary is
-  small (history length / bucket width).
-
-The big input is shuffled once, on ``(key, bucket)``; the summary branch
-reuses that shuffle.
+a per-(key, bucket) summary (a few values per bucket), scanned per key with
+a window and joined back as a *carry*.  The summary has one row per
+non-empty bucket, so even a hot key's summary is small (history length /
+bucket width), and the bucket width can be chosen as fine as the skew
+demands: no row is ever copied.
+
+The wide rows are shuffled on ``(key, bucket)``; summary branches re-read
+only a narrow projection and aggregate it map-side.
 """
 
 from __future__ import annotations
@@ -43,31 +41,64 @@ def _bucket(us_col: str, width_us: int) -> F.Column:
 
 def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
             value: str = "value", days: int = defaults.ROLLING_DAYS,
-            bucket_days: int | None = None, keep: list[str] | None = None) -> DataFrame:
+            bucket_hours: int = 24, keep: list[str] | None = None) -> DataFrame:
     """Per row, count and sum of ``value`` over ``[ts - days, ts]`` of its key.
 
-    The frame is a RANGE frame: rows with the same ``ts`` are peers and all
-    count.  ``bucket_days`` (default ``days``) sets the split of a key's
-    history; a row is copied into every later bucket its frame reaches.
+    The frame is a RANGE frame (rows with the same ``ts`` are peers and all
+    count).  It is computed as a difference of cumulative sums,
+    ``S(<= ts) - S(< ts - days)``, so the bucket width is free of the frame
+    length: a hot key can be cut into buckets as fine as ``bucket_hours``
+    with no row copied.  Both cumulative sums are a bucket-local window plus
+    a carry of earlier buckets' totals.  Two passes: the first finds
+    ``S(<= ts)`` in the row's bucket, the second ``S(< ts - days)`` in the
+    bucket of ``ts - days``, with each output row travelling once.
     """
     keep = keep if keep is not None else [c for c in ("event_id",) if c in df.columns]
     span = days * US_PER_DAY
-    width = (bucket_days or days) * US_PER_DAY
-    base = df.select(*keep, key, ts, cents(value).alias("_c"),
-                     epoch_us(ts).alias("_us"))
-    own = _bucket("_us", width)
-    last = _floor_div(F.col("_us") + F.lit(span), width)
-    spread = (base.withColumn("_own", own)
-                  .withColumn("_b", F.explode(F.sequence(F.col("_own"), last))))
-    w = (Window.partitionBy(key, "_b").orderBy("_us")
-         .rangeBetween(-span, Window.currentRow))
-    out = (spread
-           .withColumn(f"n_{days}d", F.count(F.lit(1)).over(w))
-           .withColumn("_sc", F.sum("_c").over(w))
-           .filter(F.col("_b") == F.col("_own")))
-    return out.select(*keep, key, ts, F.col(f"n_{days}d").cast("bigint"),
-                      (F.coalesce(F.col("_sc"), F.lit(0)).cast("double") / F.lit(100.0))
-                      .alias(f"sum_{days}d"))
+    width = bucket_hours * US_PER_HOUR
+    base = (df.select(*keep, key, ts, cents(value).alias("_c"), epoch_us(ts).alias("_us"))
+              .withColumn("_b", _bucket("_us", width)))
+
+    # totals of earlier buckets, for every bucket a row or a lookup falls in
+    lookup_b = _floor_div(F.col("_us") - F.lit(span), width)
+    marks = (base.select(key, F.explode(F.array(
+                 F.struct(F.col("_b").alias("_b"), F.lit(1).alias("_n"), F.col("_c").alias("_c")),
+                 F.struct(lookup_b.alias("_b"), F.lit(0).alias("_n"),
+                          F.lit(None).cast("bigint").alias("_c")))).alias("_m"))
+                 .select(key, "_m.*"))
+    wc = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (marks.groupBy(key, "_b").agg(F.sum("_n").alias("_tn"), F.sum("_c").alias("_tc"))
+                  .select(key, "_b",
+                          F.coalesce(F.sum("_tn").over(wc), F.lit(0)).alias("_cn"),
+                          F.coalesce(F.sum("_tc").over(wc), F.lit(0)).alias("_cc")))
+
+    # pass 1: S(<= ts), peers included
+    w_le = (Window.partitionBy(key, "_b").orderBy("_us")
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    le = (base.withColumn("_ln", F.count(F.lit(1)).over(w_le))
+              .withColumn("_lc", F.coalesce(F.sum("_c").over(w_le), F.lit(0)))
+              .join(carry, [key, "_b"])
+              .select(*keep, key, ts,
+                      (F.col("_cn") + F.col("_ln")).alias("_sn"),
+                      (F.col("_cc") + F.col("_lc")).alias("_sc"),
+                      (F.col("_us") - F.lit(span)).alias("_us")))
+
+    # pass 2: S(< ts - days), looked up among the key's rows
+    probes = (le.withColumn("_b", _bucket("_us", width))
+                .withColumn("_side", F.lit(0)).withColumn("_c", F.lit(None).cast("bigint")))
+    rows = base.select(key, "_us", "_b", "_c", F.lit(1).alias("_side"))
+    u = probes.unionByName(rows, allowMissingColumns=True)
+    w_lt = (Window.partitionBy(key, "_b").orderBy("_us")
+            .rangeBetween(Window.unboundedPreceding, -1))
+    lt = (u.withColumn("_ln", F.coalesce(F.sum("_side").over(w_lt), F.lit(0)))
+           .withColumn("_lc", F.coalesce(F.sum("_c").over(w_lt), F.lit(0)))
+           .filter(F.col("_side") == 0)
+           .join(carry, [key, "_b"]))
+    return lt.select(
+        *keep, key, ts,
+        (F.col("_sn") - F.col("_cn") - F.col("_ln")).cast("bigint").alias(f"n_{days}d"),
+        ((F.col("_sc") - F.col("_cc") - F.col("_lc")).cast("double") / F.lit(100.0))
+        .alias(f"sum_{days}d"))
 
 
 def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",

@@ -24,11 +24,11 @@ def _pdf(rows):
     return p.sort_values(["user_id", "ts", "event_id"]).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("bucket_days", [None, 1, 3])
-def test_rolling_matches_brute_force(make_events, bucket_days):
+@pytest.mark.parametrize("bucket_hours", [1, 24, 24 * 9])
+def test_rolling_matches_brute_force(make_events, bucket_hours):
     rows = _random_rows()
     got = {r.event_id: (r.n_2d, r.sum_2d) for r in
-           seq.rolling(make_events(rows, 5), days=2, bucket_days=bucket_days).collect()}
+           seq.rolling(make_events(rows, 5), days=2, bucket_hours=bucket_hours).collect()}
     p = _pdf(rows)
     for _, r in p.iterrows():
         g = p[(p.user_id == r.user_id) & (p.ts <= r.ts) & (p.ts >= r.ts - pd.Timedelta(days=2))]
