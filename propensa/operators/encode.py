@@ -38,16 +38,24 @@ def percentile_disc(col: str, p: float) -> Column:
 
 
 def clip_and_scale(df: DataFrame, col: str, p: float = defaults.CLIP_P,
-                   prefix: str | None = None) -> DataFrame:
+                   prefix: str | None = None, exact: bool = True) -> DataFrame:
     """Winsorise ``col`` at its ``p`` and ``1-p`` discrete percentiles, then
     z-score the clipped money values (mean and stddev in exact cents).
 
     The statistics are scalar subqueries: each is one global aggregate with a
-    map-side partial step, evaluated once per query, with no join.
+    map-side partial step, evaluated once per query, with no join.  The
+    exact percentile's buffer holds the column's distinct values (bounded
+    for money in cents); ``exact=False`` uses a fixed-size sketch, whose
+    result is still a value of the column.
     """
     prefix = prefix or col
-    bounds = df.select(F.struct(percentile_disc(col, p).alias("lo"),
-                                percentile_disc(col, 1 - p).alias("hi"))).scalar()
+    if exact:
+        lo, hi = percentile_disc(col, p), percentile_disc(col, 1 - p)
+    else:
+        lo = F.percentile_approx(col, p, 10_000)
+        hi = F.percentile_approx(col, 1 - p, 10_000)
+    bounds = df.select(F.struct(lo.cast("double").alias("lo"),
+                                hi.cast("double").alias("hi"))).scalar()
     clipped = F.least(F.greatest(F.col(col), bounds["lo"]), bounds["hi"])
     c = cents(clipped)
     stats = df.select(F.struct(exact_mean(c).alias("mean"),

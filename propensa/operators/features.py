@@ -41,21 +41,25 @@ def observe(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
 # ---------------------------------------------------------------- aggregates
 
 def rollup_aggs(cond: Column | None = None, ts: str = "ts",
-                value: str = "value") -> list[Column]:
+                value: str = "value", exact_median: bool = True) -> list[Column]:
     """count, sum, mean, stddev, median of ``value`` and active days.
 
     The exact median's buffer is a map from distinct cents value to its
     count, merged map-side: its size is bounded by the distinct money values
-    of a key, not by its rows.
+    of a key, not by its rows.  ``exact_median=False`` uses a fixed-size
+    sketch instead (``percentile_approx``) for value domains with no such
+    bound.
     """
     c = _when(cond, cents(value))
     day = _when(cond, F.to_date(F.col(ts)))
+    median = (F.percentile(c, F.lit(0.5)) if exact_median
+              else F.percentile_approx(c, 0.5, 10_000).cast("double"))
     return [
         _count(cond).cast("bigint").alias("n_events"),
         exact_sum(c).alias("sum_value"),
         exact_mean(c).alias("mean_value"),
         exact_std(c).alias("std_value"),
-        (F.percentile(c, F.lit(0.5)) / F.lit(100.0)).alias("median_value"),
+        (median / F.lit(100.0)).alias("median_value"),
         # distinct days as a set: one aggregation level (count(distinct)
         # would add a second shuffle), and the set holds at most one entry
         # per calendar day of the key's history, however hot the key
@@ -137,8 +141,8 @@ def label(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
 
 
 def rollup_features(df: DataFrame, key: str = "user_id", ts: str = "ts",
-                    value: str = "value") -> DataFrame:
-    return df.groupBy(key).agg(*rollup_aggs(None, ts, value))
+                    value: str = "value", exact_median: bool = True) -> DataFrame:
+    return df.groupBy(key).agg(*rollup_aggs(None, ts, value, exact_median))
 
 
 def type_counts(df: DataFrame, key: str = "user_id", type_col: str = "event_type",

@@ -50,3 +50,16 @@ def test_cohort_diff(spark):
     # same sets as SQL EXCEPT / INTERSECT
     assert {k for k, v in got.items() if v == "lost"} == {r.user_id for r in a.subtract(b).collect()}
     assert {k for k, v in got.items() if v == "kept"} == {r.user_id for r in a.intersect(b).collect()}
+
+
+def test_approximate_options_stay_close(spark):
+    from propensa.operators import features as feat
+    vals = [(i % 7, float(i % 101)) for i in range(2000)]
+    df = spark.createDataFrame(vals, "user_id long, value double") \
+        .withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    ex = {r.user_id: r.median_value for r in feat.rollup_features(df).collect()}
+    ap = {r.user_id: r.median_value for r in feat.rollup_features(df, exact_median=False).collect()}
+    assert all(abs(ex[k] - ap[k]) <= 1.0 for k in ex)
+    a = encode.clip_and_scale(df, "value", 0.05, exact=False).agg(F.max("value_clipped")).first()[0]
+    e = encode.clip_and_scale(df, "value", 0.05).agg(F.max("value_clipped")).first()[0]
+    assert abs(a - e) <= 1.0
