@@ -17,16 +17,20 @@ def test_entry_runs_with_stable_schema(spark):
 
 
 def test_every_query_has_columns_matching_its_oracle(spark):
-    from tools.oracle_check import compare
+    from tools.oracle_check import compare, type_issues
     con = duckdb.connect()
     for t in TABLES:
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
     sql = entry.oracle_sql()
     failures = {}
     for name, fn in entry.queries().items():
-        a = fn(spark, SMOKE).toPandas()
+        sdf = fn(spark, SMOKE)
+        a = sdf.toPandas()
         if name in sql:
-            issues = compare(a, con.sql(sql[name]).df())
+            rel = con.sql(sql[name])
+            issues = type_issues({f.name: f.dataType.simpleString() for f in sdf.schema.fields},
+                                 dict(zip(rel.columns, [str(t) for t in rel.types])))
+            issues += compare(a, rel.df())
             if issues:
                 failures[name] = issues
     assert not failures, failures
