@@ -1,8 +1,10 @@
 """Structured Streaming counterparts.
 
-Event time must be a ``timestamp`` for ``withWatermark``, so the stream
-casts ``timestamp_ntz`` on the way in and back on the way out (the session
-time zone is the same both ways, so values round-trip).  Outputs are in
+Event time must be a ``timestamp`` for ``withWatermark``.  The stream reads
+each ``timestamp_ntz`` wall-clock value as a UTC instant on the way in and
+turns instants back into UTC wall-clock values on the way out, through
+epoch microseconds: no session time zone is involved, so windows align to
+wall-clock hours and values round-trip in any zone.  Outputs are in
 append mode: a window or session is written once, when the watermark
 (max event time seen, in milliseconds, minus the delay) passes its end.
 """
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa import defaults
-from propensa.functions import cents
+from propensa.functions import cents, epoch_us
 
 EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, "
                 "event_type string, value double, props string")
@@ -27,11 +29,18 @@ def event_stream(spark: SparkSession, source_dir: str, glob: str | None = None,
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(source_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    return reader.parquet(source_dir).withColumn("ts", as_instant("ts"))
+
+
+def as_instant(ts: str) -> F.Column:
+    """``timestamp_ntz`` -> ``timestamp``, reading the wall clock as UTC."""
+    return F.timestamp_micros(epoch_us(ts))
 
 
 def _ntz(c: F.Column) -> F.Column:
-    return c.cast("timestamp_ntz")
+    """``timestamp`` -> ``timestamp_ntz`` holding its UTC wall clock."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch)
 
 
 def hourly_counts(stream: DataFrame, watermark: str = "1 hour",

@@ -3,7 +3,9 @@ import time
 
 from pyspark.sql import functions as F
 
-from propensa.streaming import event_stream, run_available_now, stream_dedup, hourly_counts
+from propensa.streaming import (
+    as_instant, event_stream, hourly_counts, run_available_now, stream_dedup,
+)
 
 SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, "
           "event_type string, value double, props string")
@@ -29,7 +31,7 @@ def test_dedup_drops_repeat_and_late(spark, tmp_path):
                                     (5, "2024-01-01 13:00:00", 1, "view", 1.0)])
     stream = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-              .parquet(str(src)).withColumn("ts", F.col("ts").cast("timestamp")))
+              .parquet(str(src)).withColumn("ts", as_instant("ts")))
     out = run_available_now(stream_dedup(stream), str(tmp_path / "out"), str(tmp_path / "ck"))
     ids = sorted(r.event_id for r in spark.read.parquet(out).collect())
     assert ids == [1, 2, 4, 5]
