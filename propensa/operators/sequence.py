@@ -3,22 +3,24 @@
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a
 key holding a third of the data would stall the whole job.  These operators
 partition by ``(key, time bucket)`` instead, so a hot key is spread over as
-many tasks as its history has buckets, and they bring in what a bucket needs
-from earlier buckets in one of two ways:
-
-a per-(key, bucket) summary (a few values per bucket), scanned per key with
-a window and joined back as a *carry*.  The summary has one row per
-non-empty bucket, so even a hot key's summary is small (history length /
-bucket width), and the bucket width can be chosen as fine as the skew
+many tasks as its history has buckets.  What a bucket needs from earlier
+buckets arrives as a *carry*: a per-(key, bucket) summary (a few values per
+bucket), scanned per key with a window and joined back.  The summary has one
+row per non-empty bucket, so even a hot key's summary is small (history
+length / bucket width), and the bucket width can be as fine as the skew
 demands: no row is ever copied.
 
-The wide rows are shuffled on ``(key, bucket)``; summary branches re-read
-only a narrow projection and aggregate it map-side.
+The wide rows are shuffled once on ``(key, bucket)`` and the carry join
+reuses that partitioning; summary branches re-read only a narrow projection
+and aggregate it map-side.  Keys are handled through ``_k = struct(key)``,
+which is never null and compares null keys as equal, so null keys form one
+group (as in ``PARTITION BY``) without null-safe join conditions, which
+would force the wide side to be shuffled again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensa import defaults
@@ -27,16 +29,33 @@ from propensa.functions import cents, epoch_us
 US_PER_MINUTE = 60_000_000
 US_PER_HOUR = 60 * US_PER_MINUTE
 US_PER_DAY = 24 * US_PER_HOUR
+NULL_BUCKET = -(2 ** 63)   # rows without a time: one bucket, ordered first
 
 
-def _floor_div(us: F.Column, width_us: int) -> F.Column:
+def _floor_div(us: Column, width_us: int) -> Column:
     """Exact floor division of a bigint (no detour through double)."""
     w = F.lit(width_us)
     return ((us - F.pmod(us, w)) / w).cast("bigint")
 
 
-def _bucket(us_col: str, width_us: int) -> F.Column:
-    return _floor_div(F.col(us_col), width_us)
+def _bucket(us: Column, width_us: int) -> Column:
+    return F.coalesce(_floor_div(us, width_us), F.lit(NULL_BUCKET))
+
+
+def _keyed(df: DataFrame, key: str, ts: str, width_us: int, *cols) -> DataFrame:
+    """``cols`` plus ``_k`` (non-null key surrogate), ``_us`` and ``_b``."""
+    return (df.select(*cols, F.struct(F.col(key).alias("k")).alias("_k"),
+                      epoch_us(ts).alias("_us"))
+              .withColumn("_b", _bucket(F.col("_us"), width_us)))
+
+
+def _per_key(order: str = "_b") -> Window:
+    """Earlier buckets of the same key."""
+    return Window.partitionBy("_k").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _with_carry(df: DataFrame, carry: DataFrame) -> DataFrame:
+    return df.join(carry, ["_k", "_b"], "left")
 
 
 def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
@@ -56,44 +75,43 @@ def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
     keep = keep if keep is not None else [c for c in ("event_id",) if c in df.columns]
     span = days * US_PER_DAY
     width = bucket_hours * US_PER_HOUR
-    base = (df.select(*keep, key, ts, cents(value).alias("_c"), epoch_us(ts).alias("_us"))
-              .withColumn("_b", _bucket("_us", width)))
+    base = _keyed(df, key, ts, width, *keep, key, ts, cents(value).alias("_c"))
 
     # totals of earlier buckets, for every bucket a row or a lookup falls in
-    lookup_b = _floor_div(F.col("_us") - F.lit(span), width)
-    marks = (base.select(key, F.explode(F.array(
+    lookup_b = _bucket(F.col("_us") - F.lit(span), width)
+    marks = (base.select("_k", F.explode(F.array(
                  F.struct(F.col("_b").alias("_b"), F.lit(1).alias("_n"), F.col("_c").alias("_c")),
                  F.struct(lookup_b.alias("_b"), F.lit(0).alias("_n"),
                           F.lit(None).cast("bigint").alias("_c")))).alias("_m"))
-                 .select(key, "_m.*"))
-    wc = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (marks.groupBy(key, "_b").agg(F.sum("_n").alias("_tn"), F.sum("_c").alias("_tc"))
-                  .select(key, "_b",
+                 .select("_k", "_m.*"))
+    wc = _per_key()
+    carry = (marks.groupBy("_k", "_b").agg(F.sum("_n").alias("_tn"), F.sum("_c").alias("_tc"))
+                  .select("_k", "_b",
                           F.coalesce(F.sum("_tn").over(wc), F.lit(0)).alias("_cn"),
                           F.coalesce(F.sum("_tc").over(wc), F.lit(0)).alias("_cc")))
 
     # pass 1: S(<= ts), peers included
-    w_le = (Window.partitionBy(key, "_b").orderBy("_us")
+    w_le = (Window.partitionBy("_k", "_b").orderBy("_us")
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    le = (base.withColumn("_ln", F.count(F.lit(1)).over(w_le))
-              .withColumn("_lc", F.coalesce(F.sum("_c").over(w_le), F.lit(0)))
-              .join(carry, [key, "_b"])
-              .select(*keep, key, ts,
-                      (F.col("_cn") + F.col("_ln")).alias("_sn"),
-                      (F.col("_cc") + F.col("_lc")).alias("_sc"),
-                      (F.col("_us") - F.lit(span)).alias("_us")))
+    le = (_with_carry(base.withColumn("_ln", F.count(F.lit(1)).over(w_le))
+                          .withColumn("_lc", F.coalesce(F.sum("_c").over(w_le), F.lit(0))),
+                      carry)
+          .select(*keep, key, ts, "_k",
+                  (F.col("_cn") + F.col("_ln")).alias("_sn"),
+                  (F.col("_cc") + F.col("_lc")).alias("_sc"),
+                  (F.col("_us") - F.lit(span)).alias("_us")))
 
     # pass 2: S(< ts - days), looked up among the key's rows
-    probes = (le.withColumn("_b", _bucket("_us", width))
+    probes = (le.withColumn("_b", _bucket(F.col("_us"), width))
                 .withColumn("_side", F.lit(0)).withColumn("_c", F.lit(None).cast("bigint")))
-    rows = base.select(key, "_us", "_b", "_c", F.lit(1).alias("_side"))
+    rows = base.select("_k", "_us", "_b", "_c", F.lit(1).alias("_side"))
     u = probes.unionByName(rows, allowMissingColumns=True)
-    w_lt = (Window.partitionBy(key, "_b").orderBy("_us")
+    w_lt = (Window.partitionBy("_k", "_b").orderBy("_us")
             .rangeBetween(Window.unboundedPreceding, -1))
-    lt = (u.withColumn("_ln", F.coalesce(F.sum("_side").over(w_lt), F.lit(0)))
-           .withColumn("_lc", F.coalesce(F.sum("_c").over(w_lt), F.lit(0)))
-           .filter(F.col("_side") == 0)
-           .join(carry, [key, "_b"]))
+    lt = _with_carry(u.withColumn("_ln", F.coalesce(F.sum("_side").over(w_lt), F.lit(0)))
+                      .withColumn("_lc", F.coalesce(F.sum("_c").over(w_lt), F.lit(0)))
+                      .filter(F.col("_side") == 0),
+                     carry)
     return lt.select(
         *keep, key, ts,
         (F.col("_sn") - F.col("_cn") - F.col("_ln")).cast("bigint").alias(f"n_{days}d"),
@@ -110,45 +128,41 @@ def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
 
     ``right_order`` breaks ties between right rows with equal ``ts`` (the
     larger one wins).  The result has the left columns plus
-    ``prefix + ts`` and ``prefix + c`` for each right column.
+    ``prefix + ts`` and ``prefix + c`` for each right column.  Right rows
+    with a null key or time can never match and are left out.
     """
     right_cols = right_cols if right_cols is not None else [
         c for c in right.columns if c not in (key, ts)]
     tie = right_order or ts
     width = bucket_hours * US_PER_HOUR
-    payload_fields = [F.col(ts).alias("ts")] + [F.col(c).alias(c) for c in right_cols]
-
-    lside = left.select(*[F.col(c) for c in left.columns],
-                        F.lit(0).alias("_side"),
-                        F.lit(None).cast(right.select(F.struct(*payload_fields)).schema[0].dataType)
-                        .alias("_p"),
-                        F.lit(None).cast(right.schema[tie].dataType).alias("_tie"))
-    right = right.filter(F.col(key).isNotNull())  # a null key matches nothing
-    rside = right.select(
-        *[(F.col(c) if c in (key, ts) else F.lit(None).cast(left.schema[c].dataType)).alias(c)
-          for c in left.columns],
-        F.lit(1).alias("_side"), F.struct(*payload_fields).alias("_p"),
-        F.col(tie).alias("_tie"))
-    u = (lside.unionByName(rside)
-              .withColumn("_us", epoch_us(ts))
-              .withColumn("_b", _bucket("_us", width)))
+    payload = F.struct(F.col(ts).alias("ts"), *[F.col(c).alias(c) for c in right_cols])
+    payload_type = right.select(payload).schema[0].dataType
+
+    lside = _keyed(left, key, ts, width, *left.columns,
+                   F.lit(0).alias("_side"), F.lit(None).cast(payload_type).alias("_p"),
+                   F.lit(None).cast(right.schema[tie].dataType).alias("_tie"))
+    right = right.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    rside = _keyed(right, key, ts, width,
+                   *[(F.col(c) if c in (key, ts) else F.lit(None).cast(left.schema[c].dataType))
+                     .alias(c) for c in left.columns],
+                   F.lit(1).alias("_side"), payload.alias("_p"), F.col(tie).alias("_tie"))
+    u = lside.unionByName(rside)
 
     # latest right row strictly earlier in the same bucket; left rows sort
     # first among equal timestamps so an equal-time right row is not "earlier"
-    w = (Window.partitionBy(key, "_b").orderBy("_us", "_side", "_tie")
+    w = (Window.partitionBy("_k", "_b").orderBy("_us", "_side", "_tie")
          .rowsBetween(Window.unboundedPreceding, -1))
     local = u.withColumn("_local", F.last("_p", ignorenulls=True).over(w))
 
     # per bucket: its last right row; carried forward to later buckets
-    summary = (local.groupBy(key, "_b")
+    summary = (local.groupBy("_k", "_b")
                     .agg(F.max_by("_p", F.when(F.col("_side") == 1,
                                                F.struct("_us", "_tie"))).alias("_last")))
-    wc = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(key, "_b", F.last("_last", ignorenulls=True).over(wc).alias("_carry"))
+    carry = summary.select("_k", "_b",
+                           F.last("_last", ignorenulls=True).over(_per_key()).alias("_carry"))
 
-    res = (local.filter(F.col("_side") == 0)
-                .join(carry, [key, "_b"], "left")
-                .withColumn("_m", F.coalesce("_local", "_carry")))
+    res = (_with_carry(local.filter(F.col("_side") == 0), carry)
+           .withColumn("_m", F.coalesce("_local", "_carry")))
     return res.select(*[F.col(c) for c in left.columns],
                       *[F.col(f"_m.{f}").alias(prefix + f) for f in ["ts"] + right_cols])
 
@@ -161,33 +175,33 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
     key's previous row exceeds ``gap_minutes`` (a gap of exactly
     ``gap_minutes`` stays in the session).  Sessions are numbered from 1 per
     key in time order; ``order`` breaks ties in ``ts``.
+
+    Within a bucket ``lag`` finds the previous row; for a bucket's first row
+    the carry supplies the last time of earlier buckets and the number of
+    sessions they started.
     """
     keep = keep if keep is not None else [c for c in df.columns if c not in (key, ts)]
     gap = gap_minutes * US_PER_MINUTE
     width = bucket_hours * US_PER_HOUR
-    base = (df.select(*keep, key, ts, epoch_us(ts).alias("_us"))
-              .withColumn("_b", _bucket("_us", width)))
-    w = Window.partitionBy(key, "_b").orderBy("_us", order)
+    base = _keyed(df, key, ts, width, *keep, key, ts)
+    w = Window.partitionBy("_k", "_b").orderBy("_us", order)
     local = (base
              .withColumn("_prev", F.lag("_us").over(w))
              .withColumn("_ls", F.when(F.col("_us") - F.col("_prev") > gap, 1).otherwise(0))
              .withColumn("_rl", F.sum("_ls").over(w.rowsBetween(Window.unboundedPreceding, 0))))
 
-    summary = local.groupBy(key, "_b").agg(F.min("_us").alias("_first"),
-                                           F.max("_us").alias("_lastus"),
-                                           F.sum("_ls").alias("_nl"))
-    wc = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    summary = local.groupBy("_k", "_b").agg(F.min("_us").alias("_first"),
+                                            F.max("_us").alias("_lastus"),
+                                            F.sum("_ls").alias("_nl"))
+    wc = _per_key()
     prev_last = F.max("_lastus").over(wc)
     carry = (summary
              .withColumn("_fs", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap), 1)
                                .otherwise(0))
              .withColumn("_cs", F.coalesce(F.sum(F.col("_fs") + F.col("_nl")).over(wc), F.lit(0)))
-             .select(key, "_b", "_fs", "_cs"))
+             .select("_k", "_b", "_fs", "_cs"))
 
-    # null keys form one group, as in PARTITION BY, so join null-safe
-    carry = carry.withColumnRenamed(key, "_k").withColumnRenamed("_b", "_kb")
-    res = local.join(carry, local[key].eqNullSafe(carry["_k"])
-                     & (local["_b"] == carry["_kb"]), "inner")
+    res = _with_carry(local, carry)
     return res.select(
         *keep, key, ts,
         (F.col("_cs") + F.col("_fs") + F.col("_rl")).cast("bigint").alias("session_idx"),
@@ -199,7 +213,10 @@ def sessions(df: DataFrame, key: str = "user_id", ts: str = "ts",
              order: str = "event_id", value: str | None = "value",
              gap_minutes: int = defaults.SESSION_GAP_MINUTES,
              bucket_hours: int = 24) -> DataFrame:
-    """One row per session: start, end (last event + gap), events, value."""
+    """One row per session: start, end (last event + gap), events, value.
+
+    A session holding a third of all rows is still one partial aggregate.
+    """
     keep = [order] + ([value] if value else [])
     s = sessionize(df, key, ts, order, gap_minutes, bucket_hours, keep=keep)
     aggs = [F.min(ts).alias("session_start"),

@@ -98,3 +98,20 @@ def test_session_counts_sum_to_rows(make_events):
     rows = _random_rows(n=800, days=3, seed=2)
     s = seq.sessions(make_events(rows, 3)).collect()
     assert sum(r.n_events for r in s) == len(rows)
+
+
+def test_null_keys_and_times_keep_their_rows(make_events):
+    rows = [(1, "2024-01-01 10:00:00", 1, "view", 1.0),
+            (2, "2024-01-01 10:10:00", None, "view", 2.0),
+            (3, "2024-01-01 10:20:00", None, "purchase", 3.0),
+            (4, None, 1, "purchase", 4.0),
+            (5, "2024-01-02 10:20:00", 1, "purchase", 5.0)]
+    ev = make_events(rows, 3)
+    assert seq.rolling(ev, days=2).count() == 5
+    got = {r.event_id: r.n_2d for r in seq.rolling(ev, days=2).collect()}
+    assert got[3] == 2 and got[5] == 2          # null keys form one group
+    assert seq.sessionize(ev).count() == 5
+    left = ev.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    right = ev.filter("event_type = 'view'").select("user_id", "ts", "value")
+    out = {r.event_id: r.prev_value for r in seq.asof_last(left, right).collect()}
+    assert out == {3: None, 4: None, 5: 1.0}
