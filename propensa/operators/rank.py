@@ -22,13 +22,14 @@ from propensa.session import materialize
 def top_k(df: DataFrame, key: str, order: str, k: int = defaults.TOP_K,
           tiebreak: str | None = None, descending: bool = True,
           rank_col: str = "rank") -> DataFrame:
-    """The best ``k`` rows per key, numbered 1..k.
+    """The best ``k`` rows per key, numbered 1..k; null values rank last in
+    either direction.
 
     ``row_number() <= k`` is planned with a partial ``WindowGroupLimit``
     before the shuffle, so each map task forwards at most ``k`` rows per key.
     """
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    orders = [o] + ([F.col(tiebreak).asc()] if tiebreak else [])
+    o = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
+    orders = [o] + ([F.col(tiebreak).asc_nulls_last()] if tiebreak else [])
     w = Window.partitionBy(key).orderBy(*orders)
     return (df.withColumn(rank_col, F.row_number().over(w))
               .filter(F.col(rank_col) <= k))

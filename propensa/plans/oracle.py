@@ -184,7 +184,8 @@ FROM events"""
 ORACLE["p17_top_k"] = """
 SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS rank
 FROM (SELECT user_id, event_id, value,
-             row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn
+             row_number() OVER (PARTITION BY user_id
+                                ORDER BY value DESC NULLS LAST, event_id NULLS LAST) AS rn
       FROM events)
 WHERE rn <= 3"""
 

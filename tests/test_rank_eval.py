@@ -80,3 +80,12 @@ def test_leaderboard(spark):
     got = {r.team: (r.best_score, r["rank"], r.rank_frac) for r in
            rank.leaderboard(subs, "team", "score").collect()}
     assert got == {"a": (0.9, 1, 1 / 3), "b": (0.9, 1, 1 / 3), "c": (0.1, 3, 1.0)}
+
+
+def test_top_k_puts_nulls_last(spark):
+    df = spark.createDataFrame([(1, 10, None), (1, 11, 2.0), (1, 12, 1.0)],
+                               "user_id long, event_id long, value double")
+    best = [r.event_id for r in rank.top_k(df, "user_id", "value", 3).orderBy("rank").collect()]
+    worst = [r.event_id for r in rank.top_k(df, "user_id", "value", 3, descending=False)
+             .orderBy("rank").collect()]
+    assert best == [11, 12, 10] and worst == [12, 11, 10]
