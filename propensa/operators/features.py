@@ -32,10 +32,34 @@ def _before(ts: str, cutoff: _dt.datetime) -> Column:
     return F.col(ts) < ts_lit(cutoff)
 
 
+def time_range(ts: str, start: _dt.datetime | None, end: _dt.datetime,
+               date_col: str | None = None) -> Column:
+    """``start <= ts < end`` (``start`` optional).
+
+    Pushed into the parquet reader.  With ``date_col``, the table's date
+    partition column, the same range is also stated on it, so Spark skips
+    whole date directories instead of only row groups.
+    """
+    cond = F.col(ts) < ts_lit(end)
+    if start is not None:
+        cond = cond & (F.col(ts) >= ts_lit(start))
+    if date_col is not None:
+        cond = cond & (F.col(date_col) <= F.lit(end.date()))
+        if start is not None:
+            cond = cond & (F.col(date_col) >= F.lit(start.date()))
+    return cond
+
+
+def _lookback_start(cutoff: _dt.datetime, lookback_days: int | None) -> _dt.datetime | None:
+    return None if lookback_days is None else cutoff - _dt.timedelta(days=lookback_days)
+
+
 def observe(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
-            ts: str = "ts") -> DataFrame:
-    """Rows strictly before the cutoff (pushed into the parquet scan)."""
-    return df.filter(_before(ts, cutoff))
+            ts: str = "ts", lookback_days: int | None = None,
+            date_col: str | None = None) -> DataFrame:
+    """Rows strictly before the cutoff (and within ``lookback_days`` of it,
+    if given), pushed into the parquet scan."""
+    return df.filter(time_range(ts, _lookback_start(cutoff, lookback_days), cutoff, date_col))
 
 
 # ---------------------------------------------------------------- aggregates
@@ -129,10 +153,12 @@ def label_agg(cutoff: _dt.datetime = defaults.CUTOFF,
 def label(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
           horizon_days: int = defaults.HORIZON_DAYS,
           target: str = defaults.TARGET_TYPE, key: str = "user_id",
-          ts: str = "ts") -> DataFrame:
+          ts: str = "ts", lookback_days: int | None = None,
+          date_col: str | None = None) -> DataFrame:
     """0/1 label per key seen before the cutoff (keys without future rows get 0)."""
     end = cutoff + _dt.timedelta(days=horizon_days)
-    return (df.filter(F.col(ts) < ts_lit(end))
+    start = _lookback_start(cutoff, lookback_days)
+    return (df.filter(time_range(ts, start, end, date_col))
               .groupBy(key)
               .agg(F.count_if(_before(ts, cutoff)).alias("_seen"),
                    label_agg(cutoff, horizon_days, target, ts))
@@ -174,13 +200,18 @@ def training_table(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
                    type_col: str = "event_type",
                    types: Sequence[str] = defaults.EVENT_TYPES,
                    horizons: Sequence[int] = defaults.HORIZONS,
-                   target: str = defaults.TARGET_TYPE) -> DataFrame:
+                   target: str = defaults.TARGET_TYPE,
+                   lookback_days: int | None = None,
+                   date_col: str | None = None) -> DataFrame:
     """One row per key seen before the cutoff: all features plus the label.
 
-    One scan (rows at or after cutoff + horizon are pruned in the reader),
-    one hash aggregate with a map-side partial step, one shuffle.
+    One scan (rows at or after cutoff + horizon, and before the lookback if
+    one is given, are pruned in the reader; see :func:`time_range` for
+    ``date_col``), one hash aggregate with a map-side partial step, one
+    shuffle.
     """
     end = cutoff + _dt.timedelta(days=horizon_days)
+    start = _lookback_start(cutoff, lookback_days)
     obs = _before(ts, cutoff)
     aggs = (rollup_aggs(obs, ts, value)
             + type_count_aggs(obs, type_col, types)
@@ -188,6 +219,6 @@ def training_table(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
             + recency_aggs(cutoff, obs, ts)
             + gap_aggs(obs, ts)
             + [label_agg(cutoff, horizon_days, target, ts, type_col)])
-    return (df.filter(F.col(ts) < ts_lit(end))
+    return (df.filter(time_range(ts, start, end, date_col))
               .groupBy(key).agg(*aggs)
               .filter(F.col("n_events") > 0))

@@ -122,3 +122,17 @@ def test_dedup_keeps_earliest_copy_and_null_keys(make_events):
     assert by_id[1][0].value == 9.0 and len(by_id[1]) == 1
     assert len(by_id[None]) == 2
     assert len(by_id[7]) == 1 and by_id[7][0].value == 0.0
+
+
+def test_lookback_and_date_partitions_prune_the_scan(spark, make_events):
+    from propensa.session import shared_dir
+    ev = make_events(ROWS).withColumn("dt", F.to_date("ts"))
+    path = shared_dir(spark, "test_events_by_day")
+    ev.write.partitionBy("dt").parquet(path)
+    stored = spark.read.parquet(path)
+    t = feat.training_table(stored, CUT, 3, lookback_days=7, date_col="dt")
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-14" in plan
+    got = rows_by_user(t)
+    assert got[1]["n_events"] == 2          # the 2024-01-10 view is outside the lookback
+    assert rows_by_user(feat.training_table(stored, CUT, 3))[1]["n_events"] == 3
