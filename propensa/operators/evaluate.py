@@ -18,13 +18,17 @@ EPS = 1e-15
 
 
 def auc(scored: DataFrame, score: str = "score", label: str = "label",
-        buckets: int | None = None) -> DataFrame:
-    """One row: ``auc`` (midrank / Mann-Whitney, ties count one half)."""
+        buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
+    """One row: ``auc`` (midrank / Mann-Whitney, ties count one half).
+
+    ``checkpoint=False`` skips materialising the per-score counts when
+    ``scored`` is itself materialised.
+    """
     per = (scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
                  .groupBy(F.col(score).cast("double").alias("_s"))
                  .agg(F.count_if(F.col(label) == 1).alias("_pos"),
                       F.count_if(F.col(label) != 1).alias("_neg")))
-    pre = prefix_before(per, "_s", ["_neg"], buckets)
+    pre = prefix_before(per, "_s", ["_neg"], buckets, checkpoint=checkpoint)
     two_u = F.sum(F.col("_pos").cast("decimal(38,0)")
                   * (F.lit(2) * F.col("_neg_before") + F.col("_neg")))
     pos, neg = F.sum("_pos"), F.sum("_neg")
@@ -53,4 +57,4 @@ def metrics(scored: DataFrame, score: str = "score", label: str = "label",
         F.try_divide(tp.cast("double"), (tp + fp).cast("double")).alias("precision"),
         F.try_divide(tp.cast("double"), (tp + fn).cast("double")).alias("recall"),
         F.round(F.avg(ll), 9).alias("logloss"))
-    return base.withColumn("auc", auc(s, score, label, buckets).scalar())
+    return base.withColumn("auc", auc(s, score, label, buckets, checkpoint=False).scalar())

@@ -36,16 +36,20 @@ def top_k(df: DataFrame, key: str, order: str, k: int = defaults.TOP_K,
 
 
 def prefix_before(df: DataFrame, order: str, sums: Sequence[str],
-                  buckets: int | None = None, rel_err: float = 1e-4) -> DataFrame:
+                  buckets: int | None = None, rel_err: float = 1e-4,
+                  checkpoint: bool = True) -> DataFrame:
     """Add ``<c>_before`` = sum of ``c`` over rows with a smaller ``order``.
 
     ``df`` must hold one row per distinct, non-null ``order`` value (an
-    aggregate).  It is checkpointed once so the quantile bounds and the
-    prefixes see the same rows.
+    aggregate).  The quantile bounds and the prefixes both read it, so it is
+    checkpointed first; pass ``checkpoint=False`` when it is cheap to
+    recompute (derived from an already materialised table).
     """
     spark = df.sparkSession
     b = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df = materialize(df.filter(F.col(order).isNotNull()))
+    df = df.filter(F.col(order).isNotNull())
+    if checkpoint:
+        df = materialize(df)
     bounds: list[float] = []
     if b > 1:
         qs = df.stat.approxQuantile(order, [i / b for i in range(1, b)], rel_err)
@@ -73,7 +77,8 @@ def prefix_before(df: DataFrame, order: str, sums: Sequence[str],
 
 
 def global_rank(df: DataFrame, score: str, descending: bool = True,
-                rank_col: str = "rank", buckets: int | None = None) -> DataFrame:
+                rank_col: str = "rank", buckets: int | None = None,
+                checkpoint: bool = True) -> DataFrame:
     """SQL ``rank()`` over the whole frame: 1 + rows with a strictly better score.
 
     Rows are first counted per distinct score (a partial aggregate, so a
@@ -85,7 +90,7 @@ def global_rank(df: DataFrame, score: str, descending: bool = True,
                 .groupBy(key.alias("_s")).agg(F.count(F.lit(1)).alias("_n")))
     if descending:
         counts = counts.withColumn("_s", -F.col("_s"))
-    ranked = prefix_before(counts, "_s", ["_n"], buckets)
+    ranked = prefix_before(counts, "_s", ["_n"], buckets, checkpoint=checkpoint)
     ranked = ranked.select((-F.col("_s") if descending else F.col("_s")).alias("_s"),
                            (F.col("_n_before") + F.lit(1)).cast("int").alias(rank_col))
     return df.join(ranked, key == ranked["_s"], "left").drop("_s")
@@ -99,7 +104,8 @@ def leaderboard(submissions: DataFrame, team: str, score: str,
     teams = materialize(submissions.groupBy(team)
                         .agg(best.alias("best_score"),
                              F.count(F.lit(1)).cast("bigint").alias("n_submissions")))
-    ranked = global_rank(teams, "best_score", higher_is_better, "rank", buckets)
+    ranked = global_rank(teams, "best_score", higher_is_better, "rank", buckets,
+                         checkpoint=False)
     n_teams = teams.select(F.count(F.lit(1))).scalar()
     return (ranked.withColumn("n_teams", n_teams.cast("bigint"))
                   .withColumn("rank_frac", F.col("rank").cast("double")
