@@ -75,6 +75,13 @@ def parse_prop(props: str | Column, key: str, dtype: str = "int") -> Column:
     return F.get_json_object(_col(props), f"$.{key}").cast(dtype)
 
 
+def parse_props(props: str | Column, schema: str) -> Column:
+    """Several properties at once as a struct (``schema`` in DDL, e.g.
+    ``"k int, src string"``): each string is parsed once, however many keys
+    are read.  Missing keys and malformed strings give nulls."""
+    return F.from_json(_col(props), schema, {"mode": "PERMISSIVE"})
+
+
 def fold_of(key: str | Column, k: int) -> Column:
     """Stable fold in [0, k) from the first 32 bits of md5(key)."""
     h = F.conv(F.substring(F.md5(_col(key).cast("string")), 1, 8), 16, 10)

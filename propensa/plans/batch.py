@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa import defaults
-from propensa.functions import parse_prop
+from propensa.functions import parse_prop, parse_props
 from propensa.operators import clean, encode, evaluate, joins, rank, report
 from propensa.operators import features as feat
 from propensa.operators import sequence as seq
@@ -28,6 +28,12 @@ def q_parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", parse_prop("props", "k", "int").alias("k"))
 
 
+@register("p02_parse_props_struct")
+def q_parse_props_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select(
+        "event_id", parse_props("props", "k int").alias("p")).select("event_id", "p.k")
+
+
 @register("p03_observe")
 def q_observe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.observe(events(spark, sf_dir))

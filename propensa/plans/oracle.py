@@ -51,6 +51,8 @@ ORACLE["p01_load"] = "SELECT event_id, ts, user_id, event_type, value, props FRO
 ORACLE["p02_parse_props"] = """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
 
+ORACLE["p02_parse_props_struct"] = ORACLE["p02_parse_props"]
+
 ORACLE["p03_observe"] = f"""
 SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts < {T}"""
 

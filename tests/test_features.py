@@ -136,3 +136,12 @@ def test_lookback_and_date_partitions_prune_the_scan(spark, make_events):
     got = rows_by_user(t)
     assert got[1]["n_events"] == 2          # the 2024-01-10 view is outside the lookback
     assert rows_by_user(feat.training_table(stored, CUT, 3))[1]["n_events"] == 3
+
+
+def test_parse_props_struct(spark):
+    from propensa.functions import parse_props
+    df = spark.createDataFrame([('{"k": 69, "src": "app"}',), ('{"k": 1}',), ("not json",), (None,)],
+                               "props string")
+    got = [tuple(r) for r in df.select(parse_props("props", "k int, src string").alias("p"))
+           .select("p.k", "p.src").collect()]
+    assert got == [(69, "app"), (1, None), (None, None), (None, None)]
