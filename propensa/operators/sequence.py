@@ -154,8 +154,9 @@ def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
          .rowsBetween(Window.unboundedPreceding, -1))
     local = u.withColumn("_local", F.last("_p", ignorenulls=True).over(w))
 
-    # per bucket: its last right row; carried forward to later buckets
-    summary = (local.groupBy("_k", "_b")
+    # per bucket: its last right row (a partial aggregate of the unsorted
+    # rows); carried forward to later buckets
+    summary = (u.groupBy("_k", "_b")
                     .agg(F.max_by("_p", F.when(F.col("_side") == 1,
                                                F.struct("_us", "_tie"))).alias("_last")))
     carry = summary.select("_k", "_b",
