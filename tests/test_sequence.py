@@ -115,3 +115,15 @@ def test_null_keys_and_times_keep_their_rows(make_events):
     right = ev.filter("event_type = 'view'").select("user_id", "ts", "value")
     out = {r.event_id: r.prev_value for r in seq.asof_last(left, right).collect()}
     assert out == {3: None, 4: None, 5: 1.0}
+
+
+def test_sessions_agree_with_builtin_session_window(make_events):
+    from pyspark.sql import functions as F
+    rows = _random_rows(n=1500, days=4, seed=8)
+    ev = make_events(rows, 5)
+    ours = {(r.user_id, r.session_start, r.session_end, r.n_events)
+            for r in seq.sessions(ev).collect()}
+    builtin = {(r.user_id, r.s.start, r.s.end, r.n)
+               for r in ev.groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
+               .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert ours == builtin
