@@ -21,6 +21,8 @@ def build_session(app: str = "propensa", master: str | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # delete a checkpoint's files once its DataFrame is garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # merge session windows inside each partition before the shuffle
         .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.driver.memory", os.environ.get("PROPENSA_DRIVER_MEMORY", "8g"))
