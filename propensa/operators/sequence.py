@@ -10,6 +10,13 @@ row per non-empty bucket, so even a hot key's summary is small (history
 length / bucket width), and the bucket width can be as fine as the skew
 demands: no row is ever copied.
 
+A bucket can be hot too (a burst: one key, one day, a third of the data).
+Before bucketing, rows are counted per (key, bucket) as a partial aggregate;
+cells above ``max_bucket_rows`` (at most rows / ``max_bucket_rows`` of them,
+so the table is broadcast with a proven bound) are cut into equal slices of
+their observed time range.  Sub-buckets stay contiguous in time, so the carries work
+unchanged.
+
 The wide rows are shuffled once on ``(key, bucket)`` and the carry join
 reuses that partitioning; summary branches re-read only a narrow projection
 and aggregate it map-side.  Keys are handled through ``_k = struct(key)``,
@@ -38,15 +45,69 @@ def _floor_div(us: Column, width_us: int) -> Column:
     return ((us - F.pmod(us, w)) / w).cast("bigint")
 
 
-def _bucket(us: Column, width_us: int) -> Column:
-    return F.coalesce(_floor_div(us, width_us), F.lit(NULL_BUCKET))
+MAX_SPLIT = 1 << 16        # sub-buckets per bucket, at most
+MAX_BUCKET_ROWS = 5_000_000
+
+
+def _keyed(df: DataFrame, key: str, ts: str, *cols) -> DataFrame:
+    """``cols`` plus ``_k`` (non-null key surrogate) and ``_us``."""
+    return df.select(*cols, F.struct(F.col(key).alias("k")).alias("_k"),
+                     epoch_us(ts).alias("_us"))
 
 
-def _keyed(df: DataFrame, key: str, ts: str, width_us: int, *cols) -> DataFrame:
-    """``cols`` plus ``_k`` (non-null key surrogate), ``_us`` and ``_b``."""
-    return (df.select(*cols, F.struct(F.col(key).alias("k")).alias("_k"),
-                      epoch_us(ts).alias("_us"))
-              .withColumn("_b", _bucket(F.col("_us"), width_us)))
+def _hot_cells(cells: DataFrame, max_rows: int | None) -> DataFrame | None:
+    """``(_k, _cell, _lo, _span, _split)`` for cells with more than
+    ``max_rows`` rows.
+
+    ``cells`` has one row per row to place: ``_k``, ``_cell`` and its time
+    ``_t``.  Counting is a partial aggregate; the result has at most
+    rows / ``max_rows`` entries, which is what makes broadcasting it safe.
+    A hot cell is later cut into ``_split`` equal slices of its observed
+    time range ``[_lo, _lo + _span)``, so a burst inside the cell is spread
+    too.
+    """
+    if max_rows is None:
+        return None
+    hot = (cells.groupBy("_k", "_cell")
+                .agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
+                     F.max("_t").alias("_hi"))
+                .filter(F.col("_n") > F.lit(max_rows))
+                .select("_k", "_cell", "_lo",
+                        (F.col("_hi") - F.col("_lo") + F.lit(1)).alias("_span"),
+                        F.least(F.ceil(F.col("_n") / F.lit(max_rows)), F.lit(MAX_SPLIT))
+                        .cast("bigint").alias("_split")))
+    return F.broadcast(hot)
+
+
+def _cells(df: DataFrame, width_us: int, *times: str) -> DataFrame:
+    """One ``(_k, _cell, _t)`` row per time column per row of ``df``."""
+    pts = [F.struct(_cell(F.col(t), width_us).alias("_cell"), F.col(t).alias("_t"))
+           for t in times]
+    return df.select("_k", F.explode(F.array(*pts)).alias("_p")).select("_k", "_p.*")
+
+
+def _cell(us: Column, width_us: int) -> Column:
+    return _floor_div(us, width_us)
+
+
+def _with_bucket(df: DataFrame, us: str, width_us: int, hot: DataFrame | None,
+                 out: str = "_b") -> DataFrame:
+    """Add bucket ``out`` for time ``us``: ``cell * MAX_SPLIT + sub``, where a
+    hot cell is cut into ``_split`` equal slices of its time range (``sub``)
+    and any other cell has ``sub = 0``.  Rows without a time share
+    ``NULL_BUCKET``."""
+    d = df.withColumn("_cell", _cell(F.col(us), width_us))
+    if hot is None:
+        sub = F.lit(0).cast("bigint")
+    else:
+        d = d.join(hot, ["_k", "_cell"], "left")
+        scaled = (F.col(us) - F.col("_lo")) * F.col("_split")     # >= 0, < span * split
+        exact_div = ((scaled - F.pmod(scaled, F.col("_span"))) / F.col("_span")).cast("bigint")
+        sub = F.coalesce(exact_div, F.lit(0).cast("bigint"))
+    b = F.when(F.col(us).isNull(), F.lit(NULL_BUCKET)).otherwise(
+        F.col("_cell") * F.lit(MAX_SPLIT) + sub)
+    d = d.withColumn(out, b).drop("_cell")
+    return d.drop("_lo", "_span", "_split") if hot is not None else d
 
 
 def _per_key(order: str = "_b") -> Window:
@@ -60,7 +121,8 @@ def _with_carry(df: DataFrame, carry: DataFrame) -> DataFrame:
 
 def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
             value: str = "value", days: int = defaults.ROLLING_DAYS,
-            bucket_hours: int = 24, keep: list[str] | None = None) -> DataFrame:
+            bucket_hours: int = 24, keep: list[str] | None = None,
+            max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """Per row, count and sum of ``value`` over ``[ts - days, ts]`` of its key.
 
     The frame is a RANGE frame (rows with the same ``ts`` are peers and all
@@ -75,13 +137,16 @@ def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
     keep = keep if keep is not None else [c for c in ("event_id",) if c in df.columns]
     span = days * US_PER_DAY
     width = bucket_hours * US_PER_HOUR
-    base = _keyed(df, key, ts, width, *keep, key, ts, cents(value).alias("_c"))
+    base = _keyed(df, key, ts, *keep, key, ts, cents(value).alias("_c"))
+    base = base.withColumn("_lus", F.col("_us") - F.lit(span))    # lookup time
+    # a cell is hot if rows and lookups landing in it are many
+    hot = _hot_cells(_cells(base, width, "_us", "_lus"), max_bucket_rows)
+    base = _with_bucket(_with_bucket(base, "_us", width, hot), "_lus", width, hot, out="_lb")
 
     # totals of earlier buckets, for every bucket a row or a lookup falls in
-    lookup_b = _bucket(F.col("_us") - F.lit(span), width)
     marks = (base.select("_k", F.explode(F.array(
                  F.struct(F.col("_b").alias("_b"), F.lit(1).alias("_n"), F.col("_c").alias("_c")),
-                 F.struct(lookup_b.alias("_b"), F.lit(0).alias("_n"),
+                 F.struct(F.col("_lb").alias("_b"), F.lit(0).alias("_n"),
                           F.lit(None).cast("bigint").alias("_c")))).alias("_m"))
                  .select("_k", "_m.*"))
     wc = _per_key()
@@ -99,11 +164,10 @@ def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
           .select(*keep, key, ts, "_k",
                   (F.col("_cn") + F.col("_ln")).alias("_sn"),
                   (F.col("_cc") + F.col("_lc")).alias("_sc"),
-                  (F.col("_us") - F.lit(span)).alias("_us")))
+                  F.col("_lus").alias("_us"), F.col("_lb").alias("_b")))
 
     # pass 2: S(< ts - days), looked up among the key's rows
-    probes = (le.withColumn("_b", _bucket(F.col("_us"), width))
-                .withColumn("_side", F.lit(0)).withColumn("_c", F.lit(None).cast("bigint")))
+    probes = (le.withColumn("_side", F.lit(0)).withColumn("_c", F.lit(None).cast("bigint")))
     rows = base.select("_k", "_us", "_b", "_c", F.lit(1).alias("_side"))
     u = probes.unionByName(rows, allowMissingColumns=True)
     w_lt = (Window.partitionBy("_k", "_b").orderBy("_us")
@@ -122,7 +186,8 @@ def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
 def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
               ts: str = "ts", right_cols: list[str] | None = None,
               right_order: str | None = None, prefix: str = "prev_",
-              bucket_hours: int = 24) -> DataFrame:
+              bucket_hours: int = 24,
+              max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """For every left row, the latest right row of the same key with
     ``right.ts < left.ts`` (strict).  Left rows without one keep nulls.
 
@@ -138,15 +203,17 @@ def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
     payload = F.struct(F.col(ts).alias("ts"), *[F.col(c).alias(c) for c in right_cols])
     payload_type = right.select(payload).schema[0].dataType
 
-    lside = _keyed(left, key, ts, width, *left.columns,
+    lside = _keyed(left, key, ts, *left.columns,
                    F.lit(0).alias("_side"), F.lit(None).cast(payload_type).alias("_p"),
                    F.lit(None).cast(right.schema[tie].dataType).alias("_tie"))
     right = right.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    rside = _keyed(right, key, ts, width,
+    rside = _keyed(right, key, ts,
                    *[(F.col(c) if c in (key, ts) else F.lit(None).cast(left.schema[c].dataType))
                      .alias(c) for c in left.columns],
                    F.lit(1).alias("_side"), payload.alias("_p"), F.col(tie).alias("_tie"))
     u = lside.unionByName(rside)
+    hot = _hot_cells(_cells(u, width, "_us"), max_bucket_rows)
+    u = _with_bucket(u, "_us", width, hot)
 
     # latest right row strictly earlier in the same bucket; left rows sort
     # first among equal timestamps so an equal-time right row is not "earlier"
@@ -171,7 +238,8 @@ def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
 def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
                order: str = "event_id",
                gap_minutes: int = defaults.SESSION_GAP_MINUTES,
-               bucket_hours: int = 24, keep: list[str] | None = None) -> DataFrame:
+               bucket_hours: int = 24, keep: list[str] | None = None,
+               max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """Session number per row: a new session starts when the time since the
     key's previous row exceeds ``gap_minutes`` (a gap of exactly
     ``gap_minutes`` stays in the session).  Sessions are numbered from 1 per
@@ -184,7 +252,9 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
     keep = keep if keep is not None else [c for c in df.columns if c not in (key, ts)]
     gap = gap_minutes * US_PER_MINUTE
     width = bucket_hours * US_PER_HOUR
-    base = _keyed(df, key, ts, width, *keep, key, ts)
+    base = _keyed(df, key, ts, *keep, key, ts)
+    hot = _hot_cells(_cells(base, width, "_us"), max_bucket_rows)
+    base = _with_bucket(base, "_us", width, hot)
     w = Window.partitionBy("_k", "_b").orderBy("_us", order)
     local = (base
              .withColumn("_prev", F.lag("_us").over(w))
@@ -213,13 +283,15 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
 def sessions(df: DataFrame, key: str = "user_id", ts: str = "ts",
              order: str = "event_id", value: str | None = "value",
              gap_minutes: int = defaults.SESSION_GAP_MINUTES,
-             bucket_hours: int = 24) -> DataFrame:
+             bucket_hours: int = 24,
+             max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """One row per session: start, end (last event + gap), events, value.
 
     A session holding a third of all rows is still one partial aggregate.
     """
     keep = [order] + ([value] if value else [])
-    s = sessionize(df, key, ts, order, gap_minutes, bucket_hours, keep=keep)
+    s = sessionize(df, key, ts, order, gap_minutes, bucket_hours, keep=keep,
+                   max_bucket_rows=max_bucket_rows)
     aggs = [F.min(ts).alias("session_start"),
             (F.max(ts) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(gap_minutes)))
             .alias("session_end"),

@@ -24,11 +24,13 @@ def _pdf(rows):
     return p.sort_values(["user_id", "ts", "event_id"]).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("bucket_hours", [1, 24, 24 * 9])
-def test_rolling_matches_brute_force(make_events, bucket_hours):
+@pytest.mark.parametrize("bucket_hours,max_rows", [(1, None), (24, None), (24 * 9, None),
+                                                   (24, 25), (24 * 9, 40)])
+def test_rolling_matches_brute_force(make_events, bucket_hours, max_rows):
     rows = _random_rows()
     got = {r.event_id: (r.n_2d, r.sum_2d) for r in
-           seq.rolling(make_events(rows, 5), days=2, bucket_hours=bucket_hours).collect()}
+           seq.rolling(make_events(rows, 5), days=2, bucket_hours=bucket_hours,
+                       max_bucket_rows=max_rows).collect()}
     p = _pdf(rows)
     for _, r in p.iterrows():
         g = p[(p.user_id == r.user_id) & (p.ts <= r.ts) & (p.ts >= r.ts - pd.Timedelta(days=2))]
@@ -38,15 +40,17 @@ def test_rolling_matches_brute_force(make_events, bucket_hours):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("bucket_hours", [1, 24, 24 * 30])
-def test_asof_matches_brute_force(make_events, bucket_hours):
+@pytest.mark.parametrize("bucket_hours,max_rows", [(1, None), (24, None), (24 * 30, None),
+                                                   (24, 20)])
+def test_asof_matches_brute_force(make_events, bucket_hours, max_rows):
     rows = _random_rows(seed=5)
     ev = make_events(rows, 4)
     left = ev.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     right = ev.filter("event_type = 'view'").select("user_id", "ts", "value", "event_id")
     got = {r.event_id: (r.prev_ts, r.prev_event_id) for r in
            seq.asof_last(left, right, right_cols=["value", "event_id"],
-                         right_order="event_id", bucket_hours=bucket_hours).collect()}
+                         right_order="event_id", bucket_hours=bucket_hours,
+                         max_bucket_rows=max_rows).collect()}
     p = _pdf(rows)
     views = p[p.event_type == "view"]
     for _, r in p[p.event_type == "purchase"].iterrows():
@@ -81,11 +85,13 @@ def test_session_gap_edge(make_events, second, expected):
     assert got[-1].session_idx == expected
 
 
-@pytest.mark.parametrize("bucket_hours", [1, 24, 24 * 40])
-def test_sessionize_matches_brute_force(make_events, bucket_hours):
+@pytest.mark.parametrize("bucket_hours,max_rows", [(1, None), (24, None), (24 * 40, None),
+                                                   (24, 30), (24 * 40, 50)])
+def test_sessionize_matches_brute_force(make_events, bucket_hours, max_rows):
     rows = _random_rows(n=2000, days=5, seed=11)
     got = {r.event_id: (r.session_idx, r.is_start) for r in
-           seq.sessionize(make_events(rows, 6), bucket_hours=bucket_hours).collect()}
+           seq.sessionize(make_events(rows, 6), bucket_hours=bucket_hours,
+                          max_bucket_rows=max_rows).collect()}
     p = _pdf(rows)
     gap = p.groupby("user_id").ts.diff()
     p["start"] = (gap.isna() | (gap > pd.Timedelta(minutes=30))).astype(int)
@@ -127,3 +133,15 @@ def test_sessions_agree_with_builtin_session_window(make_events):
                for r in ev.groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
                .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert ours == builtin
+
+
+def test_hot_cells_are_split(make_events, spark):
+    """A burst (one key, one day) is cut into several buckets."""
+    from pyspark.sql import functions as F
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=7 * i), 0, "view", 1.0)
+            for i in range(3000)]
+    base = seq._keyed(make_events(rows), "user_id", "ts", "event_id")
+    hot = seq._hot_cells(seq._cells(base, seq.US_PER_DAY, "_us"), 500)
+    b = seq._with_bucket(base, "_us", seq.US_PER_DAY, hot)
+    sizes = [r["count"] for r in b.groupBy("_b").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 600 and sum(sizes) == 3000
