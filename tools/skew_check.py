@@ -81,6 +81,22 @@ def main() -> None:
     for _ in range(2):
         timed("rolling 7d, Window.partitionBy(user)", ra)
         timed("rolling 7d, (user, 24h bucket)", rb)
+    # burst: the hot key's third of the rows squeezed into one day
+    t0 = df.filter("user_id = 0").agg(F.min("ts")).first()[0]
+    span_us = (df.filter("user_id = 0").agg(F.max("ts")).first()[0] - t0).total_seconds() * 1e6
+    squeeze = F.lit(86_400_000_000 / span_us)
+    us0 = epoch_us(F.lit(t0).cast("timestamp_ntz"))
+    burst = materialize(df.withColumn("ts", F.when(
+        F.col("user_id") == 0,
+        F.timestamp_add("MICROSECOND", ((epoch_us("ts") - us0) * squeeze).cast("bigint"),
+                        F.lit(t0).cast("timestamp_ntz"))).otherwise(F.col("ts"))))
+    a = naive_sessionize(burst)
+    b = seq.sessionize(burst, keep=["event_id"], max_bucket_rows=50_000).select(
+        "event_id", "session_idx")
+    print("burst sessionize identical:", a.exceptAll(b).count() + b.exceptAll(a).count() == 0)
+    for _ in range(2):
+        timed("burst sessionize, partitionBy(user)", a)
+        timed("burst sessionize, split cells", b)
     spark.stop()
 
 
