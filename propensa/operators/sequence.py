@@ -14,8 +14,8 @@ A bucket can be hot too (a burst: one key, one day, a third of the data).
 Before bucketing, rows are counted per (key, bucket) as a partial aggregate;
 cells above ``max_bucket_rows`` (at most rows / ``max_bucket_rows`` of them,
 so the table is broadcast with a proven bound) are cut into equal slices of
-their observed time range.  Sub-buckets stay contiguous in time, so the carries work
-unchanged.
+their observed time range.  Slices stay contiguous in time, so the carries
+work unchanged.
 
 The wide rows are shuffled once on ``(key, bucket)`` and the carry join
 reuses that partitioning; summary branches re-read only a narrow projection
@@ -37,6 +37,8 @@ US_PER_MINUTE = 60_000_000
 US_PER_HOUR = 60 * US_PER_MINUTE
 US_PER_DAY = 24 * US_PER_HOUR
 NULL_BUCKET = -(2 ** 63)   # rows without a time: one bucket, ordered first
+MAX_SPLIT = 1 << 16        # slices per hot cell, at most
+MAX_BUCKET_ROWS = 5_000_000
 
 
 def _floor_div(us: Column, width_us: int) -> Column:
@@ -45,10 +47,6 @@ def _floor_div(us: Column, width_us: int) -> Column:
     return ((us - F.pmod(us, w)) / w).cast("bigint")
 
 
-MAX_SPLIT = 1 << 16        # sub-buckets per bucket, at most
-MAX_BUCKET_ROWS = 5_000_000
-
-
 def _keyed(df: DataFrame, key: str, ts: str, *cols) -> DataFrame:
     """``cols`` plus ``_k`` (non-null key surrogate) and ``_us``."""
     return df.select(*cols, F.struct(F.col(key).alias("k")).alias("_k"),
