@@ -63,3 +63,24 @@ def test_approximate_options_stay_close(spark):
     a = encode.clip_and_scale(df, "value", 0.05, exact=False).agg(F.max("value_clipped")).first()[0]
     e = encode.clip_and_scale(df, "value", 0.05).agg(F.max("value_clipped")).first()[0]
     assert abs(a - e) <= 1.0
+
+
+def test_cohort_diff_with_an_empty_side(spark):
+    a = spark.createDataFrame([(1,), (2,)], "user_id long")
+    empty = spark.createDataFrame([], "user_id long")
+    assert {r.status for r in report.cohort_diff(a, empty, "user_id").collect()} == {"lost"}
+    assert {r.status for r in report.cohort_diff(empty, a, "user_id").collect()} == {"new"}
+
+
+def test_report_keeps_null_dimension_values_apart_from_rollups(spark):
+    df = spark.createDataFrame([(None, 1.0), ("x", 2.0)], "t string, value double")
+    rows = report.report(df, ["t"], "rollup").collect()
+    null_group = [r for r in rows if r.t is None and r.g_t == 0]
+    total = [r for r in rows if r.g_t == 1]
+    assert null_group[0].n_events == 1 and total[0].n_events == 2
+
+
+def test_target_mean_ignores_null_targets(spark):
+    df = spark.createDataFrame([(1, "a", 1), (2, "a", None), (3, "a", 0)], "id long, cat string, y int")
+    got = {r.id: r.te for r in encode.target_mean(df, "cat", "y").collect()}
+    assert got[1] == 0.0 and got[3] == 1.0 and got[2] is None

@@ -89,3 +89,15 @@ def test_top_k_puts_nulls_last(spark):
     worst = [r.event_id for r in rank.top_k(df, "user_id", "value", 3, descending=False)
              .orderBy("rank").collect()]
     assert best == [11, 12, 10] and worst == [12, 11, 10]
+
+
+def test_global_rank_ascending_and_null_scores(spark):
+    df = spark.createDataFrame([(1, 3.0), (2, 1.0), (3, 1.0), (4, None)],
+                               "user_id long, score double")
+    got = {r.user_id: r["rank"] for r in rank.global_rank(df, "score", descending=False).collect()}
+    assert got == {2: 1, 3: 1, 1: 3, 4: None}     # null scores keep their row, unranked
+
+
+def test_auc_is_null_without_both_classes(spark):
+    df = spark.createDataFrame([(0.3, 1), (0.9, 1)], "score double, label int")
+    assert evaluate.auc(df).first().auc is None
