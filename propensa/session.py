@@ -36,22 +36,26 @@ def build_session(app: str = "propensa", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """The one base folder for checkpoints, written tables and sinks.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is; only when the
-    session has none (a bare local test session) is a scratch folder set.
+    The context's checkpoint folder wins: Spark fills it from
+    ``spark.checkpoint.dir`` and ``setCheckpointDir`` may replace it.  Without
+    one the setting itself is used.  Where neither exists, a scratch folder is
+    made for a local master (tests); on a cluster that is an error, because
+    executors would write to disks that nobody else can read.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        import tempfile
-        path = tempfile.mkdtemp(prefix="propensa-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        sc = spark.sparkContext
-    except Exception:   # Spark Connect: the server owns the checkpoint folder
-        return path
-    if sc.getCheckpointDir() is None:
+    sc = spark.sparkContext
+    path = sc.getCheckpointDir()
+    if path is None:
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            if not sc.master.split("[")[0] == "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver "
+                                 "and all executors share")
+            import tempfile
+            path = tempfile.mkdtemp(prefix="propensa-ckpt-")
         sc.setCheckpointDir(path)
+        path = sc.getCheckpointDir()
     return path
 
 
@@ -70,3 +74,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/propensa/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: columnar,
+    prunable, and kept when executors are lost."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
