@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.llm import oracle, quality_rules, token_count, token_file
+from propensa.llm import oracle, packing, quality_rules, repeats, token_count, token_file
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -22,6 +22,14 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_tokens(blocks)
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_report(_read(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=0, size=2048)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_count.count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -33,7 +41,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_file, op7_token_counts, op9_quality_rules)}
+    return {f.__name__: f for f in (op2_token_file, op3_repeats, op6_packing, op7_token_counts, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
