@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.llm import oracle, packing, quality_rules, repeats, token_count, token_file
+from propensa.llm import byte_cnn, decontaminate, oracle, packing, quality_rules, repeats, token_count, token_file
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -26,6 +26,10 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal_report(_read(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=0, size=2048)
 
@@ -35,13 +39,22 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = byte_cnn.fit_quality(docs, _read(spark, sf_dir, "labels"))
+    return byte_cnn.score(docs, model).select(
+        "doc_id", byte_cnn.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_file, op3_repeats, op6_packing, op7_token_counts, op9_quality_rules)}
+    return {f.__name__: f for f in (op2_token_file, op3_repeats, op4_decontamination, op6_packing, op7_token_counts, op8_quality,
+                                      op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
