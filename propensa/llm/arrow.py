@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -33,3 +33,11 @@ def text_of(docs: DataFrame, column: str = "text") -> Column:
 
 def field_type(docs: DataFrame, column: str) -> str:
     return docs.schema[column].dataType.simpleString()
+
+
+def aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rename all columns but ``used``, so that an operator's own columns
+    cannot clash with them; and how to get the columns back, in order."""
+    names = {c: c if c in used else f"own {i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select([docs[f"`{c}`"].alias(new) for c, new in names.items()])
+    return renamed, lambda df: df.select([F.col(f"`{new}`").alias(c) for c, new in names.items()])

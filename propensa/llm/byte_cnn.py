@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from propensa.llm.arrow import field_type, slices, text_of
 
-TRAIN_ROWS, TRAIN_CHUNKS = 4096, 4
-CHUNK, OVERLAP = 512, 16
-VECTOR, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 8, 2, 48, 24
+TRAIN_ROWS, TRAIN_CHUNKS = 8192, 6
+CHUNK, OVERLAP = 256, 16
+VECTOR, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 12, 2, 48, 24
 #: Chunks convolved at once.
 BATCH = 64
 
@@ -107,7 +107,7 @@ class ByteCNN:
         np.add.at(g["vector"], symbol.ravel(), d_inputs.reshape(-1, VECTOR))
         return g
 
-    def fit(self, chunks: np.ndarray, target: np.ndarray, weight: np.ndarray, epochs: int = 6, rate: float = 3e-3,
+    def fit(self, chunks: np.ndarray, target: np.ndarray, weight: np.ndarray, epochs: int = 4, rate: float = 3e-3,
             seed: int = 8) -> None:
         """Adam over shuffled batches, the rate falling to zero."""
         rng = np.random.default_rng(seed)
@@ -190,7 +190,7 @@ def training_chunks(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
             np.array([r["quality"] for r in got], np.float32))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 6) -> ByteCNN:
+def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 4) -> ByteCNN:
     """Fit on the driver: the sample is bounded by ``rows``."""
     chunks, owner, quality = training_chunks(docs, labels, rows)
     model = ByteCNN()

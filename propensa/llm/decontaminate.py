@@ -27,52 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensa.llm.arrow import text_of
+from propensa.llm.arrow import aside, text_of
 from propensa.llm.fm_index import FMIndex
+from propensa.llm.words import texts_words
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
 #: Bytes of text in a shard.
 SHARD = 8 << 20
-BASE = 0xC2B2AE3D27D4EB4F | 1
-INVERSE = pow(BASE, -1, 1 << 64)
-
-#: Word bytes are digits, a-z (after lowering A-Z) and all above 7F.
-_IS_WORD = np.zeros(256, bool)
-_IS_WORD[0x30:0x3A] = _IS_WORD[0x61:0x7B] = _IS_WORD[0x80:] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
-_VALUE = np.random.default_rng(4).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    if len(_POWERS.get(base, ())) < n:
-        steps = np.full(n, base, np.uint64)
-        steps[0] = 1
-        _POWERS[base] = np.multiply.accumulate(steps)
-    return _POWERS[base][:n]
-
-
-def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and 64-bit hash of each word of a byte array."""
-    data = _LOWER[data]
-    inside = _IS_WORD[data].view(np.int8)
-    edge = np.diff(np.concatenate([[0], inside, [0]]).astype(np.int8))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUE[data] * _powers(BASE, len(data)), out=sums[1:])
-    code = (sums[end] - sums[start]) * _powers(INVERSE, len(data) + 1)[start]
-    return start, end, code ^ (code >> np.uint64(29))
-
-
-def texts_words(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Document, start and end in it, and hash of all words of the texts."""
-    data = np.frombuffer(b"\n".join(texts), np.uint8)
-    start, end, code = words_of(data)
-    begin = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]]) if texts else np.zeros(0, np.int64)
-    document = np.searchsorted(begin, start, side="right") - 1
-    return document, start - begin[document], end - begin[document], code
 
 
 class Phrases:
@@ -222,7 +184,6 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WI
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without contaminated documents; own columns, texts whole."""
-    clear = docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns if c not in ("text",)})
-    found = find_benchmark(clear, benchmark, window).withColumn("n_hit", n_hit())
-    kept = found.where(~is_contaminated())
-    return kept.select(*[F.col(c if c == "text" else f"own_{c}").alias(c) for c in docs.columns])
+    renamed, back = aside(docs, "text")
+    found = find_benchmark(renamed, benchmark, window).withColumn("n_hit", n_hit())
+    return back(found.where(~is_contaminated()))

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.llm import byte_cnn, decontaminate, oracle, packing, quality_rules, repeats, token_count, token_file
+from propensa.llm import (byte_cnn, decontaminate, near_dedup, oracle, packing, quality_rules, repeats, token_count,
+                          token_file)
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -52,9 +53,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op2_token_file, op3_repeats, op4_decontamination, op6_packing, op7_token_counts, op8_quality,
-                                      op9_quality_rules)}
+                                      op9_quality_rules, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

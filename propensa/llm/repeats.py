@@ -38,7 +38,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensa.llm.arrow import field_type, text_of
+from propensa.llm.arrow import aside, field_type, text_of
 from propensa.llm.suffix_array import permuted_lcp, suffix_array
 from propensa.session import written
 
@@ -345,9 +345,9 @@ def removal_report(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """``docs`` with its own columns, repeated bytes cut from ``text``.  A
     character that loses some of its bytes loses all of them."""
-    table = with_removals(docs, length, anchor, hot)
-    columns = docs.columns
-    table = table.select(*columns, "spans")
+    renamed, back = aside(docs, "doc_id", "text")
+    table = with_removals(renamed, length, anchor, hot).drop("text_hash")
+    columns = renamed.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = columns.index("text")
@@ -360,4 +360,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             arrays[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    return table.mapInArrow(apply, table.select(columns).schema)
+    return back(table.mapInArrow(apply, table.select([f"`{c}`" for c in columns]).schema))
