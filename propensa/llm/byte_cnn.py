@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensa.llm.arrow import field_type, slices, text_of
+from propensa.llm.arrow import aside, field_type, slices, text_of
 
 TRAIN_ROWS, TRAIN_CHUNKS = 8192, 6
 CHUNK, OVERLAP = 256, 16
@@ -221,3 +221,9 @@ def score(docs: DataFrame, model: ByteCNN, column: str = "score") -> DataFrame:
 
     schema = ", ".join(f"`{c}` {field_type(table, c)}" for c in own)
     return table.mapInArrow(apply, f"{schema}, `{column}` double")
+
+
+def keep(docs: DataFrame, model: ByteCNN, least: float) -> DataFrame:
+    """The rows of ``docs``, with their columns, that score ``least`` or more."""
+    renamed, back = aside(docs, "text")
+    return back(score(renamed, model).where(F.col("score") >= least))

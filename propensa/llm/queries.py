@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.llm import (byte_cnn, decontaminate, near_dedup, oracle, packing, quality_rules, repeats, token_count,
-                          token_file)
+from propensa.llm import (byte_cnn, decontaminate, html_text, license_scan, near_dedup, oracle, packing,
+                          quality_rules, repeats, token_count, token_file)
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -18,6 +18,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.fit_licenses(docs))
+
+
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = token_file.write_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=2)
     return token_file.read_tokens(blocks)
@@ -31,6 +36,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_read(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=0, size=2048)
 
@@ -58,8 +67,9 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_file, op3_repeats, op4_decontamination, op6_packing, op7_token_counts, op8_quality,
-                                      op9_quality_rules, op10_near_dedup)}
+    found = (op1_licenses, op2_token_file, op3_repeats, op4_decontamination, op5_main_text, op6_packing,
+             op7_token_counts, op8_quality, op9_quality_rules, op10_near_dedup)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
