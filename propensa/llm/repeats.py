@@ -4,23 +4,24 @@ A byte goes if a string of ``length`` bytes that covers it also starts
 anywhere else, in the same document or another.  Suffixes are not compared
 corpus-wide; what could be equal is first brought into the same shard:
 
-1. *Anchors.*  Of every ``length``-byte window the leftmost lowest hash among
-   its ``ANCHOR``-byte substrings is selected.  Equal windows select equal
-   anchors at equal places, so a repeat shows in the surroundings of a
-   repeated anchor: the ``length - ANCHOR`` bytes on either side.
-2. *Counts.*  Spark counts anchors by hash, and surroundings by hash within
-   an anchor.  Surroundings that occur twice are repeats whole, however many
-   there are, so copies are never brought together.  Only different
-   surroundings of one anchor, one of each kind, go on.
+1. *Anchors.*  Every ``length``-byte window selects the leftmost lowest hash
+   among its ``ANCHOR``-byte substrings.  Equal windows select equal anchors at
+   equal places.  The windows that select one anchor overlap in a piece of
+   text, and each window is in one piece.
+2. *Counts.*  Spark counts anchors by hash, and pieces by hash within an
+   anchor.  Pieces that occur twice are repeats whole, however many there are,
+   so copies are never brought together.  Of different pieces of one anchor,
+   one of each kind goes on, and of these the windows whose common middle
+   (``BIN`` neighbouring windows at a time) occurs in another kind, too.
 3. *Shards.*  Those are dealt out by anchor.  Each shard's suffix array is
    built by induced sorting (``suffix_array``); permuted common prefixes give
    runs of suffixes that agree for ``length`` bytes, and a run with two
    places is a repeat.
-4. *Hot anchors*, with over ``HOT`` different surroundings, are not brought
+4. *Hot anchors*, with over ``HOT`` different pieces left, are not brought
    into one shard: their windows are counted by digest instead.
 
-Hashes of anchors only route.  Surroundings are told apart by two 64-bit
-hashes together, windows of hot anchors by 128 bits.
+Hashes of anchors and middles only route.  Pieces of an anchor are told apart
+by two 64-bit hashes together, windows of hot anchors by 128 bits.
 
 Cases: a null text is empty; texts under ``length`` bytes keep all; repeated
 rows are copies of each other, whatever their doc_id; null doc_ids are kept;
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +44,12 @@ from propensa.llm.suffix_array import permuted_lcp, suffix_array
 from propensa.session import written
 
 LENGTH, ANCHOR = 400, 128
-#: Different surroundings of one anchor that share a shard.
+#: Different pieces of one anchor that share a shard.
 HOT = 4096
+#: Neighbouring windows whose common middle is compared.
+BIN = 68
 #: Bytes hashed at once, and bytes in a shard.
-PART, SHARD = 1 << 21, 1 << 22
+PART, SHARD = 1 << 21, 1 << 21
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 PLACE_BITS = 24
@@ -81,17 +84,14 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def _parts(texts: list[bytes], length: int, anchor: int) -> Iterator[list[tuple]]:
-    """Runs of (text index, place in it, bytes, first and end window start):
-    every window start of every text once, with its anchors' surroundings."""
-    run, held, margin = [], 0, length - anchor
+def _parts(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Runs of (text index, place in it, bytes) that hold every window of
+    every text once."""
+    run, held = [], 0
     for i, text in enumerate(texts):
         for start in range(0, len(text) - length + 1, PART):
-            end = min(start + PART, len(text) - length + 1)
-            low = max(0, start - margin)
-            data = text[low:end + length + margin]
-            run.append((i, low, data, start - low, end - low))
-            held += len(data)
+            run.append((i, start, text[start:start + PART + length - 1]))
+            held += len(run[-1][2])
             if held >= PART:
                 yield run
                 run, held = [], 0
@@ -100,11 +100,11 @@ def _parts(texts: list[bytes], length: int, anchor: int) -> Iterator[list[tuple]
 
 
 def find_anchors(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Text index, place, anchor hash and surroundings hash of all anchors."""
-    found = []
-    margin, width = length - anchor, length - anchor + 1
+    """Text index, low and high end of the piece, place of the anchor in it,
+    anchor hash and piece hash of all anchors."""
+    found = [(np.empty(0, np.int64),) * 4 + (np.empty(0, np.uint64),) * 2]
     place_mask = np.uint64((1 << PLACE_BITS) - 1)
-    for run in _parts(texts, length, anchor):
+    for run in _parts(texts, length):
         data = np.frombuffer(b"".join(p[2] for p in run), np.uint8)
         sizes = np.array([len(p[2]) for p in run])
         begin = np.cumsum(sizes) - sizes
@@ -115,25 +115,43 @@ def find_anchors(texts: list[bytes], length: int = LENGTH, anchor: int = ANCHOR)
         hashes = _mix((sums[anchor:] - sums[:-anchor]) * inverse[:n + 1 - anchor])
         # the place below the hash: the leftmost of equal hashes is lowest
         ranked = (hashes & ~place_mask) | np.arange(len(hashes), dtype=np.uint64)
-        lowest = (sliding_min(ranked, width) & place_mask).astype(np.int64)
-        chosen = np.zeros(n, bool)
-        for b, p in zip(begin, run):
-            chosen[lowest[b + p[3]:b + p[4]]] = True
-        at = np.flatnonzero(chosen)
-        part = np.searchsorted(begin, at, side="right") - 1
-        low = np.maximum(begin[part], at - margin)
-        high = np.minimum(begin[part] + sizes[part], at + length)
-        around = (sums[high] - sums[low]) * inverse[low]
-        around = _mix(around + _mix(((high - low) * 4096 + at - low).astype(np.uint64)))
-        text = np.array([p[0] for p in run])[part]
-        place = at - begin[part] + np.array([p[1] for p in run])[part]
-        found.append((text, place, hashes[at], around))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
-    text, place, hashes, around = (np.concatenate(x) for x in zip(*found))
-    # a place near a part's limit may have been chosen from both sides
-    once = np.unique(np.stack([text, place]), axis=1, return_index=True)[1] if len(text) else []
-    return text[once], place[once], hashes[once], around[once]
+        lowest = (sliding_min(ranked, length - anchor + 1) & place_mask).astype(np.int64)
+        # windows inside one part, in order; those of one anchor are neighbours
+        inside = np.zeros(n + 1, np.int8)
+        inside[begin] = 1
+        inside[begin + sizes - length + 1] -= 1
+        window = np.flatnonzero(np.cumsum(inside, dtype=np.int8))
+        chosen = lowest[window]
+        first = np.flatnonzero(np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (np.diff(window) > 1)]))
+        low, at = window[first], chosen[first]
+        high = window[np.append(first[1:], len(window)) - 1] + length
+        piece = _mix((sums[high] - sums[low]) * inverse[low] + _mix(((high - low) * 4096 + at - low).astype(np.uint64)))
+        part = np.searchsorted(begin, low, side="right") - 1
+        move = np.array([p[1] for p in run])[part] - begin[part]
+        found.append((np.array([p[0] for p in run])[part], low + move, high + move, at - low, hashes[at], piece))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def bins_of(piece: bytes, offset: int, length: int = LENGTH, width: int = BIN) -> tuple[list[int], list[int]]:
+    """The bins (by distance of the window's start to the anchor) that a
+    piece has windows in, and the hash of the middle they share."""
+    bins = range((offset - len(piece) + length) // width, offset // width + 1)
+    middles = [piece[offset - width * j:offset - width * j + length - width + 1] for j in bins]
+    return list(bins), [xxhash.xxh64_intdigest(m) - (1 << 63) for m in middles]
+
+
+def windows_in(piece_size: int, offset: int, bins: list[int], length: int = LENGTH,
+               width: int = BIN) -> list[tuple[int, int]]:
+    """Limits, in the piece, of the texts that hold its windows in ``bins``."""
+    spans: list[tuple[int, int]] = []
+    for j in sorted(bins, reverse=True):      # windows from left to right
+        low = max(0, offset - width * (j + 1) + 1)
+        high = min(piece_size, offset - width * j + length)
+        if spans and spans[-1][1] - length + 1 >= low:
+            spans[-1] = spans[-1][0], high
+        else:
+            spans.append((low, high))
+    return spans
 
 
 def shard_repeats(pieces: list[bytes], place: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int]]:
@@ -144,7 +162,11 @@ def shard_repeats(pieces: list[bytes], place: np.ndarray, length: int = LENGTH)
     begin = np.cumsum(sizes + 1) - (sizes + 1)
     text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.uint16) + 1
     text[begin + sizes] = 0                   # separators
-    array = suffix_array(text, 257)
+    used = np.flatnonzero(np.bincount(text, minlength=257))
+    code = np.zeros(257, np.uint8 if len(used) <= 256 else np.uint16)
+    code[used] = np.arange(len(used))
+    text = code[text]
+    array = suffix_array(text, len(used))
     common = permuted_lcp(text, array)[array]
     piece = np.searchsorted(begin, array, side="right") - 1
     offset = array - begin[piece]
@@ -181,94 +203,97 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     kind = field_type(docs, "doc_id")
     data = docs.select("doc_id", "text_hash", F.col("text").cast("binary").alias("data")).where(
         F.octet_length("text") >= length)
-    margin = length - anchor
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = max(1, batch.num_rows * PART // max(PART, batch.nbytes))
             for start in range(0, batch.num_rows, size):
                 rows = batch.slice(start, size)
-                texts = rows.column("data").to_pylist()
-                text, place, hashes, around = find_anchors(texts, length, anchor)
+                text, low, high, offset, hashes, piece = find_anchors(rows.column("data").to_pylist(), length, anchor)
                 which = pa.array(text)
-                low, n = np.maximum(0, place - margin), np.array([len(t) for t in texts])[text]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id").take(which), rows.column("text_hash").take(which), pa.array(low),
-                     pa.array(np.minimum(n, place + length)), pa.array(hashes.view(np.int64)),
-                     pa.array(around.view(np.int64))], ["doc_id", "text_hash", "low", "high", "anchor", "around"])
+                     pa.array(high), pa.array(offset), pa.array(hashes.view(np.int64)), pa.array(piece.view(np.int64))],
+                    ["doc_id", "text_hash", "low", "high", "offset", "anchor", "piece"])
 
-    found = written(data.mapInArrow(
-        anchors, f"doc_id {kind}, text_hash bigint, low bigint, high bigint, anchor bigint, around bigint"), "anchors")
+    found = written(data.mapInArrow(anchors, f"doc_id {kind}, text_hash bigint, low bigint, high bigint, offset bigint, "
+                                             "anchor bigint, piece bigint"), "anchors")
     twice = found.groupBy("anchor").agg(
-        F.count("*").alias("n"), F.min("around").alias("a"), F.max("around").alias("b")).where("n > 1").selectExpr(
+        F.count("*").alias("n"), F.min("piece").alias("a"), F.max("piece").alias("b")).where("n > 1").selectExpr(
         "anchor", "a != b as varied")
     repeated = written(found.join(twice, "anchor"), "repeated")
     span = ["doc_id", "text_hash", "low", "high"]
 
     varied = repeated.where("varied")
-    kinds = written(varied.groupBy("anchor", "around").agg(
-        F.count("*").alias("n"), *[F.first(c).alias(c) for c in span]), "kinds")
+    kinds = written(varied.groupBy("anchor", "piece").agg(
+        F.count("*").alias("n"), *[F.first(c).alias(c) for c in [*span, "offset"]]), "kinds")
     copies = repeated.where("not varied").select(span).unionByName(
-        varied.join(kinds.where("n > 1").select("anchor", "around"), ["anchor", "around"]).select(span))
-    crowded = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("fewest"))
+        varied.join(kinds.where("n > 1").select("anchor", "piece"), ["anchor", "piece"]).select(span))
     # where every kind occurs twice, all of them are copies already
-    members = kinds.join(crowded.where("fewest = 1"), "anchor").withColumn("hot", F.col("kinds") > hot)
-    wanted = members.groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("low", "high", "anchor", "hot")).alias("wanted"))
-    # null-safe on doc_id; the hash takes part in the equality, too
+    once = kinds.groupBy("anchor").agg(F.min("n").alias("n")).where("n = 1").select("anchor")
+    wanted = kinds.join(once, "anchor").groupBy("doc_id", "text_hash").agg(
+        F.collect_list(F.struct("low", "high", "offset", "anchor", "piece")).alias("wanted"))
     bodies = _with_text(data, wanted, "inner")
 
-    def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 for start in range(0, len(row["wanted"]), 1024):
                     part = row["wanted"][start:start + 1024]
-                    n = len(part)
+                    texts = [row["data"][w["low"]:w["high"]] for w in part]
+                    bins = [bins_of(t, w["offset"], length) for t, w in zip(texts, part)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([w["anchor"] for w in part], pa.int64()), pa.array([w["hot"] for w in part]),
-                         pa.array([row["doc_id"]] * n, batch.schema.field("doc_id").type),
-                         pa.array([row["text_hash"]] * n, pa.int64()), pa.array([w["low"] for w in part], pa.int64()),
-                         pa.array([row["data"][w["low"]:w["high"]] for w in part], pa.binary())],
-                        ["anchor", "hot", "doc_id", "text_hash", "low", "piece"])
+                        [pa.array([w["anchor"] for w in part], pa.int64()), pa.array([w["piece"] for w in part], pa.int64()),
+                         pa.array([row["doc_id"]] * len(part), batch.schema.field("doc_id").type),
+                         pa.array([row["text_hash"]] * len(part), pa.int64()),
+                         pa.array([w["low"] for w in part], pa.int64()), pa.array([w["offset"] for w in part], pa.int64()),
+                         pa.array(texts, pa.binary()), pa.array([b for b, _ in bins], pa.list_(pa.int32())),
+                         pa.array([m for _, m in bins], pa.list_(pa.int64()))],
+                        ["anchor", "piece", "doc_id", "text_hash", "low", "offset", "data", "bins", "middles"])
 
     pieces = written(bodies.mapInArrow(
-        surroundings, f"anchor bigint, hot boolean, doc_id {kind}, text_hash bigint, low bigint, piece binary"),
-        "pieces")
+        cut_pieces, f"anchor bigint, piece bigint, doc_id {kind}, text_hash bigint, low bigint, offset bigint, "
+                    "data binary, bins array<int>, middles array<bigint>"), "pieces")
+    middles = pieces.select("anchor", "piece", F.inline(F.arrays_zip("bins", "middles"))).toDF(
+        "anchor", "piece", "bin", "middle")
+    shared = middles.groupBy("anchor", "bin", "middle").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    alive = written(middles.join(shared, ["anchor", "bin", "middle"]).groupBy("anchor", "piece").agg(
+        F.collect_list("bin").alias("alive")), "alive")
+    crowd = alive.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
+    left = written(pieces.drop("bins", "middles").join(alive, ["anchor", "piece"]).drop("piece").join(
+        crowd, "anchor", "left"), "left")
     schema = f"doc_id {kind}, text_hash bigint, low bigint, high bigint"
-    in_shards = pieces.where("not hot").select(
-        "anchor", "doc_id", "text_hash", "low", "piece", F.xxhash64("doc_id", "text_hash").alias("document"))
+    in_shards = left.where("hot is null").withColumn("document", F.xxhash64("doc_id", "text_hash"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def close(rows: pa.Table) -> pa.RecordBatch:
-            place = _mix(rows.column("document").to_numpy().view(np.uint64)) + \
-                rows.column("low").to_numpy().astype(np.uint64)
-            spans = shard_repeats(rows.column("piece").to_pylist(), place, length)
-            which = pa.array([s[0] for s in spans], pa.int64())
-            low = rows.column("low").take(which).to_numpy()
-            got = [rows.column("doc_id").take(which).combine_chunks(), rows.column("text_hash").take(which).combine_chunks(),
-                   pa.array(low + np.array([s[1] for s in spans], np.int64)),
-                   pa.array(low + np.array([s[2] for s in spans], np.int64))]
-            return pa.RecordBatch.from_arrays(got, ["doc_id", "text_hash", "low", "high"])
+        """Rows arrive ordered by anchor; an anchor's pieces stay together."""
+        held: list[tuple] = []
+        size, last = 0, None
+
+        def close() -> pa.RecordBatch:
+            texts, documents, doc_ids, text_hashes, lows = zip(*held)
+            low = np.array(lows, np.int64)
+            place = _mix(np.array(documents, np.int64).view(np.uint64)) + low.astype(np.uint64)
+            spans = shard_repeats(list(texts), place, length)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([doc_ids[p] for p, _, _ in spans], kinds_type), pa.array([text_hashes[p] for p, _, _ in spans], pa.int64()),
+                 pa.array([lows[p] + a for p, a, _ in spans], pa.int64()), pa.array([lows[p] + b for p, _, b in spans], pa.int64())],
+                ["doc_id", "text_hash", "low", "high"])
 
         for batch in batches:
-            # an anchor's pieces stay in one shard
-            keys = batch.column("anchor").to_numpy()
-            lengths = pa.compute.binary_length(batch.column("piece")).to_numpy()
-            start = 0
-            for i in range(batch.num_rows):
-                if size >= SHARD and last != keys[i]:
-                    held.append(batch.slice(start, i - start))
-                    yield close(pa.Table.from_batches(held))
-                    held, size, start = [], 0, i
-                size += int(lengths[i])
-                last = keys[i]
-            held.append(batch.slice(start))
-        if held and size:
-            yield close(pa.Table.from_batches(held))
+            kinds_type = batch.schema.field("doc_id").type
+            for start in range(0, batch.num_rows, 512):
+                for row in batch.slice(start, 512).to_pylist():
+                    if size >= SHARD and last != row["anchor"]:
+                        yield close()
+                        held, size = [], 0
+                    last = row["anchor"]
+                    for a, b in windows_in(len(row["data"]), row["offset"], row["alive"], length):
+                        held.append((row["data"][a:b], row["document"], row["doc_id"], row["text_hash"], row["low"] + a))
+                        size += b - a
+        if held:
+            yield close()
 
     from_shards = in_shards.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(shards, schema)
 
@@ -276,16 +301,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                n = len(row["piece"]) - length + 1
+                spans = windows_in(len(row["data"]), row["offset"], row["alive"], length)
+                at = [j for a, b in spans for j in range(a, b - length + 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([hashlib.md5(row["piece"][j:j + length]).digest() for j in range(n)], pa.binary()),
-                     pa.array([row["doc_id"]] * n, batch.schema.field("doc_id").type),
-                     pa.array([row["text_hash"]] * n, pa.int64()), pa.array(row["low"] + np.arange(n))],
+                    [pa.array([hashlib.md5(row["data"][j:j + length]).digest() for j in at], pa.binary()),
+                     pa.array([row["doc_id"]] * len(at), batch.schema.field("doc_id").type),
+                     pa.array([row["text_hash"]] * len(at), pa.int64()), pa.array([row["low"] + j for j in at], pa.int64())],
                     ["window", "doc_id", "text_hash", "low"])
 
-    single = pieces.where("hot").mapInArrow(windows, f"window binary, doc_id {kind}, text_hash bigint, low bigint")
-    place = F.xxhash64("doc_id", "text_hash", "low")
-    again = single.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b")
+    single = left.where("hot").mapInArrow(windows, f"window binary, doc_id {kind}, text_hash bigint, low bigint")
+    # a window is in one piece, and kinds are distinct: two rows are two places
+    again = single.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     from_hot = single.join(again, "window").select("doc_id", "text_hash", "low", (F.col("low") + length).alias("high"))
     return copies.unionByName(from_shards).unionByName(from_hot)
 

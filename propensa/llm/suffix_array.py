@@ -26,11 +26,12 @@ def suffix_array(text: np.ndarray, size: int | None = None) -> np.ndarray:
     text = np.asarray(text)
     n = len(text)
     size = int(text.max()) + 1 if size is None and n else (size or 1)
+    # 32-bit places: a shard is far below 2 ** 31 symbols
     text = text.astype(np.uint8 if size <= 1 << 8 else np.uint16 if size <= 1 << 16 else np.int64)
     if n <= 1:
         return np.arange(n)
     smaller = s_types(text)
-    marks = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    marks = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
     if len(marks) > 1:
         ordered = induce(text, size, smaller, marks)
         is_mark = np.zeros(n, bool)
@@ -49,7 +50,7 @@ def s_types(text: np.ndarray) -> np.ndarray:
     rises[:-1][text[:-1] > text[1:]] = -1
     rises[-1] = -1
     # equal neighbours share the type of the next change
-    place = np.where(rises != 0, np.arange(n), n - 1)
+    place = np.where(rises != 0, np.arange(n, dtype=np.int32), np.int32(n - 1))
     following = np.minimum.accumulate(place[::-1])[::-1]
     return rises[following] > 0
 
@@ -58,7 +59,7 @@ def named(text: np.ndarray, marks: np.ndarray, ordered: np.ndarray) -> tuple[np.
     """Ranks of the marked substrings in text order; how many differ."""
     n, m = len(text), len(marks)
     end = np.append(marks[1:] + 1, n)        # a substring includes the next mark
-    length = np.empty(n, np.int64)
+    length = np.empty(n, np.int32)
     length[marks] = end - marks
     a, b = ordered[:-1], ordered[1:]
     # the last one ends with the text, so it equals no other
@@ -72,7 +73,7 @@ def named(text: np.ndarray, marks: np.ndarray, ordered: np.ndarray) -> tuple[np.
         at += 8
         todo = todo[equal]
         todo = todo[length[a[todo]] > at]
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[ordered] = np.concatenate([[0], np.cumsum(~same)])
     names = rank[marks]
     return names, int(names.max()) + 1 if m else 0
@@ -81,13 +82,13 @@ def named(text: np.ndarray, marks: np.ndarray, ordered: np.ndarray) -> tuple[np.
 def order_of_names(names: np.ndarray, count: int, n: int) -> np.ndarray:
     """Suffix array of the string of names."""
     if count == len(names):
-        order = np.empty(count, np.int64)
-        order[names] = np.arange(count)
+        order = np.empty(count, np.int32)
+        order[names] = np.arange(count, dtype=np.int32)
         return order
     if count <= DIRECT or 2 * len(names) >= n:
         return suffix_array(names, count)
     base = int(np.ceil(np.sqrt(count)))
-    digits = np.empty(2 * len(names), np.int64)
+    digits = np.empty(2 * len(names), np.int32)
     digits[0::2], digits[1::2] = names // base, names % base
     order = suffix_array(digits, base)
     return order[order % 2 == 0] // 2
@@ -101,7 +102,7 @@ def induce(text: np.ndarray, size: int, smaller: np.ndarray, marks: np.ndarray)
     heads = ends - total
     n_s = np.bincount(text[smaller], minlength=size)
     tails = ends - n_s                       # first S place of each bucket
-    array = np.empty(n, np.int64)
+    array = np.empty(n, np.int32)
     # marks by bucket, in their order
     symbol = text[marks]
     by_symbol = marks[np.argsort(symbol, kind="stable")]
@@ -163,17 +164,17 @@ def permuted_lcp(text: np.ndarray, array: np.ndarray) -> np.ndarray:
     compared; each other value is one less than that of the position before.
     """
     n = len(text)
-    phi = np.full(n, -1, np.int64)
+    phi = np.full(n, -1, np.int32)
     phi[array[1:]] = array[:-1]
     before = np.maximum(phi - 1, 0)
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     carried = (phi > 0) & (place > 0)
     carried &= text[np.maximum(place - 1, 0)] == text[before]
     start = np.flatnonzero(~carried)
     other = phi[start]
     found = np.zeros(len(start), np.int64)
     todo = np.flatnonzero(other >= 0)
-    padded = np.concatenate([text.astype(np.int64), [-1] * 8])
+    padded = np.concatenate([text, np.zeros(8, text.dtype)])
     step, at = np.arange(8), 0
     while len(todo):
         a, b = start[todo] + at, other[todo] + at
@@ -185,6 +186,6 @@ def permuted_lcp(text: np.ndarray, array: np.ndarray) -> np.ndarray:
         todo = todo[run == 8]
         at += 8
     last = np.maximum.accumulate(np.where(~carried, place, 0))
-    value = np.zeros(n, np.int64)
+    value = np.zeros(n, np.int32)
     value[start] = found
     return np.maximum(value[last] - (place - last), 0)

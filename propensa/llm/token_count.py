@@ -86,7 +86,8 @@ class MergeTable:
 
     def learn(self, words: set[str]) -> None:
         """Count the words that are not known yet."""
-        new = self.counts.missing(words)
+        self.counts.turn()
+        new = self.counts.unknown(words)
         part: list[bytes] = []
         size, start = 0, 0
         for i, word in enumerate(new):
@@ -105,7 +106,7 @@ class MergeTable:
                 pieces = self.special.split(text)
                 extra[i] = len(pieces) - 1
             split.append([w for p in pieces for w in (WORDS if OTHER.search(p) else BYTE_WORDS).findall(p)])
-        self.learn({w for words in split for w in words})
+        self.learn(set().union(*split))
         get = self.counts.__getitem__
         return [n + sum(map(get, words)) for n, words in zip(extra, split)]
 

@@ -12,8 +12,11 @@ from __future__ import annotations
 import functools
 import json
 import re
+import sys
+from array import array
 
-import numpy as np
+if sys.byteorder != "little":
+    raise ImportError("token ids are handled as little-endian arrays")
 
 #: Characters on which the fast path agrees with the library: white space,
 #: ASCII, Latin-1 letters and a few marks that are neither letter nor number.
@@ -21,9 +24,10 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 SPACES = " \\t\\n\\r"
 OTHER = re.compile(f"[^{SPACES}!-~{LETTERS}¡§«»¿–—‘’“”…]")
 #: Word patterns of the two public vocabularies on those characters.
-BYTE_WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^{SPACES}{LETTERS}0-9]+"
+#: The frequent alternatives come first; they start differently from the others.
+BYTE_WORDS = re.compile(f" ?[{LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^{SPACES}{LETTERS}0-9]+"
                         f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
-LOWER_WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[0-9]|[^{SPACES}{LETTERS}0-9]+")
+LOWER_WORDS = re.compile(f"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^{SPACES}{LETTERS}0-9]+")
 #: Words kept in each of a worker's two generations.
 CACHE_WORDS = 400_000
 
@@ -38,22 +42,28 @@ def byte_alphabet() -> dict[int, str]:
 
 class Generations(dict):
     """A bounded dictionary: when full, it becomes the old generation, from
-    which words that are met again are taken over."""
+    which words that are met again are taken over; ``learn`` gives the rest."""
 
-    def __init__(self, limit: int = CACHE_WORDS):
+    def __init__(self, learn=None, limit: int = CACHE_WORDS):
         super().__init__()
-        self.limit, self.old = limit, {}
+        self.learn, self.limit, self.old = learn, limit, {}
 
-    def missing(self, words: set) -> list:
-        """Which of ``words`` are unknown; the others are in self afterwards."""
+    def turn(self) -> None:
+        """Start a new generation if this one is full."""
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
-        new = words.difference(self)
-        old = self.old
-        known = new.intersection(old)
-        self.update((w, old[w]) for w in known)
-        return list(new.difference(known))
+
+    def __missing__(self, word):
+        value = self.old.get(word)
+        if value is None:
+            value = self.learn(word)
+        self[word] = value
+        return value
+
+    def unknown(self, words: set) -> list:
+        """Which of ``words`` neither generation has."""
+        return list(words.difference(self).difference(self.old))
 
 
 class WordTokenizer:
@@ -69,21 +79,24 @@ class WordTokenizer:
         self.lower = any(n["type"] == "Lowercase" for n in (config["normalizer"] or {}).get("normalizers", []))
         self.words = LOWER_WORDS if self.lower else BYTE_WORDS
         self.alphabet = byte_alphabet()
-        self.cache = Generations()
+        self.cache = Generations(self.ids_of)
 
     def ids_of(self, word: str) -> bytes:
-        mapped = word.encode().decode("latin-1").translate(self.alphabet)
-        return np.array([t.id for t in self.library.model.tokenize(mapped)], "<u4").tobytes()
+        if word.isascii() and word.isalnum():
+            mapped = word
+        else:
+            mapped = word.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.library.model.tokenize(mapped)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if OTHER.search(t) or self.special.search(t) else
-                 self.words.findall(t.lower() if self.lower else t) for t in texts]
-        for word in self.cache.missing({w for words in split if words for w in words}):
-            self.cache[word] = self.ids_of(word)
-        get = self.cache.__getitem__
-        return [b"".join(map(get, words)) if words is not None else
-                np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-                for text, words in zip(texts, split)]
+        self.cache.turn()
+        return [self.encode_one(text) for text in texts]
+
+    def encode_one(self, text: str) -> bytes:
+        if OTHER.search(text) or self.special.search(text):
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        words = self.words.findall(text.lower() if self.lower else text)
+        return b"".join(map(self.cache.__getitem__, words))
 
 
 @functools.lru_cache(maxsize=2)
