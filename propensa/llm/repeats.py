@@ -348,7 +348,7 @@ def cut(data: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int, i
 
 def removal_report(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    table = with_removals(docs, length, anchor, hot).select(
+    table = with_removals(docs.select("doc_id", "text"), length, anchor, hot).select(
         "doc_id", F.col("text").cast("binary").alias("data"), "spans")
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
