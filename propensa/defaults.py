@@ -15,3 +15,4 @@ TOP_K = 3
 N_FOLDS = 5
 CLIP_P = 0.01
 THRESHOLD = 0.2
+MONEY_SCALE = 2    # decimal places of the fixture's values

@@ -1,9 +1,9 @@
 from propensa.functions.exprs import (
-    cents, epoch_us, exact_mean, exact_std, exact_sum, fold_of, parse_prop,
-    parse_props, safe_div, ts_lit,
+    epoch_us, exact_mean, exact_std, exact_sum, fold_of, parse_prop, parse_props, safe_div,
+    ts_lit, units, unscaled,
 )
 
 __all__ = [
-    "cents", "epoch_us", "exact_mean", "exact_std", "exact_sum", "fold_of",
-    "parse_prop", "parse_props", "safe_div", "ts_lit",
+    "epoch_us", "exact_mean", "exact_std", "exact_sum", "fold_of", "parse_prop", "parse_props",
+    "safe_div", "ts_lit", "units", "unscaled",
 ]

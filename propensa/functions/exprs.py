@@ -1,8 +1,9 @@
 """Column expressions shared by the operators.
 
-Money values are aggregated as integer cents so sums, means and standard
-deviations do not depend on partitioning or summation order: the same input
-gives the same bits on 8 threads or 1000 executors.
+A value column with a declared ``scale`` (decimal places, 2 for money) is
+aggregated in whole units of ``10 ** -scale``, so that sums, means and standard
+deviations do not depend on partitioning or summation order.  Without a scale
+values are aggregated as doubles, unrounded.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ def _col(c: str | Column) -> Column:
 def ts_lit(value: str | _dt.datetime) -> Column:
     """A ``timestamp_ntz`` literal (folds to a constant, so it pushes down)."""
     if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            raise ValueError("give a wall-clock time without a time zone")
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(value).cast("timestamp_ntz")
 
@@ -37,32 +40,49 @@ def epoch_us(ts: str | Column) -> Column:
     )
 
 
-def cents(value: str | Column) -> Column:
-    """A money value as integer cents."""
-    return F.round(_col(value) * F.lit(100)).cast("bigint")
+def units(value: str | Column, scale: int | None) -> Column:
+    """``value`` as whole units of ``10 ** -scale``: NaN, infinite and
+    oversized values have none and count as null.  Without a scale, the
+    value as a double."""
+    if scale is None:
+        return _col(value).cast("double")
+    return F.round(_col(value) * F.lit(float(10 ** scale))).try_cast("bigint")
 
 
-def exact_sum(c: Column) -> Column:
-    """``sum`` of a cents column, back in currency units (double)."""
-    return F.sum(c).cast("double") / F.lit(100.0)
+def unscaled(total: Column, scale: int | None) -> Column:
+    """A total of ``units`` back in the column's own units (double)."""
+    return total.cast("double") if scale is None else total.cast("double") / F.lit(float(10 ** scale))
 
 
-def exact_mean(c: Column) -> Column:
-    """Mean of a cents column: one division of two exact integers."""
-    return F.sum(c).cast("double") / (F.count(c) * F.lit(100)).cast("double")
+def exact_sum(c: Column, scale: int | None) -> Column:
+    """``sum`` of a ``units`` column."""
+    return unscaled(F.sum(c), scale)
 
 
-def exact_std(c: Column) -> Column:
-    """Sample standard deviation of a cents column; null below two rows.
+def exact_mean(c: Column, scale: int | None) -> Column:
+    """Mean of a ``units`` column; with a scale one division of two integers."""
+    if scale is None:
+        return F.avg(c)
+    return F.sum(c).cast("double") / (F.count(c) * F.lit(10 ** scale)).cast("double")
 
-    ``n*sum(x^2) - sum(x)^2`` is formed in decimal(38,0), which is exact, so the
-    only roundings are one division and one square root.
+
+def exact_std(c: Column, scale: int | None) -> Column:
+    """Sample standard deviation of a ``units`` column; null below two rows.
+
+    With a scale the squares are taken around ``q``, the mean to the nearest
+    unit: ``sum(x^2) - 2 q sum(x) + n q^2`` is exact in decimal(38,0) and no
+    larger than the sum of squares, so it does not overflow where that fits.
     """
-    d = c.cast("decimal(20,0)")
     n = F.count(c)
-    num = (n.cast("decimal(20,0)") * F.sum(d * d)) - (F.sum(d) * F.sum(d))
-    den = (n * (n - F.lit(1))).cast("double")
-    return F.when(n >= 2, F.sqrt(num.cast("double") / den) / F.lit(100.0))
+    if scale is None:
+        return F.when(n >= 2, F.stddev_samp(c))
+    total = F.sum(c)
+    q = F.round(total.cast("double") / F.nullif(n, F.lit(0)).cast("double")).cast("decimal(20,0)")
+    d, wide = c.cast("decimal(20,0)"), total.cast("decimal(20,0)")
+    around = F.sum(d * d) - F.lit(2) * (q * wide) + n.cast("decimal(20,0)") * (q * q)
+    rest = (wide - n.cast("decimal(20,0)") * q).cast("double")
+    var = (around.cast("double") - rest * rest / n.cast("double")) / (n - F.lit(1)).cast("double")
+    return F.when(n >= 2, unscaled(F.sqrt(F.greatest(var, F.lit(0.0))), scale))
 
 
 def safe_div(num: Column, den: Column) -> Column:
@@ -71,8 +91,9 @@ def safe_div(num: Column, den: Column) -> Column:
 
 
 def parse_prop(props: str | Column, key: str, dtype: str = "int") -> Column:
-    """One property of a JSON string column, typed."""
-    return F.get_json_object(_col(props), f"$.{key}").cast(dtype)
+    """One property of a JSON string column, typed; null if it is missing,
+    malformed or of another type, as with :func:`parse_props`."""
+    return F.get_json_object(_col(props), f"$.{key}").try_cast(dtype)
 
 
 def parse_props(props: str | Column, schema: str) -> Column:
@@ -83,6 +104,8 @@ def parse_props(props: str | Column, schema: str) -> Column:
 
 
 def fold_of(key: str | Column, k: int) -> Column:
-    """Stable fold in [0, k) from the first 32 bits of md5(key)."""
-    h = F.conv(F.substring(F.md5(_col(key).cast("string")), 1, 8), 16, 10)
+    """Stable fold in [0, k) from the first 32 bits of md5(key); a null key
+    has the fold of the empty string."""
+    text = F.coalesce(_col(key).cast("string"), F.lit(""))
+    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10)
     return F.pmod(h.cast("bigint"), F.lit(k)).cast("int")

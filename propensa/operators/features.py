@@ -3,7 +3,7 @@
 Each feature family is a list of aggregate expressions conditioned on the
 rows it may see, so several families share one scan and one
 ``groupBy(key)``.  Every aggregate here is algebraic (or, for the median, a
-frequency map of cents values), so Spark runs it as a partial aggregate
+frequency map of values), so Spark runs it as a partial aggregate
 before the shuffle: a key holding a third of all rows is combined on the map
 side and never reaches one task whole.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensa import defaults
-from propensa.functions import cents, epoch_us, exact_mean, exact_std, exact_sum, ts_lit
+from propensa.functions import epoch_us, exact_mean, exact_std, exact_sum, ts_lit, units, unscaled
 
 
 def _when(cond: Column | None, c: Column) -> Column:
@@ -65,25 +65,26 @@ def observe(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
 # ---------------------------------------------------------------- aggregates
 
 def rollup_aggs(cond: Column | None = None, ts: str = "ts",
-                value: str = "value", exact_median: bool = True) -> list[Column]:
+                value: str = "value", exact_median: bool = True,
+                scale: int | None = None) -> list[Column]:
     """count, sum, mean, stddev, median of ``value`` and active days.
 
-    The exact median's buffer is a map from distinct cents value to its
-    count, merged map-side: its size is bounded by the distinct money values
-    of a key, not by its rows.  ``exact_median=False`` uses a fixed-size
+    The exact median's buffer is a map from distinct value to its count,
+    merged map-side: with a ``scale`` its size is bounded by the distinct
+    units of a key, not by its rows.  ``exact_median=False`` uses a fixed-size
     sketch instead (``percentile_approx``) for value domains with no such
     bound.
     """
-    c = _when(cond, cents(value))
+    c = _when(cond, units(value, scale))
     day = _when(cond, F.to_date(F.col(ts)))
     median = (F.percentile(c, F.lit(0.5)) if exact_median
               else F.percentile_approx(c, 0.5, 10_000).cast("double"))
     return [
         _count(cond).cast("bigint").alias("n_events"),
-        exact_sum(c).alias("sum_value"),
-        exact_mean(c).alias("mean_value"),
-        exact_std(c).alias("std_value"),
-        (median / F.lit(100.0)).alias("median_value"),
+        exact_sum(c, scale).alias("sum_value"),
+        exact_mean(c, scale).alias("mean_value"),
+        exact_std(c, scale).alias("std_value"),
+        unscaled(median, scale).alias("median_value"),
         # distinct days as a set: one aggregation level (count(distinct)
         # would add a second shuffle), and the set holds at most one entry
         # per calendar day of the key's history, however hot the key
@@ -104,13 +105,13 @@ def type_count_aggs(cond: Column | None = None, type_col: str = "event_type",
 
 def horizon_aggs(cutoff: _dt.datetime = defaults.CUTOFF,
                  days: Sequence[int] = defaults.HORIZONS, ts: str = "ts",
-                 value: str = "value") -> list[Column]:
+                 value: str = "value", scale: int | None = None) -> list[Column]:
     """Counts and sums over the last ``d`` days before the cutoff, one pass."""
     out = []
     for d in days:
         inside = (F.col(ts) >= ts_lit(cutoff - _dt.timedelta(days=d))) & _before(ts, cutoff)
         out.append(F.count_if(inside).cast("bigint").alias(f"n_{d}d"))
-        out.append(F.coalesce(exact_sum(F.when(inside, cents(value))), F.lit(0.0))
+        out.append(F.coalesce(exact_sum(F.when(inside, units(value, scale)), scale), F.lit(0.0))
                    .alias(f"sum_{d}d"))
     return out
 
@@ -167,8 +168,9 @@ def label(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
 
 
 def rollup_features(df: DataFrame, key: str = "user_id", ts: str = "ts",
-                    value: str = "value", exact_median: bool = True) -> DataFrame:
-    return df.groupBy(key).agg(*rollup_aggs(None, ts, value, exact_median))
+                    value: str = "value", exact_median: bool = True,
+                    scale: int | None = None) -> DataFrame:
+    return df.groupBy(key).agg(*rollup_aggs(None, ts, value, exact_median, scale))
 
 
 def type_counts(df: DataFrame, key: str = "user_id", type_col: str = "event_type",
@@ -178,11 +180,12 @@ def type_counts(df: DataFrame, key: str = "user_id", type_col: str = "event_type
 
 def horizon_features(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
                      days: Sequence[int] = defaults.HORIZONS, key: str = "user_id",
-                     ts: str = "ts", value: str = "value") -> DataFrame:
+                     ts: str = "ts", value: str = "value",
+                     scale: int | None = None) -> DataFrame:
     """Per key seen before the cutoff, counts/sums over the trailing windows."""
     return (observe(df, cutoff, ts)
             .groupBy(key)
-            .agg(*horizon_aggs(cutoff, days, ts, value)))
+            .agg(*horizon_aggs(cutoff, days, ts, value, scale)))
 
 
 def recency(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
@@ -202,7 +205,8 @@ def training_table(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
                    horizons: Sequence[int] = defaults.HORIZONS,
                    target: str = defaults.TARGET_TYPE,
                    lookback_days: int | None = None,
-                   date_col: str | None = None) -> DataFrame:
+                   date_col: str | None = None, exact_median: bool = True,
+                   scale: int | None = None) -> DataFrame:
     """One row per key seen before the cutoff: all features plus the label.
 
     One scan (rows at or after cutoff + horizon, and before the lookback if
@@ -213,9 +217,9 @@ def training_table(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
     end = cutoff + _dt.timedelta(days=horizon_days)
     start = _lookback_start(cutoff, lookback_days)
     obs = _before(ts, cutoff)
-    aggs = (rollup_aggs(obs, ts, value)
+    aggs = (rollup_aggs(obs, ts, value, exact_median, scale)
             + type_count_aggs(obs, type_col, types)
-            + horizon_aggs(cutoff, horizons, ts, value)
+            + horizon_aggs(cutoff, horizons, ts, value, scale)
             + recency_aggs(cutoff, obs, ts)
             + gap_aggs(obs, ts)
             + [label_agg(cutoff, horizon_days, target, ts, type_col)])

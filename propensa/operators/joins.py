@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the frame
-    is returned unhinted, and Spark plans a shuffle join (AQE may still turn
-    it into a broadcast from runtime sizes, within its own threshold).
+def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = 16 << 20) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows and their
+    text form at most ``max_bytes`` bytes.
+
+    Rows and bytes are counted where they lie (a partial aggregate), so give a
+    table that is written or cheap to read.  Above a bound the frame is
+    returned unhinted, and Spark plans a shuffle join (AQE may still turn it
+    into a broadcast from runtime sizes, within its own threshold).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and total <= max_bytes else df
 
 
 def customer_dimension(customer: DataFrame, nation: DataFrame,

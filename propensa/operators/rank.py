@@ -37,8 +37,9 @@ def top_k(df: DataFrame, key: str, order: str, k: int = defaults.TOP_K,
 
 def prefix_before(df: DataFrame, order: str, sums: Sequence[str],
                   buckets: int | None = None, rel_err: float = 1e-4,
-                  checkpoint: bool = True) -> DataFrame:
-    """Add ``<c>_before`` = sum of ``c`` over rows with a smaller ``order``.
+                  checkpoint: bool = True, descending: bool = False) -> DataFrame:
+    """Add ``<c>_before`` = sum of ``c`` over rows with a smaller ``order``
+    (a larger one if ``descending``; NaN is the largest).
 
     ``df`` must hold one row per distinct, non-null ``order`` value (an
     aggregate).  The quantile bounds and the prefixes both read it, so it is
@@ -52,21 +53,26 @@ def prefix_before(df: DataFrame, order: str, sums: Sequence[str],
         df = materialize(df)
     bounds: list[float] = []
     if b > 1:
-        qs = df.stat.approxQuantile(order, [i / b for i in range(1, b)], rel_err)
-        bounds = sorted({float(x) for x in qs})
-    df = df.withColumn(order, F.col(order).cast("double"))
+        qs = (df.select(F.col(order).cast("double").alias("_q"))
+                .stat.approxQuantile("_q", [i / b for i in range(1, b)], rel_err))
+        bounds = sorted({float(x) for x in qs if abs(x) < float("inf")})
+    # ranges are cut on doubles; inside a range the column's own type orders
     if bounds:
         splits = [float("-inf")] + bounds + [float("inf")]
-        tagged = Bucketizer(splits=splits, inputCol=order, outputCol="_bk",
-                            handleInvalid="keep").transform(df)
+        tagged = Bucketizer(splits=splits, inputCol="_q", outputCol="_bk", handleInvalid="keep").transform(
+            df.withColumn("_q", F.col(order).cast("double"))).drop("_q")
     else:
         tagged = df.withColumn("_bk", F.lit(0.0))
-    w = (Window.partitionBy("_bk").orderBy(order)
+
+    def ordered(c: str):
+        return F.col(c).desc() if descending else F.col(c).asc()
+
+    w = (Window.partitionBy("_bk").orderBy(ordered(order))
          .rowsBetween(Window.unboundedPreceding, -1))
     inner = tagged.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_in_{c}")
                                  for c in sums])
     # one row per bucket (at most `b`): a single-task window over it is bounded
-    wb = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    wb = Window.orderBy(ordered("_bk")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy("_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
                      .select("_bk", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0))
                                       .alias(f"_off_{c}") for c in sums]))
@@ -81,19 +87,16 @@ def global_rank(df: DataFrame, score: str, descending: bool = True,
                 checkpoint: bool = True) -> DataFrame:
     """SQL ``rank()`` over the whole frame: 1 + rows with a strictly better score.
 
-    Rows are first counted per distinct score (a partial aggregate, so a
-    score shared by a third of the rows costs nothing), ranked with
-    :func:`prefix_before`, and joined back on the score.
+    Rows are first counted per distinct score (a partial aggregate), ranked
+    with :func:`prefix_before` in the score's own type (NaN is the largest),
+    and joined back on the score.  The ranked side has one row per score, so
+    AQE may split the rows of a hot one.  Null scores have no rank.
     """
-    key = F.col(score).cast("double")
     counts = (df.filter(F.col(score).isNotNull())
-                .groupBy(key.alias("_s")).agg(F.count(F.lit(1)).alias("_n")))
-    if descending:
-        counts = counts.withColumn("_s", -F.col("_s"))
-    ranked = prefix_before(counts, "_s", ["_n"], buckets, checkpoint=checkpoint)
-    ranked = ranked.select((-F.col("_s") if descending else F.col("_s")).alias("_s"),
-                           (F.col("_n_before") + F.lit(1)).cast("int").alias(rank_col))
-    return df.join(ranked, key == ranked["_s"], "left").drop("_s")
+                .groupBy(F.col(score).alias("_s")).agg(F.count(F.lit(1)).alias("_n")))
+    ranked = prefix_before(counts, "_s", ["_n"], buckets, checkpoint=checkpoint, descending=descending)
+    ranked = ranked.select("_s", (F.col("_n_before") + F.lit(1)).cast("bigint").alias(rank_col))
+    return df.join(ranked, F.col(score) == ranked["_s"], "left").drop("_s")
 
 
 def leaderboard(submissions: DataFrame, team: str, score: str,

@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensa.functions import cents, exact_sum
+from propensa.functions import exact_sum, units
 
 
 def report(df: DataFrame, dims: Sequence[str], how: str = "cube",
-           value: str = "value") -> DataFrame:
+           value: str = "value", scale: int | None = None) -> DataFrame:
     """Counts and sums over a cube or rollup of ``dims``, with one
     ``g_<dim>`` flag per dimension (1 where the dimension is rolled up)."""
     grouped = {"cube": df.cube, "rollup": df.rollup}[how](*dims)
     return grouped.agg(*[F.grouping(d).cast("int").alias(f"g_{d}") for d in dims],
                        F.count(F.lit(1)).cast("bigint").alias("n_events"),
-                       exact_sum(cents(value)).alias("sum_value"))
+                       exact_sum(units(value, scale), scale).alias("sum_value"))
 
 
 def cohort_diff(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

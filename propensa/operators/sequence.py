@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensa import defaults
-from propensa.functions import cents, epoch_us
+from propensa.functions import epoch_us, exact_sum, units, unscaled
 
 US_PER_MINUTE = 60_000_000
 US_PER_HOUR = 60 * US_PER_MINUTE
@@ -120,11 +120,14 @@ def _with_carry(df: DataFrame, carry: DataFrame) -> DataFrame:
 def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
             value: str = "value", days: int = defaults.ROLLING_DAYS,
             bucket_hours: int = 24, keep: list[str] | None = None,
-            max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
+            max_bucket_rows: int | None = MAX_BUCKET_ROWS,
+            scale: int | None = None) -> DataFrame:
     """Per row, count and sum of ``value`` over ``[ts - days, ts]`` of its key.
 
     The frame is a RANGE frame (rows with the same ``ts`` are peers and all
-    count).  It is computed as a difference of cumulative sums,
+    count; rows without a time are peers of each other).  NaN and infinite
+    values count as null in the sum, which is 0 if the frame has no value.
+    It is computed as a difference of cumulative sums,
     ``S(<= ts) - S(< ts - days)``, so the bucket width is free of the frame
     length: a hot key can be cut into buckets as fine as ``bucket_hours``
     with no row copied.  Both cumulative sums are a bucket-local window plus
@@ -135,7 +138,11 @@ def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
     keep = keep if keep is not None else [c for c in ("event_id",) if c in df.columns]
     span = days * US_PER_DAY
     width = bucket_hours * US_PER_HOUR
-    base = _keyed(df, key, ts, *keep, key, ts, cents(value).alias("_c"))
+    c = units(value, scale)
+    if scale is None:
+        c = F.when(F.abs(c) < F.lit(float("inf")), c)     # neither NaN nor infinite
+    base = _keyed(df, key, ts, *keep, key, ts, c.alias("_c"))
+    c_type = base.schema["_c"].dataType
     base = base.withColumn("_lus", F.col("_us") - F.lit(span))    # lookup time
     # a cell is hot if rows and lookups landing in it are many
     hot = _hot_cells(_cells(base, width, "_us", "_lus"), max_bucket_rows)
@@ -145,7 +152,7 @@ def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
     marks = (base.select("_k", F.explode(F.array(
                  F.struct(F.col("_b").alias("_b"), F.lit(1).alias("_n"), F.col("_c").alias("_c")),
                  F.struct(F.col("_lb").alias("_b"), F.lit(0).alias("_n"),
-                          F.lit(None).cast("bigint").alias("_c")))).alias("_m"))
+                          F.lit(None).cast(c_type).alias("_c")))).alias("_m"))
                  .select("_k", "_m.*"))
     wc = _per_key()
     carry = (marks.groupBy("_k", "_b").agg(F.sum("_n").alias("_tn"), F.sum("_c").alias("_tc"))
@@ -165,7 +172,7 @@ def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
                   F.col("_lus").alias("_us"), F.col("_lb").alias("_b")))
 
     # pass 2: S(< ts - days), looked up among the key's rows
-    probes = (le.withColumn("_side", F.lit(0)).withColumn("_c", F.lit(None).cast("bigint")))
+    probes = (le.withColumn("_side", F.lit(0)).withColumn("_c", F.lit(None).cast(c_type)))
     rows = base.select("_k", "_us", "_b", "_c", F.lit(1).alias("_side"))
     u = probes.unionByName(rows, allowMissingColumns=True)
     w_lt = (Window.partitionBy("_k", "_b").orderBy("_us")
@@ -174,11 +181,12 @@ def rolling(df: DataFrame, key: str = "user_id", ts: str = "ts",
                       .withColumn("_lc", F.coalesce(F.sum("_c").over(w_lt), F.lit(0)))
                       .filter(F.col("_side") == 0),
                      carry)
-    return lt.select(
-        *keep, key, ts,
-        (F.col("_sn") - F.col("_cn") - F.col("_ln")).cast("bigint").alias(f"n_{days}d"),
-        ((F.col("_sc") - F.col("_cc") - F.col("_lc")).cast("double") / F.lit(100.0))
-        .alias(f"sum_{days}d"))
+    # nothing lies before the frame of a row without a time
+    timed = F.col(ts).isNotNull()
+    n = F.col("_sn") - F.when(timed, F.col("_cn") + F.col("_ln")).otherwise(0)
+    total = F.col("_sc") - F.when(timed, F.col("_cc") + F.col("_lc")).otherwise(0)
+    return lt.select(*keep, key, ts, n.cast("bigint").alias(f"n_{days}d"),
+                     unscaled(total, scale).alias(f"sum_{days}d"))
 
 
 def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
@@ -190,25 +198,28 @@ def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
     ``right.ts < left.ts`` (strict).  Left rows without one keep nulls.
 
     ``right_order`` breaks ties between right rows with equal ``ts`` (the
-    larger one wins).  The result has the left columns plus
+    larger one wins), then the right columns in order; without it they alone
+    do.  The result has the left columns plus
     ``prefix + ts`` and ``prefix + c`` for each right column.  Right rows
     with a null key or time can never match and are left out.
     """
     right_cols = right_cols if right_cols is not None else [
         c for c in right.columns if c not in (key, ts)]
-    tie = right_order or ts
     width = bucket_hours * US_PER_HOUR
     payload = F.struct(F.col(ts).alias("ts"), *[F.col(c).alias(c) for c in right_cols])
     payload_type = right.select(payload).schema[0].dataType
+    tie = F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate(
+        ([right_order] if right_order else []) + list(right_cols))] or [F.lit(0).alias("t0")])
+    tie_type = right.select(tie).schema[0].dataType
 
     lside = _keyed(left, key, ts, *left.columns,
                    F.lit(0).alias("_side"), F.lit(None).cast(payload_type).alias("_p"),
-                   F.lit(None).cast(right.schema[tie].dataType).alias("_tie"))
+                   F.lit(None).cast(tie_type).alias("_tie"))
     right = right.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     rside = _keyed(right, key, ts,
                    *[(F.col(c) if c in (key, ts) else F.lit(None).cast(left.schema[c].dataType))
                      .alias(c) for c in left.columns],
-                   F.lit(1).alias("_side"), payload.alias("_p"), F.col(tie).alias("_tie"))
+                   F.lit(1).alias("_side"), payload.alias("_p"), tie.alias("_tie"))
     u = lside.unionByName(rside)
     hot = _hot_cells(_cells(u, width, "_us"), max_bucket_rows)
     u = _with_bucket(u, "_us", width, hot)
@@ -245,7 +256,8 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
 
     Within a bucket ``lag`` finds the previous row; for a bucket's first row
     the carry supplies the last time of earlier buckets and the number of
-    sessions they started.
+    sessions they started.  A key's rows without a time form one session
+    before all others.
     """
     keep = keep if keep is not None else [c for c in df.columns if c not in (key, ts)]
     gap = gap_minutes * US_PER_MINUTE
@@ -256,6 +268,7 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
     w = Window.partitionBy("_k", "_b").orderBy("_us", order)
     local = (base
              .withColumn("_prev", F.lag("_us").over(w))
+             .withColumn("_rn", F.row_number().over(w))
              .withColumn("_ls", F.when(F.col("_us") - F.col("_prev") > gap, 1).otherwise(0))
              .withColumn("_rl", F.sum("_ls").over(w.rowsBetween(Window.unboundedPreceding, 0))))
 
@@ -274,7 +287,7 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
     return res.select(
         *keep, key, ts,
         (F.col("_cs") + F.col("_fs") + F.col("_rl")).cast("bigint").alias("session_idx"),
-        F.when(F.col("_prev").isNull(), F.col("_fs")).otherwise(F.col("_ls"))
+        F.when(F.col("_rn") == 1, F.col("_fs")).otherwise(F.col("_ls"))
          .cast("int").alias("is_start"))
 
 
@@ -282,7 +295,8 @@ def sessions(df: DataFrame, key: str = "user_id", ts: str = "ts",
              order: str = "event_id", value: str | None = "value",
              gap_minutes: int = defaults.SESSION_GAP_MINUTES,
              bucket_hours: int = 24,
-             max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
+             max_bucket_rows: int | None = MAX_BUCKET_ROWS,
+             scale: int | None = None) -> DataFrame:
     """One row per session: start, end (last event + gap), events, value.
 
     A session holding a third of all rows is still one partial aggregate.
@@ -295,5 +309,5 @@ def sessions(df: DataFrame, key: str = "user_id", ts: str = "ts",
             .alias("session_end"),
             F.count(F.lit(1)).cast("bigint").alias("n_events")]
     if value:
-        aggs.append((F.sum(cents(value)).cast("double") / F.lit(100.0)).alias("sum_value"))
+        aggs.append(exact_sum(units(value, scale), scale).alias("sum_value"))
     return s.groupBy(key, "session_idx").agg(*aggs)

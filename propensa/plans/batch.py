@@ -14,7 +14,7 @@ from propensa.operators.model import fit_score
 from propensa.plans.registry import register
 from propensa.functions import ts_lit
 from propensa.sources import events, load
-from propensa.session import materialize
+from propensa.session import written
 
 
 @register("p01_load")
@@ -46,7 +46,7 @@ def q_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p05_rollup_features")
 def q_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feat.rollup_features(feat.observe(events(spark, sf_dir)))
+    return feat.rollup_features(feat.observe(events(spark, sf_dir)), scale=defaults.MONEY_SCALE)
 
 
 @register("p06_type_counts")
@@ -56,7 +56,7 @@ def q_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p07_horizon_features")
 def q_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feat.horizon_features(events(spark, sf_dir))
+    return feat.horizon_features(events(spark, sf_dir), scale=defaults.MONEY_SCALE)
 
 
 @register("p09_recency")
@@ -71,14 +71,14 @@ def q_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("training_table")
 def q_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feat.training_table(events(spark, sf_dir))
+    return feat.training_table(events(spark, sf_dir), scale=defaults.MONEY_SCALE)
 
 
 # ---------------------------------------------------------------- sequences
 
 @register("p08_rolling")
 def q_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seq.rolling(events(spark, sf_dir), days=defaults.ROLLING_DAYS)
+    return seq.rolling(events(spark, sf_dir), days=defaults.ROLLING_DAYS, scale=defaults.MONEY_SCALE)
 
 
 @register("p11_asof_last_view")
@@ -99,14 +99,18 @@ def q_sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p12_sessions")
 def q_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seq.sessions(events(spark, sf_dir))
+    return seq.sessions(events(spark, sf_dir), scale=defaults.MONEY_SCALE)
 
 
 # ---------------------------------------------------------------- cleaning
 
 @register("p25_dedup_batch")
 def q_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.dedup(events(spark, sf_dir), "event_id", ["ts"])
+    # purchases arrive again an hour later; the first copies stay
+    ev = events(spark, sf_dir)
+    again = ev.filter(F.col("event_type") == defaults.TARGET_TYPE).withColumn(
+        "ts", F.col("ts") + F.expr("interval 1 hour"))
+    return clean.dedup(ev.unionByName(again), "event_id", ["ts"])
 
 
 # ---------------------------------------------------------------- joins
@@ -115,7 +119,7 @@ def q_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_user = (feat.observe(events(spark, sf_dir))
                 .groupBy("user_id")
-                .agg(*feat.rollup_aggs()[:2]))
+                .agg(*feat.rollup_aggs(scale=defaults.MONEY_SCALE)[:2]))
     dim = joins.customer_dimension(load(spark, sf_dir, "customer"),
                                    load(spark, sf_dir, "nation"),
                                    load(spark, sf_dir, "region"))
@@ -138,7 +142,7 @@ def q_target_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("p15_clip_and_scale")
 def q_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir).select("event_id", "value")
-    return encode.clip_and_scale(ev, "value", defaults.CLIP_P).drop("value")
+    return encode.clip_and_scale(ev, "value", defaults.CLIP_P, scale=defaults.MONEY_SCALE).drop("value")
 
 
 @register("p16_hash_split")
@@ -157,7 +161,7 @@ def q_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def baseline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Smoothed purchase rate before the cutoff as a score, with the label."""
-    t = feat.training_table(events(spark, sf_dir))
+    t = feat.training_table(events(spark, sf_dir), scale=defaults.MONEY_SCALE)
     score = ((F.col(f"n_{defaults.TARGET_TYPE}") + 1).cast("double")
              / (F.col("n_events") + 2).cast("double"))
     return t.select("user_id", score.alias("score"), "label")
@@ -183,12 +187,12 @@ def _with_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p20_report_cube")
 def q_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.report(_with_day(spark, sf_dir), ["event_type", "day"], "cube")
+    return report.report(_with_day(spark, sf_dir), ["event_type", "day"], "cube", scale=defaults.MONEY_SCALE)
 
 
 @register("p20_report_rollup")
-def q_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.report(_with_day(spark, sf_dir), ["event_type", "day"], "rollup")
+def q_report_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.report(_with_day(spark, sf_dir), ["event_type", "day"], "rollup", scale=defaults.MONEY_SCALE)
 
 
 def _buyers(ev: DataFrame, start: str, end: str) -> DataFrame:
@@ -217,6 +221,14 @@ MODEL_FEATURES = (
 @register("p22_fit_score")
 def q_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one pass over events for both splits
-    t = materialize(encode.hash_split(feat.training_table(events(spark, sf_dir)), "user_id"))
+    t = written(encode.hash_split(feat.training_table(events(spark, sf_dir), scale=defaults.MONEY_SCALE), "user_id"), "features")
     return fit_score(t.filter(F.col("fold") != 0), t.filter(F.col("fold") == 0),
                      MODEL_FEATURES)
+
+
+@register("p22_fit_score_check")
+def q_fit_score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is certain of the scores: the test users, their labels, and that
+    each score is a probability."""
+    scored = q_fit_score(spark, sf_dir)
+    return scored.select("user_id", "label", ((F.col("score") > 0) & (F.col("score") < 1)).alias("in_range"))

@@ -11,16 +11,21 @@ T = "TIMESTAMP '2024-01-21 00:00:00'"
 T_DATE = "DATE '2024-01-21'"
 T_END = "TIMESTAMP '2024-01-24 00:00:00'"  # cutoff + 3-day horizon
 
-_CENTS = "CAST(round(value * 100) AS BIGINT)"
+_CENTS = "CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)"
 _E = f"e AS (SELECT *, {_CENTS} AS c, CAST(ts AS DATE) AS day FROM events)"
 
-_ROLLUP = """
+# around the mean to the nearest cent, so that squares stay small
+_Q = "CAST(round(CAST(sum(c) AS DOUBLE) / CAST(count(c) AS DOUBLE)) AS HUGEINT)"
+_STD = f"""sqrt((CAST(sum(c * c) - 2 * {_Q} * sum(c) + count(c) * {_Q} * {_Q} AS DOUBLE)
+             - CAST(sum(c) - count(c) * {_Q} AS DOUBLE) * CAST(sum(c) - count(c) * {_Q} AS DOUBLE) / CAST(count(c) AS DOUBLE))
+            / CAST(count(c) - 1 AS DOUBLE)) / 100.0"""
+
+_ROLLUP = f"""
     count(*) AS n_events,
     CAST(sum(c) AS DOUBLE) / 100.0 AS sum_value,
     CAST(sum(c) AS DOUBLE) / CAST(count(c) * 100 AS DOUBLE) AS mean_value,
     CASE WHEN count(c) >= 2 THEN
-      sqrt(CAST(count(c) * sum(c * c) - sum(c) * sum(c) AS DOUBLE)
-           / CAST(count(c) * (count(c) - 1) AS DOUBLE)) / 100.0 END AS std_value,
+      {_STD} END AS std_value,
     quantile_cont(c, 0.5) / 100.0 AS median_value,
     count(DISTINCT day) AS active_days"""
 
@@ -143,7 +148,7 @@ WITH {_SESS}
 SELECT user_id, CAST(session_idx AS BIGINT) AS session_idx,
        min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
        count(*) AS n_events,
-       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS sum_value
+       CAST(sum({_CENTS}) AS DOUBLE) / 100.0 AS sum_value
 FROM n GROUP BY user_id, session_idx"""
 
 ORACLE["p13_enrich"] = f"""
@@ -167,13 +172,12 @@ SELECT event_id, k, y,
        / NULLIF(CAST(count(y) OVER (PARTITION BY k) - 1 AS DOUBLE), 0) AS te
 FROM x"""
 
-ORACLE["p15_clip_and_scale"] = """
+ORACLE["p15_clip_and_scale"] = f"""
 WITH b AS (SELECT quantile_disc(value, 0.01) AS lo, quantile_disc(value, 0.99) AS hi FROM events),
 x AS (SELECT event_id, least(greatest(value, b.lo), b.hi) AS v FROM events, b),
-xc AS (SELECT CAST(round(v * 100) AS BIGINT) AS c FROM x),
+xc AS (SELECT CAST(CAST(v AS DECIMAL(18,2)) * 100 AS BIGINT) AS c FROM x),
 s AS (SELECT CAST(sum(c) AS DOUBLE) / CAST(count(c) * 100 AS DOUBLE) AS mean,
-             sqrt(CAST(count(c) * sum(c * c) - sum(c) * sum(c) AS DOUBLE)
-                  / CAST(count(c) * (count(c) - 1) AS DOUBLE)) / 100.0 AS std
+             {_STD} AS std
       FROM xc)
 SELECT event_id, v AS value_clipped, (v - s.mean) / s.std AS value_z FROM x, s"""
 
@@ -211,19 +215,22 @@ m AS (SELECT count(*) FILTER (WHERE label = 1) AS n_pos,
              count(*) FILTER (WHERE score >= 0.2 AND label = 1) AS tp,
              count(*) FILTER (WHERE score >= 0.2 AND label <> 1) AS fp,
              count(*) FILTER (WHERE score < 0.2 AND label = 1) AS fn,
-             round(avg(-(label * ln(score) + (1 - label) * ln(1.0 - score))), 9) AS logloss
-      FROM j)
+             count(*) AS n
+      FROM j),
+ls AS (SELECT sum(CAST(-(pos * ln(score) + neg * ln(1.0 - score)) AS DECIMAL(38,12))) AS loss
+       FROM (SELECT score, count(*) FILTER (WHERE label = 1) AS pos,
+                    count(*) FILTER (WHERE label <> 1) AS neg FROM j GROUP BY score))
 SELECT n_pos, n_neg,
        CAST(tp AS DOUBLE) / NULLIF(CAST(tp + fp AS DOUBLE), 0) AS precision,
        CAST(tp AS DOUBLE) / NULLIF(CAST(tp + fn AS DOUBLE), 0) AS recall,
-       logloss, au.auc
-FROM m, au"""
+       round(CAST(ls.loss AS DOUBLE) / CAST(n AS DOUBLE), 9) AS logloss, au.auc
+FROM m, au, ls"""
 
 ORACLE["p19_leaderboard"] = """
 WITH t AS (SELECT user_id, max(value) AS best_score, count(*) AS n_submissions
            FROM events GROUP BY user_id)
 SELECT user_id, best_score, n_submissions,
-       CAST(rank() OVER (ORDER BY best_score DESC) AS INTEGER) AS rank,
+       rank() OVER (ORDER BY best_score DESC) AS rank,
        count(*) OVER () AS n_teams,
        CAST(rank() OVER (ORDER BY best_score DESC) AS DOUBLE)
        / CAST(count(*) OVER () AS DOUBLE) AS rank_frac
@@ -254,8 +261,6 @@ SELECT user_id, 'kept' AS status FROM (SELECT user_id FROM a INTERSECT SELECT us
 UNION ALL
 SELECT user_id, 'new' AS status FROM (SELECT user_id FROM b EXCEPT SELECT user_id FROM a)"""
 
-_WM = "wm AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS wm FROM events)"
-
 _HOURLY = f"""
 WITH {_E},
 w AS (SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n_events,
@@ -266,23 +271,18 @@ ORACLE["p23_hourly_counts_batch"] = _HOURLY + """
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n_events, sum_value
 FROM w"""
 
-# append mode emits the windows the final watermark has passed
-ORACLE["p23_hourly_counts_stream"] = _HOURLY + f""", {_WM}
-SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n_events, sum_value
-FROM w, wm WHERE window_start + INTERVAL 1 HOUR <= wm.wm"""
+ORACLE["p23_hourly_counts_stream"] = ORACLE["p23_hourly_counts_batch"]
 
 ORACLE["p24_stream_sessions"] = f"""
 WITH {_SESS},
 sess AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
                 count(*) AS n_events,
-                CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS sum_value
-         FROM n GROUP BY user_id, session_idx),
-{_WM}
-SELECT user_id, session_start, session_end, n_events, sum_value
-FROM sess, wm WHERE session_end <= wm.wm"""
+                CAST(sum({_CENTS}) AS DOUBLE) / 100.0 AS sum_value
+         FROM n GROUP BY user_id, session_idx)
+SELECT user_id, session_start, session_end, n_events, sum_value FROM sess"""
 
 ORACLE["p25_stream_dedup"] = """
-SELECT event_id, ts, user_id, event_type, value
+SELECT event_id, ts, user_id, event_type, value, props
 FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1"""
 
 ORACLE["p26_partitioned_features"] = f"""
@@ -293,14 +293,24 @@ FROM e GROUP BY user_id, day"""
 ORACLE["p26_submission_csv"] = f"""
 SELECT user_id, CAST(count(*) FILTER (WHERE event_type = 'purchase') + 1 AS DOUBLE)
                 / CAST(count(*) + 2 AS DOUBLE) AS score
-FROM events WHERE ts < {T} GROUP BY user_id
-HAVING CAST(count(*) FILTER (WHERE event_type = 'purchase') + 1 AS DOUBLE)
-       / CAST(count(*) + 2 AS DOUBLE) >= 0.2"""
+FROM events WHERE ts < {T} GROUP BY user_id"""
 
 ORACLE["p25_dedup_batch"] = """
-SELECT event_id, ts, user_id, event_type, value, props
-FROM events WHERE event_id IS NOT NULL
+WITH a AS (SELECT event_id, ts, user_id, event_type, value, props FROM events
+           UNION ALL
+           SELECT event_id, ts + INTERVAL 1 HOUR, user_id, event_type, value, props FROM events
+           WHERE event_type = 'purchase')
+SELECT * FROM a WHERE event_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY event_id
                            ORDER BY ts, user_id, event_type, value, props) = 1
 UNION ALL
-SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE event_id IS NULL"""
+SELECT * FROM a WHERE event_id IS NULL"""
+
+ORACLE["p22_fit_score_check"] = f"""
+WITH f AS (SELECT user_id,
+                  CAST(max(CASE WHEN ts >= {T} AND ts < {T_END} AND event_type = 'purchase'
+                                THEN 1 ELSE 0 END) AS INTEGER) AS label,
+                  count(*) FILTER (WHERE ts < {T}) AS seen,
+                  CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS fold
+           FROM events GROUP BY user_id)
+SELECT user_id, label, true AS in_range FROM f WHERE seen > 0 AND fold = 0"""

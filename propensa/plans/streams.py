@@ -1,17 +1,21 @@
 """Streaming (P23-P25) and sink (P26) queries.
 
-Each streaming query drains the fixture's event file through a stream into a
-fresh folder under the shared checkpoint folder and returns the sink read
-back as a table.
+Each streaming query writes the events as a few files in time order, drains
+them through a stream, one file a micro-batch, into a fresh folder under the
+shared checkpoint folder and returns the sink read back as a table.  A last
+file holds one row far ahead, which closes all windows and sessions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import timedelta
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa import defaults
-from propensa.functions import cents
+from propensa.functions import exact_sum, ts_lit, units
 from propensa.plans.batch import baseline_scored
 from propensa.plans.registry import register
 from propensa.session import shared_dir
@@ -21,53 +25,69 @@ from propensa.streaming import (
 )
 
 
-def _drain(spark: SparkSession, sf_dir: str, build, name: str) -> DataFrame:
+def _money_sum(c: str) -> Column:
+    return exact_sum(units(c, defaults.MONEY_SCALE), defaults.MONEY_SCALE).alias("sum_value")
+
+
+def _drain(ev: DataFrame, build, name: str, files: int = 3) -> DataFrame:
+    spark = ev.sparkSession
     base = shared_dir(spark, name)
-    out = build(event_stream(spark, sf_dir, glob="events.parquet"))
+    first, last = ev.agg(F.min("ts"), F.max("ts")).first()
+    if first is not None:
+        edges = [first + (last - first) * k / files for k in range(1, files)]
+        for low, high in zip([None, *edges], [*edges, None]):
+            part = ev if low is None else ev.filter(F.col("ts") >= ts_lit(low))
+            part = part if high is None else part.filter(F.col("ts") < ts_lit(high))
+            part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        close = ev.limit(1).select(*[(ts_lit(last + timedelta(days=1)) if c == "ts" else F.lit(None)).cast(
+            ev.schema[c].dataType).alias(c) for c in ev.columns])
+        close.write.mode("append").parquet(f"{base}/in")
+    else:
+        ev.write.parquet(f"{base}/in")
+    out = build(event_stream(spark, f"{base}/in", max_files_per_trigger=1))
     run_available_now(out, f"{base}/out", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
 
 
 @register("p23_hourly_counts_stream")
 def q_hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drain(spark, sf_dir, hourly_counts, "hourly")
+    return _drain(events(spark, sf_dir), partial(hourly_counts, scale=defaults.MONEY_SCALE), "hourly")
 
 
 @register("p23_hourly_counts_batch")
 def q_hourly_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     agg = (ev.groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
-             .agg(F.count(F.lit(1)).alias("n_events"), F.sum(cents("value")).alias("_sc")))
+             .agg(F.count(F.lit(1)).alias("n_events"), _money_sum("value")))
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "event_type", "n_events",
-                      (F.col("_sc").cast("double") / 100.0).alias("sum_value"))
+                      "event_type", "n_events", "sum_value")
 
 
 @register("p24_stream_sessions")
 def q_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drain(spark, sf_dir, stream_sessions, "sessions")
+    return _drain(events(spark, sf_dir), partial(stream_sessions, scale=defaults.MONEY_SCALE), "sessions")
 
 
 @register("p25_stream_dedup")
 def q_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drain(spark, sf_dir, lambda s: stream_dedup(s).drop("props"), "dedup")
+    # purchases are delivered twice; the closing row has no event
+    ev = events(spark, sf_dir)
+    twice = ev.unionByName(ev.filter(F.col("event_type") == defaults.TARGET_TYPE))
+    return _drain(twice, stream_dedup, "dedup").filter(F.col("event_id").isNotNull())
 
 
 @register("p26_partitioned_features")
 def q_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = (events(spark, sf_dir)
              .groupBy("user_id", F.to_date("ts").alias("day"))
-             .agg(F.count(F.lit(1)).alias("n_events"),
-                  (F.sum(cents("value")).cast("double") / 100.0).alias("sum_value")))
+             .agg(F.count(F.lit(1)).alias("n_events"), _money_sum("value")))
     path = write_partitioned(daily, shared_dir(spark, "daily_features"), "day")
     return spark.read.parquet(path).select("user_id", "day", "n_events", "sum_value")
 
 
 @register("p26_submission_csv")
 def q_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
-    picked = (baseline_scored(spark, sf_dir)
-              .filter(F.col("score") >= F.lit(defaults.THRESHOLD))
-              .select("user_id", "score"))
-    path = write_csv(picked, shared_dir(spark, "submission"))
+    scores = baseline_scored(spark, sf_dir).select("user_id", "score")
+    path = write_csv(scores, shared_dir(spark, "submission"))
     return (spark.read.option("header", True)
             .schema("user_id bigint, score double").csv(path))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa import defaults
-from propensa.functions import cents, epoch_us
+from propensa.functions import epoch_us, exact_sum, units
 
 EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, "
                 "event_type string, value double, props string")
@@ -45,7 +45,7 @@ def _ntz(c: F.Column) -> F.Column:
 
 def hourly_counts(stream: DataFrame, watermark: str = "1 hour",
                   window: str = "1 hour", type_col: str = "event_type",
-                  value: str = "value") -> DataFrame:
+                  value: str = "value", scale: int | None = None) -> DataFrame:
     """Tumbling event-time windows per type: event count and value sum.
 
     A streaming aggregate keeps one state row per (window, type) and
@@ -54,23 +54,22 @@ def hourly_counts(stream: DataFrame, watermark: str = "1 hour",
     agg = (stream.withWatermark("ts", watermark)
                  .groupBy(F.window("ts", window).alias("w"), type_col)
                  .agg(F.count(F.lit(1)).alias("n_events"),
-                      F.sum(cents(value)).alias("_sc")))
+                      exact_sum(units(value, scale), scale).alias("sum_value")))
     return agg.select(_ntz(F.col("w.start")).alias("window_start"),
                       _ntz(F.col("w.end")).alias("window_end"), type_col,
-                      "n_events", (F.col("_sc").cast("double") / 100.0).alias("sum_value"))
+                      "n_events", "sum_value")
 
 
 def stream_sessions(stream: DataFrame, gap: str = f"{defaults.SESSION_GAP_MINUTES} minutes",
                     watermark: str = "1 hour", key: str = "user_id",
-                    value: str = "value") -> DataFrame:
+                    value: str = "value", scale: int | None = None) -> DataFrame:
     """Event-time sessions per key (a gap of exactly ``gap`` stays in)."""
     agg = (stream.withWatermark("ts", watermark)
                  .groupBy(F.session_window("ts", gap).alias("s"), key)
                  .agg(F.count(F.lit(1)).alias("n_events"),
-                      F.sum(cents(value)).alias("_sc")))
+                      exact_sum(units(value, scale), scale).alias("sum_value")))
     return agg.select(key, _ntz(F.col("s.start")).alias("session_start"),
-                      _ntz(F.col("s.end")).alias("session_end"), "n_events",
-                      (F.col("_sc").cast("double") / 100.0).alias("sum_value"))
+                      _ntz(F.col("s.end")).alias("session_end"), "n_events", "sum_value")
 
 
 def stream_dedup(stream: DataFrame, key: str = "event_id",
