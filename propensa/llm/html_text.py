@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensa.llm.arrow import field_type
+from propensa.session import written
 
 #: A subtree is template from so many pages of a host, and so many in a hundred.
 PAGES, PERCENT = 5, 20
@@ -216,7 +217,9 @@ def main_text(pages: DataFrame, least: int = PAGES, percent: int = PERCENT) -> D
     """page_id, url, text and n_chars of every row of ``pages``."""
     table = pages.select(pages["page_id"].alias("page_id"), pages["url"].cast("string").alias("url"),
                          host(pages["url"].cast("string")).alias("host"), pages["html"].cast("string").alias("html"))
-    joined = table.join(site_templates(table, least, percent), "host", "left").select("page_id", "url", "html", "codes")
+    # written, so that the join shuffles both sides and may split a hot host
+    templates = written(site_templates(table, least, percent), "templates")
+    joined = table.join(templates, "host", "left").select("page_id", "url", "html", "codes")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
