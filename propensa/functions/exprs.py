@@ -55,15 +55,17 @@ def unscaled(total: Column, scale: int | None) -> Column:
 
 
 def exact_sum(c: Column, scale: int | None) -> Column:
-    """``sum`` of a ``units`` column."""
-    return unscaled(F.sum(c), scale)
+    """``sum`` of a ``units`` column; with a scale in decimal(30,0), which
+    holds any 1e11 of them."""
+    return unscaled(F.sum(c if scale is None else c.cast("decimal(20,0)")), scale)
 
 
 def exact_mean(c: Column, scale: int | None) -> Column:
     """Mean of a ``units`` column; with a scale one division of two integers."""
     if scale is None:
         return F.avg(c)
-    return F.sum(c).cast("double") / (F.count(c) * F.lit(10 ** scale)).cast("double")
+    total = F.sum(c.cast("decimal(20,0)")).cast("double")
+    return total / (F.count(c) * F.lit(10 ** scale)).cast("double")
 
 
 def exact_std(c: Column, scale: int | None) -> Column:
@@ -76,9 +78,9 @@ def exact_std(c: Column, scale: int | None) -> Column:
     n = F.count(c)
     if scale is None:
         return F.when(n >= 2, F.stddev_samp(c))
-    total = F.sum(c)
-    q = F.round(total.cast("double") / F.nullif(n, F.lit(0)).cast("double")).cast("decimal(20,0)")
-    d, wide = c.cast("decimal(20,0)"), total.cast("decimal(20,0)")
+    d = c.cast("decimal(20,0)")
+    wide = F.sum(d)
+    q = F.round(wide.cast("double") / F.nullif(n, F.lit(0)).cast("double")).cast("decimal(20,0)")
     around = F.sum(d * d) - F.lit(2) * (q * wide) + n.cast("decimal(20,0)") * (q * q)
     rest = (wide - n.cast("decimal(20,0)") * q).cast("double")
     var = (around.cast("double") - rest * rest / n.cast("double")) / (n - F.lit(1)).cast("double")

@@ -12,10 +12,11 @@ demands: no row is ever copied.
 
 A bucket can be hot too (a burst: one key, one day, a third of the data).
 Before bucketing, rows are counted per (key, bucket) as a partial aggregate;
-cells above ``max_bucket_rows`` (at most rows / ``max_bucket_rows`` of them,
-so the table is broadcast with a proven bound) are cut into equal slices of
-their observed time range.  Slices stay contiguous in time, so the carries
-work unchanged.
+cells above ``max_bucket_rows`` (at most rows / ``max_bucket_rows`` of them;
+broadcast only after a check of rows and bytes) are cut at quantiles of their
+times.  Slices stay contiguous in time, so the carries work unchanged; where
+no cell is hot there is nothing to join.  Rows that share key and time, or
+have no time, are not cut.
 
 The wide rows are shuffled once on ``(key, bucket)`` and the carry join
 reuses that partitioning; summary branches re-read only a narrow projection
@@ -32,12 +33,15 @@ from pyspark.sql import functions as F
 
 from propensa import defaults
 from propensa.functions import epoch_us, exact_sum, units, unscaled
+from propensa.operators.joins import bounded_broadcast
+from propensa.session import materialize
 
 US_PER_MINUTE = 60_000_000
 US_PER_HOUR = 60 * US_PER_MINUTE
 US_PER_DAY = 24 * US_PER_HOUR
 NULL_BUCKET = -(2 ** 63)   # rows without a time: one bucket, ordered first
-MAX_SPLIT = 1 << 16        # slices per hot cell, at most
+QUANTILES = 1024           # slices per hot cell, at most
+MAX_HOT = 1_000_000        # hot cells that are broadcast, at most
 MAX_BUCKET_ROWS = 5_000_000
 
 
@@ -54,27 +58,31 @@ def _keyed(df: DataFrame, key: str, ts: str, *cols) -> DataFrame:
 
 
 def _hot_cells(cells: DataFrame, max_rows: int | None) -> DataFrame | None:
-    """``(_k, _cell, _lo, _span, _split)`` for cells with more than
-    ``max_rows`` rows.
+    """``(_k, _cell, _bounds)`` for cells with more than ``max_rows`` rows;
+    None if there are none.
 
     ``cells`` has one row per row to place: ``_k``, ``_cell`` and its time
-    ``_t``.  Counting is a partial aggregate; the result has at most
-    rows / ``max_rows`` entries, which is what makes broadcasting it safe.
-    A hot cell is later cut into ``_split`` equal slices of its observed
-    time range ``[_lo, _lo + _span)``, so a burst inside the cell is spread
-    too.
+    ``_t``.  Rows are counted per cell (a partial aggregate) and the hot ones,
+    at most rows / ``max_rows``, are written.  Only for these are quantiles of
+    the time taken: the cell is cut at ``_bounds`` into slices of about
+    ``max_rows`` rows each (a 1/``QUANTILES`` of the cell at least), so a
+    burst inside the cell is spread, too.  Rows of one time stay together.
     """
     if max_rows is None:
         return None
-    hot = (cells.groupBy("_k", "_cell")
-                .agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
-                     F.max("_t").alias("_hi"))
-                .filter(F.col("_n") > F.lit(max_rows))
-                .select("_k", "_cell", "_lo",
-                        (F.col("_hi") - F.col("_lo") + F.lit(1)).alias("_span"),
-                        F.least(F.ceil(F.col("_n") / F.lit(max_rows)), F.lit(MAX_SPLIT))
-                        .cast("bigint").alias("_split")))
-    return F.broadcast(hot)
+    hot = materialize(cells.groupBy("_k", "_cell").agg(F.count("_t").alias("_n"))
+                           .filter(F.col("_n") > F.lit(max_rows)))
+    if hot.isEmpty():
+        return None
+    shares = [i / QUANTILES for i in range(1, QUANTILES)]
+    split = F.least(F.ceil(F.col("_n") / F.lit(max_rows)), F.lit(QUANTILES)).cast("int")
+    cut = (cells.join(bounded_broadcast(hot, MAX_HOT), ["_k", "_cell"])
+                .groupBy("_k", "_cell", "_n").agg(F.percentile_approx("_t", shares, 10_000).alias("_q"))
+                .withColumn("_split", split)
+                .select("_k", "_cell", F.expr(
+                    "array_distinct(transform(sequence(1, _split - 1), "
+                    f"i -> _q[cast(floor(i * {QUANTILES} / _split) as int) - 1]))").alias("_bounds")))
+    return bounded_broadcast(materialize(cut), MAX_HOT, 64 << 20)
 
 
 def _cells(df: DataFrame, width_us: int, *times: str) -> DataFrame:
@@ -90,22 +98,18 @@ def _cell(us: Column, width_us: int) -> Column:
 
 def _with_bucket(df: DataFrame, us: str, width_us: int, hot: DataFrame | None,
                  out: str = "_b") -> DataFrame:
-    """Add bucket ``out`` for time ``us``: ``cell * MAX_SPLIT + sub``, where a
-    hot cell is cut into ``_split`` equal slices of its time range (``sub``)
-    and any other cell has ``sub = 0``.  Rows without a time share
-    ``NULL_BUCKET``."""
+    """Add bucket ``out`` for time ``us``: ``cell * QUANTILES + sub``, where
+    ``sub`` is the slice of a hot cell and 0 in any other.  Rows without a
+    time share ``NULL_BUCKET``."""
     d = df.withColumn("_cell", _cell(F.col(us), width_us))
-    if hot is None:
-        sub = F.lit(0).cast("bigint")
-    else:
+    sub = F.lit(0).cast("bigint")
+    if hot is not None:
         d = d.join(hot, ["_k", "_cell"], "left")
-        scaled = (F.col(us) - F.col("_lo")) * F.col("_split")     # >= 0, < span * split
-        exact_div = ((scaled - F.pmod(scaled, F.col("_span"))) / F.col("_span")).cast("bigint")
-        sub = F.coalesce(exact_div, F.lit(0).cast("bigint"))
+        at = F.col(us)
+        sub = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= at)), F.lit(0)).cast("bigint")
     b = F.when(F.col(us).isNull(), F.lit(NULL_BUCKET)).otherwise(
-        F.col("_cell") * F.lit(MAX_SPLIT) + sub)
-    d = d.withColumn(out, b).drop("_cell")
-    return d.drop("_lo", "_span", "_split") if hot is not None else d
+        F.col("_cell") * F.lit(QUANTILES) + sub)
+    return d.withColumn(out, b).drop("_cell", "_bounds")
 
 
 def _per_key(order: str = "_b") -> Window:

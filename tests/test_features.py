@@ -30,7 +30,7 @@ def test_cutoff_and_horizon_edges(make_events):
     lab = rows_by_user(feat.label(ev, CUT, 3))
     assert set(lab) == {1, 2, 4}
     assert lab[1]["label"] == 1 and lab[2]["label"] == 0 and lab[4]["label"] == 0
-    t = rows_by_user(feat.training_table(ev, CUT, 3))
+    t = rows_by_user(feat.training_table(ev, CUT, 3, scale=2))
     assert t[1]["n_events"] == 3                      # the 00:00:00 purchase is not seen
     assert t[1]["n_purchase"] == 1 and t[1]["label"] == 1
     assert t[1]["sum_value"] == pytest.approx(30.70, abs=0)  # exact cents
@@ -88,8 +88,8 @@ def test_results_do_not_depend_on_partitioning(make_events, spark):
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rnd.randrange(30 * 86400)),
              rnd.randrange(5), rnd.choice(["view", "purchase", "click"]),
              rnd.randrange(0, 50000) / 100) for i in range(3000)]
-    one = feat.training_table(make_events(rows, 1)).orderBy("user_id").collect()
-    many = feat.training_table(make_events(rows, 13)).orderBy("user_id").collect()
+    one = feat.training_table(make_events(rows, 1), scale=2).orderBy("user_id").collect()
+    many = feat.training_table(make_events(rows, 13), scale=2).orderBy("user_id").collect()
     assert one == many   # bit-for-bit, thanks to integer-cent aggregation
 
 
