@@ -218,9 +218,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 
     found = written(data.mapInArrow(anchors, f"doc_id {kind}, text_hash bigint, low bigint, high bigint, offset bigint, "
                                              "anchor bigint, piece bigint"), "anchors")
-    twice = found.groupBy("anchor").agg(
+    # tables that rows are joined with are written: then both sides of a join
+    # are shuffled, and the rows of a hot anchor may be split
+    twice = written(found.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("piece").alias("a"), F.max("piece").alias("b")).where("n > 1").selectExpr(
-        "anchor", "a != b as varied")
+        "anchor", "a != b as varied"), "twice")
     repeated = written(found.join(twice, "anchor"), "repeated")
     span = ["doc_id", "text_hash", "low", "high"]
 
@@ -230,7 +232,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     copies = repeated.where("not varied").select(span).unionByName(
         varied.join(kinds.where("n > 1").select("anchor", "piece"), ["anchor", "piece"]).select(span))
     # where every kind occurs twice, all of them are copies already
-    once = kinds.groupBy("anchor").agg(F.min("n").alias("n")).where("n = 1").select("anchor")
+    once = written(kinds.groupBy("anchor").agg(F.min("n").alias("n")).where("n = 1").select("anchor"), "once")
     wanted = kinds.join(once, "anchor").groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("low", "high", "offset", "anchor", "piece")).alias("wanted"))
     bodies = _with_text(data, wanted, "inner")
@@ -257,7 +259,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
                     "data binary, bins array<int>, middles array<bigint>"), "pieces")
     middles = pieces.select("anchor", "piece", F.inline(F.arrays_zip("bins", "middles"))).toDF(
         "anchor", "piece", "bin", "middle")
-    shared = middles.groupBy("anchor", "bin", "middle").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = written(middles.groupBy("anchor", "bin", "middle").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
     alive = written(middles.join(shared, ["anchor", "bin", "middle"]).groupBy("anchor", "piece").agg(
         F.collect_list("bin").alias("alive")), "alive")
     crowd = alive.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
