@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from propensa.llm.arrow import aside, text_of
 from propensa.llm.fm_index import FMIndex
 from propensa.llm.words import texts_words
+from propensa.session import written
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -161,6 +162,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         found = _scan(found, Phrases([tuple(r) for r in block.collect()], window))
+        if k + 1 < blocks:      # passes do not run inside each other
+            found = written(found, "scanned")
     return found
 
 
