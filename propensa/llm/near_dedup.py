@@ -45,7 +45,7 @@ from propensa.llm.words import texts_words
 from propensa.session import written
 
 WORDS, THRESHOLD = 5, 0.8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 21, 3
 SEEN = 256
 IDF_SPREAD = 0.2
 COUNTERS, COUNTER_BITS = 1 << 20, 20

@@ -66,8 +66,8 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    if len(_POWERS.get(base, ())) < n:
-        steps = np.full(n, base, np.uint64)
+    if base not in _POWERS or len(_POWERS[base]) < n:
+        steps = np.full(max(n, 1), base, np.uint64)
         steps[0] = 1
         _POWERS[base] = np.multiply.accumulate(steps)
     return _POWERS[base][:n]
