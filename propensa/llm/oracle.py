@@ -4,8 +4,8 @@ RULES_SQL = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
 ), words AS (
-  SELECT rid, doc_id, t, list_filter(string_split_regex(t, '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l
+  SELECT rid, doc_id, t, list_filter(string_split_regex(t, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l
   FROM docs
 ), placed AS (
   SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words
@@ -19,12 +19,12 @@ WITH docs AS (
   SELECT rid, sum(least(5, i - before)) AS n FROM (
     SELECT rid, i, coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i), i - 5) AS before FROM repeated) GROUP BY rid
 ), measured AS (
-  SELECT words.doc_id, len(w)::BIGINT AS n_words, list_sum(list_transform(w, x -> length(x)))::BIGINT AS s,
+  SELECT words.doc_id, len(w)::BIGINT AS n_words, list_sum(list_transform(w, lambda x: length(x)))::BIGINT AS s,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          length(regexp_replace(t, '[^!]', '', 'g'))::BIGINT AS n_bangs,
          len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
          coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
-         len(list_filter(w, x -> list_contains([{stops}], trim(lower(x), '.,;:!?'))))::BIGINT AS n_stop_words
+         len(list_filter(w, lambda x: list_contains([{stops}], trim(lower(x), '.,;:!?'))))::BIGINT AS n_stop_words
   FROM words LEFT JOIN covered ON words.rid = covered.rid
 ), judged AS (
   SELECT *, coalesce(s, 0) AS word_chars, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
