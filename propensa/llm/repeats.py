@@ -53,6 +53,8 @@ PART, SHARD = 1 << 21, 1 << 21
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 PLACE_BITS = 24
+#: What a span is.
+PIECE, SINGLE, FOUND = 0, 1, 2
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -196,7 +198,9 @@ def merged_spans(piece: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[t
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """doc_id, text_hash, low, high: byte spans whose union goes.
+    """doc_id, text_hash, low, high, tag: pieces of repeated anchors (PIECE),
+    those of them that occur once (SINGLE), and strings found in shards
+    (FOUND).  What goes is the union of all but the single pieces.
 
     ``docs`` has doc_id, text_hash and text (not null).
     """
@@ -226,11 +230,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     repeated = written(found.join(twice, "anchor"), "repeated")
     span = ["doc_id", "text_hash", "low", "high"]
 
+    def tagged(df: DataFrame, tag: int) -> DataFrame:
+        return df.select(*span, F.lit(tag).alias("tag"))
+
     varied = repeated.where("varied")
     kinds = written(varied.groupBy("anchor", "piece").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in [*span, "offset"]]), "kinds")
-    copies = repeated.where("not varied").select(span).unionByName(
-        varied.join(kinds.where("n > 1").select("anchor", "piece"), ["anchor", "piece"]).select(span))
     # where every kind occurs twice, all of them are copies already
     once = written(kinds.groupBy("anchor").agg(F.min("n").alias("n")).where("n = 1").select("anchor"), "once")
     wanted = kinds.join(once, "anchor").groupBy("doc_id", "text_hash").agg(
@@ -315,7 +320,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     # a window is in one piece, and kinds are distinct: two rows are two places
     again = single.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     from_hot = single.join(again, "window").select("doc_id", "text_hash", "low", (F.col("low") + length).alias("high"))
-    return copies.unionByName(from_shards).unionByName(from_hot)
+    return tagged(repeated, PIECE).unionByName(tagged(kinds.where("n = 1"), SINGLE)).unionByName(
+        tagged(from_shards, FOUND)).unionByName(tagged(from_hot, FOUND))
 
 
 def _with_text(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -327,16 +333,18 @@ def _with_text(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 
 
 def with_removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """``docs`` with its columns, text as not null, and ``spans``: the byte
-    spans that go, as an array of (low, high), not yet merged; null if none."""
+    """``docs`` with its columns, text as not null, and ``spans``: an array of
+    (low, high, tag) as from :func:`repeated_spans`; null if none."""
     keyed = docs.withColumn("text", text_of(docs)).withColumn("text_hash", F.xxhash64("text"))
     spans = repeated_spans(keyed.select("doc_id", "text_hash", "text"), length, anchor, hot)
-    lists = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    lists = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("low", "high", "tag")).alias("spans"))
     return _with_text(keyed, lists, "left")
 
 
 def cut(data: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int, int]]]:
     """What is left of ``data``, and the maximal removed spans."""
+    single = {(s["low"], s["high"]) for s in spans or () if s["tag"] == SINGLE}
+    spans = [s for s in spans or () if s["tag"] == FOUND or s["tag"] == PIECE and (s["low"], s["high"]) not in single]
     if not spans:
         return data, []
     low, high = np.array([s["low"] for s in spans]), np.array([s["high"] for s in spans])
