@@ -1,17 +1,18 @@
 """Main text of web pages, without what a site repeats (op 5).
 
 Pages are parsed into elements with their places in the source.  Each element
-that could belong to a site's template is hashed by its source; Spark counts,
-per host, on how many pages each hash occurs.  Subtrees that recur on many
-pages of their host are deleted, and so are those that name themselves as
-menus, footers, adverts and the like, which is all that pages of small hosts
-have to go by.  What is left of the article gives the blocks of text.
+that could belong to a site's template is hashed by its source, inline ones
+that make up a line as well.  Spark counts, per host, on how many different pages
+each hash occurs.  Subtrees that recur on ``PAGES`` pages of their host are deleted, however many pages it has, and so are those that name
+themselves as menus, footers, adverts and the like, which is all that pages of
+small hosts have to go by.  What is left of the article gives the blocks of
+text.
 
-Paragraphs and headings inside an article are never template: a sentence that
-many articles of a host share stays.
+Paragraphs, headings and list items inside an article are never template: a
+sentence that many articles of a host share stays.
 
 Cases: a null or empty page has an empty text; a page whose url is null or
-has no host is in no host's counts; repeated pages count as pages; an element
+has no host is in no host's counts; repeated pages count once; an element
 that is not closed ends with its parent; other columns are ignored; an empty
 table gives none.
 """
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from propensa.llm.arrow import field_type
 from propensa.session import written
 
-#: A subtree is template from so many pages of a host, and so many in a hundred.
-PAGES, PERCENT = 5, 20
+#: A subtree is template from so many different pages of a host.
+PAGES = 5
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,6 +57,7 @@ NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*
 COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply)(?:$|[\s_-])", re.I)
 HEADER = re.compile(r"(?:^|[\s_-])(?:header|topbar)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
+WORD, UNQUOTED = re.compile(r"\w"), re.compile(r"=[^\s\"']*/\Z")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 
@@ -67,6 +69,11 @@ class Page:
         self.source = source
         self.elements: list[list] = [["html", "", 0, len(source), -1]]
         self.pieces: list[tuple[int, str | None]] = []
+        #: Inline elements that are all there is in their lines.
+        self.alone: set[int] = set()
+        self._line: list[int] = []
+        self._bare = False
+        self._open, self._depth = 0, 0
         stack = [0]
         at = 0
         while True:
@@ -74,22 +81,55 @@ class Page:
             if m is None:
                 break
             if m.start() > at:
-                self.pieces.append((stack[-1], source[at:m.start()]))
+                self._text(stack[-1], source[at:m.start()])
             at = m.end()
             if m[2] is None:
                 continue
             tag = m[2].lower()
-            if m[1]:
+            if tag in INLINE:
+                self._inline(stack[-1], tag, m)
+            elif m[1]:
                 self._end(stack, tag, m)
+            elif tag == "hr":
+                self._boundary(stack[-1], m.start())
             elif tag in VOID:
-                self.pieces.append((stack[-1], None if tag == "hr" else " " if tag == "br" else ""))
+                self._text(stack[-1], " " if tag == "br" else "")
             elif tag in RAW:
                 close = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(source, at)
                 at = close.end() if close else len(source)
-            elif tag not in INLINE and not m[3].endswith("/"):
+            elif not m[3].endswith("/"):
                 self._start(stack, tag, m)
         if at < len(source):
-            self.pieces.append((stack[-1], source[at:]))
+            self._text(stack[-1], source[at:])
+        self._boundary(0, len(source))
+
+    def _text(self, element: int, raw: str) -> None:
+        self.pieces.append((self._open or element, raw))
+        self._bare = self._bare or not self._open and WORD.search(raw) is not None
+
+    def _boundary(self, element: int, at: int) -> None:
+        """End of a line; an inline element that is open goes no further."""
+        if self._open:
+            self.elements[self._open][3] = at
+            self._line.remove(self._open)
+        if not self._bare:
+            self.alone.update(self._line)
+        self._line, self._bare, self._open = [], False, 0
+        self.pieces.append((element, None))
+
+    def _inline(self, element: int, tag: str, m: re.Match) -> None:
+        """Outermost inline elements of lines outside paragraphs."""
+        empty = m[3].endswith("/") and not UNQUOTED.search(m[3])
+        if self._open:
+            if tag == self.elements[self._open][0]:
+                self._depth += -1 if m[1] else not empty
+            if not self._depth:
+                self.elements[self._open][3] = m.end()
+                self._open = 0
+        elif not m[1] and not empty and self.elements[element][0] not in TEXT | {"li"}:
+            self.elements.append([tag, m[3], m.start(), len(self.source), element])
+            self._open, self._depth = len(self.elements) - 1, 1
+            self._line.append(self._open)
 
     def _start(self, stack: list[int], tag: str, m: re.Match) -> None:
         closed, fence = CLOSES.get(tag, ((), ()))
@@ -102,9 +142,10 @@ class Page:
                 break
             if name in fence:
                 break
+        # the element is the next one
+        self._boundary(len(self.elements), m.start())
         self.elements.append([tag, m[3], m.start(), len(self.source), stack[-1]])
         stack.append(len(self.elements) - 1)
-        self.pieces.append((stack[-1], None))
 
     def _end(self, stack: list[int], tag: str, m: re.Match) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -113,7 +154,7 @@ class Page:
                     self.elements[e][3] = m.start()
                 self.elements[stack[k]][3] = m.end()
                 del stack[k:]
-                self.pieces.append((stack[-1], None))
+                self._boundary(stack[-1], m.start())
                 return
 
     def marks(self) -> tuple[list[bool], list[bool]]:
@@ -123,17 +164,24 @@ class Page:
         for tag, attributes, _, _, parent in self.elements[1:]:
             within = inside[parent] or tag == "article"
             inside.append(within)
-            gone.append(gone[parent] or tag in NEVER or _named(tag, attributes, within))
+            gone.append(gone[parent] or tag not in INLINE and (tag in NEVER or _named(tag, attributes, within)))
         return gone, inside
 
     def templates(self) -> Iterator[tuple[int, int]]:
         """Elements that could be a site's, with the hash of their source."""
         gone, inside = self.marks()
         for i, (tag, _, start, end, parent) in enumerate(self.elements):
-            if i and tag not in SCOPE and not (gone[parent]) and not (inside[i] and (tag in TEXT or tag == "li")):
+            if i and tag not in SCOPE and not gone[parent] and not (inside[i] and (tag in TEXT or tag == "li")) \
+                    and (tag not in INLINE or i in self.alone):
                 source = " ".join(self.source[start:end].split())
                 yield i, xxhash.xxh64_intdigest(source.encode("utf-8", "replace")) - (1 << 63)
 
+    def evidence(self) -> Iterator[tuple[int, int, int]]:
+        """Hash of each element that could be a site's, 0, and the page's."""
+        page = xxhash.xxh64_intdigest(self.source.encode("utf-8", "replace")) - (1 << 63)
+        for _, code in self.templates():
+            yield code, 0, page
+
     def text(self, recurring: frozenset[int]) -> str:
         """Blocks of the article, one a line."""
         gone, _ = self.marks()
@@ -141,17 +189,24 @@ class Page:
             found = {i for i, code in self.templates() if code in recurring}
             for i in range(1, len(self.elements)):
                 gone[i] = gone[i] or i in found or gone[self.elements[i][4]]
+        return "\n".join(text for _, text in self._blocks(gone))
+
+    def _blocks(self, gone: list[bool]) -> Iterator[tuple[int, str]]:
+        """Blocks of the article, each with the element that holds it."""
         scope = self._scope(gone)
-        blocks, block = [], []
-        for element, raw in [*self.pieces, (0, None)]:
+        owners, block = set(), []
+        for element, raw in self.pieces:
             if raw is None:
                 text = " ".join(html.unescape("".join(block)).split())
                 if text:
-                    blocks.append(text)
-                block = []
+                    # several inline elements are held by the one around them
+                    one = min(owners)
+                    yield one if len(owners) == 1 or self.elements[one][0] not in INLINE else self.elements[one][4], text
+                owners, block = set(), []
             elif scope[element] and not gone[element]:
                 block.append(raw)
-        return "\n".join(blocks)
+                if raw.strip():
+                    owners.add(element)
 
     def _scope(self, gone: list[bool]) -> list[bool]:
         """Elements of the articles, or of the main part, or all."""
@@ -196,30 +251,37 @@ def host(url: Column) -> Column:
     return F.nullif(found, F.lit(""))
 
 
-def site_templates(pages: DataFrame, least: int = PAGES, percent: int = PERCENT) -> DataFrame:
-    """host and the hashes of its recurring subtrees.  A host has at most
-    100 / ``percent`` times as many as its pages have elements on average."""
+def site_templates(pages: DataFrame, least: int = PAGES) -> DataFrame:
+    """host, page (hash of the html) and the hashes of the page's recurring
+    subtrees, of pages that have some.  ``pages`` has host, html and page.
+    Pages that share a hash share the list, which changes no text: a page
+    looks for its own subtrees in it."""
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted({code for _, code in Page(source.as_py() or "").templates()}) for source in batch.column("html")]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, pa.list_(pa.int64()))], ["host", "codes"])
-
-    known = pages.where("host is not null").select("host", "html").mapInArrow(hashes, "host string, codes array<bigint>")
-    # code null counts the pages themselves
-    counts = known.select("host", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "codes")).alias("code")).groupBy(
-        "host", "code").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    total = counts.where("code is null").select("host", F.col("n").alias("total"))
-    return counts.where("code is not null").join(total, "host").where(100 * F.col("n") >= percent * F.col("total")).groupBy(
-        "host").agg(F.collect_list("code").alias("codes"))
-
-
-def main_text(pages: DataFrame, least: int = PAGES, percent: int = PERCENT) -> DataFrame:
+            found = [list(zip(*set(Page(source.as_py() or "").evidence()))) or [(), (), ()] for source in batch.column("html")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), batch.column("page"), pa.array([f[0] for f in found], pa.list_(pa.int64())),
+                 pa.array([f[1] for f in found], pa.list_(pa.int8())), pa.array([f[2] for f in found], pa.list_(pa.int64()))],
+                ["host", "page", "code", "place", "beside"])
+
+    known = pages.where("host is not null").select("host", "page", "html").mapInArrow(
+        hashes, "host string, page bigint, code array<bigint>, place array<tinyint>, beside array<bigint>")
+    known = written(known.select("host", "page", F.inline(F.arrays_zip("code", "place", "beside"))), "subtrees")
+    counts = known.where("beside is not null").groupBy("host", "code", "place", "beside").agg(F.lit(1).alias("one")).groupBy(
+        "host", "code", "place").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    # joined tables are written, so that joins shuffle both sides and may split
+    # a subtree of all pages of a hot host, or a page with many copies
+    recurring = written(counts.select("host", "code").distinct(), "recurring")
+    return written(known.where("place = 0").select("host", "page", "code").distinct().join(recurring, ["host", "code"]).groupBy(
+        "host", "page").agg(F.collect_list("code").alias("codes")), "templates")
+
+
+def main_text(pages: DataFrame, least: int = PAGES) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages``."""
     table = pages.select(pages["page_id"].alias("page_id"), pages["url"].cast("string").alias("url"),
                          host(pages["url"].cast("string")).alias("host"), pages["html"].cast("string").alias("html"))
-    # written, so that the join shuffles both sides and may split a hot host
-    templates = written(site_templates(table, least, percent), "templates")
-    joined = table.join(templates, "host", "left").select("page_id", "url", "html", "codes")
+    table = table.withColumn("page", F.xxhash64("html"))
+    joined = table.join(site_templates(table, least), ["host", "page"], "left").select("page_id", "url", "html", "codes")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -126,6 +126,24 @@ def test_site_templates_and_article(spark):
     assert html_text.main_text(pages.limit(0)).collect() == []
 
 
+def texts_of(spark, sources):
+    pages = spark.createDataFrame([(k, "http://one.example/", h) for k, h in enumerate(sources)], "page_id bigint, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
+
+
+def test_templates_of_big_hosts(spark):
+    """A share of the host's pages does not matter: each advert is on 5 of 200."""
+    sources = [f"<main><p>What page {k} has to say.</p><div class=x>Buy {k // 5} now</div><span>Sold {k // 5} out</span></main>"
+               for k in range(200)]
+    sources += [f"<article><p>Long text {k}</p><a href=/>Our shop</a><p>in <i>Nature</i></p>by <b>Us</b></article>" for k in range(5)]
+    # deleted where it is most of the page, too
+    sources += ["<main>x<div class=x>Buy 3 now</div></main>", "<main><p>Once only.</p><div class=x>Buy me now</div></main>"]
+    text = texts_of(spark, sources)
+    assert {k: text[k] for k in range(200)} == {k: f"What page {k} has to say." for k in range(200)}
+    assert {text[200 + k] for k in range(5)} == {f"Long text {k}\nin Nature\nby Us" for k in range(5)}
+    assert text[205] == "x" and text[206] == "Once only.\nBuy me now"
+
+
 @pytest.mark.parametrize("source, text", [
     ("plain &lt;text&gt; &#233;", "plain <text> é"),
     ("<body><header>Site</header><nav>Menu</nav><p>One<p>Two</p><aside>x</aside><form>y</form>", "One\nTwo"),
