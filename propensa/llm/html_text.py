@@ -2,12 +2,19 @@
 
 Pages are parsed into elements with their places in the source.  Each element
 that could belong to a site's template is hashed by its source, inline ones
-that make up a line as well.  Spark counts, per host, on how many different pages
-each hash occurs.  Subtrees that recur on ``PAGES`` pages of their host are deleted, however many pages it has, and so are those that name
+that make up a line as well.  Spark counts, per host, beside how many different
+contents each hash occurs.  Subtrees that recur beside ``PAGES`` contents of
+their host are deleted, however many pages it has, and so are those that name
 themselves as menus, footers, adverts and the like, which is all that pages of
 small hosts have to go by.  What is left of the article gives the blocks of
 text.
 
+What a page has beside a subtree is known by its longest block outside of it,
+and by the next one if that is half as long as both.  So copies of a page, which differ
+in a date or an advert at most, count once, and their paragraphs are no
+template.  A subtree with more text than the rest of its page is its content
+and does not count there.
+
 Paragraphs, headings and list items inside an article are never template: a
 sentence that many articles of a host share stays.
 
@@ -22,6 +29,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 import xxhash
@@ -31,7 +39,7 @@ from pyspark.sql import functions as F
 from propensa.llm.arrow import field_type
 from propensa.session import written
 
-#: A subtree is template from so many different pages of a host.
+#: A subtree is template from so many different contents of a host's pages.
 PAGES = 5
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
@@ -176,11 +184,31 @@ class Page:
                 source = " ".join(self.source[start:end].split())
                 yield i, xxhash.xxh64_intdigest(source.encode("utf-8", "replace")) - (1 << 63)
 
-    def evidence(self) -> Iterator[tuple[int, int, int]]:
-        """Hash of each element that could be a site's, 0, and the page's."""
-        page = xxhash.xxh64_intdigest(self.source.encode("utf-8", "replace")) - (1 << 63)
-        for _, code in self.templates():
-            yield code, 0, page
+    def evidence(self) -> Iterator[tuple[int, int, int | None]]:
+        """Hash of each element that could be a site's, 0, and the hash of the
+        longest block of the page outside it (none if the element has most of
+        the text); the same with 1 and the next block, if that is half as long
+        as both."""
+        n = len(self.elements)
+        last = list(range(n))
+        for i in range(n - 1, 0, -1):
+            parent = self.elements[i][4]
+            last[parent] = max(last[parent], last[i])
+        blocks = sorted(self._blocks(self.marks()[0]), key=lambda b: -len(b[1]))
+        upto = [0] * (n + 1)
+        for owner, text in blocks:
+            upto[owner + 1] += len(text)
+        for i in range(n):
+            upto[i + 1] += upto[i]
+        for i, code in self.templates():
+            within = upto[last[i] + 1] - upto[i]
+            if not blocks or 2 * within > upto[n]:
+                yield code, 0, None
+                continue
+            beside = list(islice((text for owner, text in blocks if not i <= owner <= last[i]), 2))
+            for k, text in enumerate(beside):
+                if not k or 2 * len(text) >= max(within, len(beside[0])):
+                    yield code, k, xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
     def text(self, recurring: frozenset[int]) -> str:
         """Blocks of the article, one a line."""

@@ -144,6 +144,19 @@ def test_templates_of_big_hosts(spark):
     assert text[205] == "x" and text[206] == "Once only.\nBuy me now"
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<article><div class='body'><p>A long story.</p><section><p>And more.</p></section></div></article>", "A long story.\nAnd more."),
+    ("<article><h1>T</h1><div><p>A long story.</p><ul><li>b</ul></div><table><tr><td>c</table></article>", "T\nA long story.\nb\nc"),
+    ("<main><h1>T</h1><p>A long story.</p><p>And more.</p></main>", "T\nA long story.\nAnd more."),
+    ("<body><div><p>A long story.</p><p>And more.</p></div>", "A long story.\nAnd more."),
+])
+def test_copies_are_no_templates(spark, source, text):
+    """Copies that differ in nothing, or in what is around them."""
+    assert set(texts_of(spark, [source] * 9).values()) == {text}
+    got = texts_of(spark, [f"{source}<div>Read {k}</div>" for k in range(9)])
+    assert all(t.startswith(text) for t in got.values())
+
+
 @pytest.mark.parametrize("source, text", [
     ("plain &lt;text&gt; &#233;", "plain <text> é"),
     ("<body><header>Site</header><nav>Menu</nav><p>One<p>Two</p><aside>x</aside><form>y</form>", "One\nTwo"),
