@@ -1,11 +1,17 @@
 """Licence statements found by a trained paragraph classifier (op 1), native.
 
-A paragraph (line) becomes hashed words and word pairs.  Softmax regression,
+Lines, and stretches of the size of a statement in the lines up to a blank
+one, become hashed words and word pairs.  Softmax regression,
 sparse because only the n-grams of known statements carry weights, gives each
 family's probability beside an unknown class; its temperature is fitted on
 rows kept from training.  What the classifier finds is confirmed by
 comparison with the statements of its family: the share of the pairs of one
-that the paragraph has.
+that the line or stretch has.
+
+Stretches are where a statement could start: word pairs that a statement has,
+too, vote for its first word, and ``VOTES`` of its pairs must agree.  So wrapped
+statements are found, and statements inside long paragraphs.  Only confirmed
+stretches count; of two that overlap by half, the one more alike.
 
 The model is fitted on the driver from the stated templates, variants of them,
 and the lines of the ``BACKGROUND`` documents with the lowest hash of their
@@ -32,7 +38,11 @@ BUCKETS = 1 << 13
 BACKGROUND, BACKGROUND_LINES = 256, 4096
 #: Least probability of a family, and least share of a statement's pairs.
 PROBABILITY, SIMILARITY = 0.5, 0.6
+#: Least share of a statement's pairs that vote for one first word.
+VOTES = 0.3
 UNKNOWN = "unknown"
+#: What stands for a blank line among the words.
+BLANK = "\n"
 WORD_GAPS = "[^a-z0-9À-￿]+"
 
 
@@ -151,35 +161,75 @@ def _templates(docs: DataFrame, families: list[str]) -> list[list[list[int]]]:
     return [[sorted(set(r["pairs"])) for r in rows if r["family"] == f and r["pairs"]] for f in families]
 
 
+def _stretches(docs: DataFrame) -> str:
+    """Stretches of the words ``words`` (with the lines ``at`` that they are in)
+    that could be statements: paragraph and last (lines), low, high, w."""
+    stated = _stated(docs.sparkSession, [(f, t) for f in sorted(TEMPLATES) for t in TEMPLATES[f]]).withColumn(
+        "w", words(F.col("line"))).select(F.size("w").alias("n"), F.expr(_pairs("w")).alias("pairs")).collect()
+    places: dict[int, list[int]] = {}
+    for k, row in enumerate(stated):
+        for offset, pair in enumerate(row["pairs"]):
+            places.setdefault(pair % BUCKETS, []).append((k << 40) - offset + (1 << 20))
+    number = np.zeros(BUCKETS, np.int64)
+    number[list(places)] = np.arange(1, len(places) + 1)
+    numbers = "array(" + ", ".join(map(str, number)) + ")"
+    lists = "array(array(0L), " + ", ".join("array(" + ", ".join(f"{c}L" for c in v) + ")" for v in places.values()) + ")"
+    needs = "array(" + ", ".join(str(max(2, -int(-VOTES * len(r["pairs"]) // 1))) for r in stated) + ")"
+    sizes = "array(" + ", ".join(str(r["n"]) for r in stated) + ")"
+    hits = (f"filter(transform({_pairs('words')}, (h, i) -> named_struct('n', get({numbers}, pmod(h, {BUCKETS})), 'i', i)), "
+            "x -> x.n > 0)")
+    # votes: statement * 2^40 + 2^20 + place of its first word
+    votes = f"array_sort(flatten(transform({hits}, x -> transform(get({lists}, x.n), c -> c + x.i))))"
+    starts = (f"transform(array({votes}), v -> filter(v, (k, i) -> get(v, cast(i + get({needs}, cast(shiftright(k, 40) as int)) - 1 as int)) = k "
+              "and coalesce(get(v, i - 1), -1L) != k))[0]")
+    placed = (f"transform({starts}, k -> named_struct('low', cast((k & {(1 << 40) - 1}L) - {1 << 20} as int), "
+              f"'n', get({sizes}, cast(shiftright(k, 40) as int))))")
+    cut = (f"transform({placed}, x -> named_struct('low', greatest(x.low, 0), 'n', x.n + least(x.low, 0), 'w', "
+           "slice(words, greatest(x.low, 0) + 1, x.n + least(x.low, 0) + x.n div 8)))")
+    # a stretch ends at a blank line, or starts behind it
+    ended = (f"transform({cut}, x -> transform(array(cast(array_position(x.w, '{BLANK}') as int)), b -> case when b = 0 then x "
+             "when 2 * b <= x.n then named_struct('low', x.low + b, 'n', x.n - b, 'w', slice(x.w, b + 1, size(x.w))) "
+             "else named_struct('low', x.low, 'n', least(x.n, b - 1), 'w', slice(x.w, 1, b - 1)) end)[0])")
+    return (f"transform(filter({ended}, x -> size(x.w) > 1), x -> named_struct('paragraph', get(at, x.low), 'last', "
+            "get(at, least(x.low + x.n, size(at)) - 1), 'low', x.low, 'high', x.low + x.n, 'w', x.w))")
+
+
 def scan(docs: DataFrame, model: LicenseModel) -> DataFrame:
-    """Per document: doc_id, n_paragraphs, licences (paragraph, family,
-    probability, similarity, confirmed of each paragraph that the classifier
-    takes for one), the family of the likeliest confirmed one (else unknown),
-    and probability, similarity and confirmed of the likeliest."""
+    """Per document: doc_id, n_paragraphs (lines that are not blank), licences
+    (paragraph: the line it starts in, family, probability, similarity,
+    confirmed) of each line that the classifier takes for one and each stretch
+    that is confirmed, the family of the likeliest confirmed one (else
+    unknown), and probability, similarity and confirmed of the likeliest."""
     families = model.families
     known = np.zeros(BUCKETS, np.int64)
     known[model.features] = np.arange(1, len(model.features) + 1)
     numbers = "array(" + ", ".join(map(str, known)) + ")"
     weights = np.vstack([np.zeros(len(families) + 1), model.weights[:-1] / model.temperature])
     constant = model.weights[-1] / model.temperature
-    table = docs.select(docs["doc_id"].alias("doc_id"), F.split(text_of(docs), "\n").alias("lines")).withColumn(
-        "paragraphs", F.expr("filter(transform(lines, (l, i) -> named_struct('paragraph', i, 'line', l)), p -> trim(p.line) != '')"))
-    numbers = "array(" + ", ".join(map(str, known)) + ")"
-    # words, then the features among their n-grams; paragraphs with none are unknown
-    split = table.select("doc_id", F.size("paragraphs").alias("n_paragraphs"), F.transform(
-        "paragraphs", lambda p: F.struct(p["paragraph"].alias("paragraph"), words(p["line"]).alias("w"))).alias("p"))
+    table = docs.select(docs["doc_id"].alias("doc_id"), F.transform(F.split(text_of(docs), "\n"), lambda line, i: F.struct(
+        i.alias("paragraph"), (F.trim(line) != "").alias("solid"), F.when(
+            F.translate(line, " \t\r", "") == "", F.array(F.lit(BLANK))).otherwise(words(line)).alias("w"))).alias("lines"))
+    table = table.select("doc_id", "lines", F.expr("size(filter(lines, x -> x.solid))").alias("n_paragraphs"), F.expr(
+        "flatten(transform(lines, x -> x.w))").alias("words"), F.expr(
+        "flatten(transform(lines, x -> array_repeat(x.paragraph, size(x.w))))").alias("at"))
+    # lines and stretches (low is null for lines), then the features among their
+    # n-grams; those with none are unknown
+    split = table.select("doc_id", "n_paragraphs", F.expr(
+        f"concat(transform(filter(lines, x -> x.w != array('{BLANK}')), x -> named_struct('paragraph', x.paragraph, 'last', "
+        f"x.paragraph, 'low', cast(null as int), 'high', cast(null as int), 'w', x.w)), {_stretches(docs)})").alias("p"))
+    where = "'paragraph', x.paragraph, 'last', x.last, 'low', x.low, 'high', x.high"
     hashed = split.withColumn("p", F.expr(
-        "transform(p, x -> named_struct('paragraph', x.paragraph, 'w', x.w, 'at', filter(transform("
+        f"transform(p, x -> named_struct({where}, 'w', x.w, 'at', filter(transform("
         f"{_grams('x.w')}, h -> get({numbers}, pmod(h, {BUCKETS}))), n -> n > 0)))"))
     hashed = hashed.withColumn("p", F.expr("filter(p, x -> size(x.at) > 0)"))
     sums = ", ".join(f"{constant[k]:.9g}D + aggregate(x.at, 0D, (s, n) -> s + get({_literal(weights[:, k].tolist())}, n))"
                      for k in range(len(families) + 1))
     scored = hashed.withColumn("p", F.expr(
-        f"transform(p, x -> named_struct('paragraph', x.paragraph, 'w', x.w, 'z', array({sums})))"))
+        f"transform(p, x -> named_struct({where}, 'w', x.w, 'z', array({sums})))"))
     scored = scored.withColumn("p", F.expr(
-        "transform(p, x -> named_struct('paragraph', x.paragraph, 'w', x.w, 'z', x.z, 'top', array_max(x.z)))"))
+        f"transform(p, x -> named_struct({where}, 'w', x.w, 'z', x.z, 'top', array_max(x.z)))"))
     scored = scored.withColumn("p", F.expr(
-        "transform(p, x -> named_struct('paragraph', x.paragraph, 'w', x.w, 'k', array_position(x.z, x.top) - 1, "
+        f"transform(p, x -> named_struct({where}, 'w', x.w, 'k', array_position(x.z, x.top) - 1, "
         "'probability', 1 / aggregate(x.z, 0D, (s, z) -> s + exp(z - x.top))))"))
     scored = scored.withColumn("p", F.expr(f"filter(p, x -> x.k < {len(families)} and x.probability >= {PROBABILITY}D)"))
     cases = []
@@ -187,14 +237,31 @@ def scan(docs: DataFrame, model: LicenseModel) -> DataFrame:
         each = ", ".join(f"size(array_intersect(x.pairs, array({', '.join(map(str, s))}))) / {len(s)}D" for s in statements)
         cases.append(f"when {k} then array_max(array({each}))")
     compared = scored.withColumn("p", F.expr(
-        f"transform(p, x -> named_struct('paragraph', x.paragraph, 'k', x.k, 'probability', x.probability, 'pairs', {_pairs('x.w')}))"))
+        f"transform(p, x -> named_struct({where}, 'k', x.k, 'probability', x.probability, 'pairs', {_pairs('x.w')}))"))
     names = "array(" + ", ".join(f"'{f}'" for f in families) + ")"
     compared = compared.withColumn("p", F.expr(
-        f"transform(p, x -> named_struct('paragraph', x.paragraph, 'family', get({names}, cast(x.k as int)), 'probability', "
+        f"transform(p, x -> named_struct({where}, 'family', get({names}, cast(x.k as int)), 'probability', "
         f"x.probability, 'similarity', case x.k {' '.join(cases)} end))"))
-    found = compared.withColumn("licenses", F.expr(
-        "transform(p, x -> named_struct('paragraph', x.paragraph, 'family', x.family, 'probability', x.probability, "
-        f"'similarity', x.similarity, 'confirmed', x.similarity >= {SIMILARITY}D))"))
+    # of stretches, in order, those that are confirmed and the best of what overlaps
+    found = compared.withColumn("s", F.expr(
+        f"array_sort(transform(filter(p, x -> x.low is not null and x.similarity >= {SIMILARITY}D), x -> named_struct('low', x.low, "
+        "'high', x.high, 'similarity', x.similarity, 'probability', x.probability, 'x', x)))"))
+    found = found.withColumn("s", F.expr(
+        "aggregate(s, slice(s, 1, 0), (found, x) -> case when size(found) = 0 or 2 * (found[size(found) - 1].high - x.low) <= "
+        "least(x.high - x.low, found[size(found) - 1].high - found[size(found) - 1].low) then concat(found, array(x)) "
+        "when x.similarity > found[size(found) - 1].similarity or x.similarity = found[size(found) - 1].similarity and "
+        "x.probability > found[size(found) - 1].probability then concat(slice(found, 1, size(found) - 1), array(x)) "
+        "else found end)"))
+    # one entry for what a line and a stretch both find
+    found = found.withColumn("l", F.expr(
+        f"filter(p, x -> x.low is null and (x.similarity >= {SIMILARITY}D or not exists(s, y -> x.paragraph between "
+        "y.x.paragraph and y.x.last)))"))
+    found = found.withColumn("s", F.expr(
+        f"transform(filter(s, y -> not exists(l, x -> x.similarity >= {SIMILARITY}D and x.family = y.x.family and x.paragraph "
+        "between y.x.paragraph and y.x.last)), y -> y.x)"))
+    found = found.withColumn("licenses", F.expr(
+        "array_sort(transform(concat(l, s), x -> named_struct('paragraph', x.paragraph, 'family', x.family, 'probability', "
+        f"x.probability, 'similarity', x.similarity, 'confirmed', x.similarity >= {SIMILARITY}D)))"))
     # the likeliest: confirmed ones first, then by probability, then the earliest
     best = F.expr("array_max(transform(licenses, x -> named_struct('c', x.confirmed, 'p', x.probability, 'i', -x.paragraph, "
                   "'x', x)))['x']")

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -191,3 +192,27 @@ def test_licenses(spark):
     spans = [x for r in got for x in r["licenses"]]
     assert all(0.5 <= x["probability"] <= 1 and 0 <= x["similarity"] <= 1 for x in spans)
     assert license_scan.scan(table(spark, []), license_scan.fit_licenses(table(spark, []))).collect() == []
+
+
+def wrapped(text, width=76):
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_wrapped_and_inner_licenses(spark):
+    """Hard-wrapped statements, and statements inside long paragraphs."""
+    stated = license_scan.TEMPLATES
+    rows, expected = [], {}
+    for family, statements in [("mit", stated["mit"][3:6]), ("bsd", stated["bsd"][2:5]), ("gpl", [stated["gpl"][1], stated["gpl"][4]])]:
+        for k, text in enumerate([wrapped(" ".join(statements)), *map(wrapped, statements),
+                                  "\n".join(" * " + x for x in wrapped(statements[-1], 60).split("\n")),
+                                  f"{prose(90, 200)} {statements[0]} {prose(91, 200)}"]):
+            expected[len(rows)] = family
+            rows.append((len(rows), f"{prose(k, 30)}\n\n{text}\n\n{prose(k + 50, 30)}"))
+    rows.append((100, f"{prose(92, 30)}\n{prose(93, 300)} All rights reserved. {prose(94, 300)}"))
+    rows.append((101, "Permission is hereby granted\n\nfree of charge\n\nto any person"))
+    docs = table(spark, rows)
+    got = {r["doc_id"]: r for r in license_scan.scan(docs, license_scan.fit_licenses(docs)).collect()}
+    assert {i: got[i]["family"] for i in expected} == expected
+    assert got[100]["family"] == "proprietary" and got[101]["family"] == "unknown"
+    assert [x["paragraph"] for x in got[1]["licenses"] if x["confirmed"]] == [2]
+    assert len([x for x in got[0]["licenses"] if x["confirmed"]]) == 3
