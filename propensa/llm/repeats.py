@@ -337,7 +337,8 @@ def with_removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, h
     (low, high, tag) as from :func:`repeated_spans`; null if none."""
     keyed = docs.withColumn("text", text_of(docs)).withColumn("text_hash", F.xxhash64("text"))
     spans = repeated_spans(keyed.select("doc_id", "text_hash", "text"), length, anchor, hot)
-    lists = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("low", "high", "tag")).alias("spans"))
+    # a set: repeated rows of one doc_id all bring the spans of their text
+    lists = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("low", "high", "tag")).alias("spans"))
     return _with_text(keyed, lists, "left")
 
 

@@ -97,3 +97,12 @@ def test_rows_keep_their_columns(spark):
     left = {r["spans"]: r["text"] for r in cut.collect()}
     assert left["s9"] == "" and left["s8"] == rows[8][1] and left["s0"] == ""
     assert repeats.remove_repeats(table(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_spans_of_repeated_rows_do_not_add_up(spark, doc_id):
+    text = prose(80, 400)
+    rows = {n: repeats.with_removals(table(spark, [(doc_id, text)] * n).select("doc_id", "text")).collect() for n in (2, 30)}
+    spans = {n: {len(r["spans"]) for r in got} for n, got in rows.items()}
+    assert len(rows[30]) == 30 and spans[30] == spans[2] and len(spans[2]) == 1
+    assert all(repeats.cut(text.encode(), r["spans"])[0] == b"" for r in rows[30])
