@@ -17,16 +17,24 @@ def fit_score(train: DataFrame, test: DataFrame, features: Sequence[str],
               max_iter: int = 50, reg: float = 0.01) -> DataFrame:
     """Fit on ``train`` and return ``key, label, score`` for ``test``.
 
-    Null features are read as 0.  Checkpoint the inputs first when they
-    have a long lineage (the registered query does), so a lost executor
-    re-reads the checkpoint instead of recomputing the features.
+    Null features are read as 0, and rows without a label are not fitted on.
+    Where the training rows have one class, or there are none, nothing can be
+    separated: every row then scores (positives + 1) / (rows + 2).
+    Checkpoint the inputs first when they have a long lineage (the registered
+    query does), so a lost executor re-reads the checkpoint instead of
+    recomputing the features.
     """
     def prep(df: DataFrame) -> DataFrame:
         return df.select(key, F.col(label).cast("double").alias(label),
                          *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                            for c in features])
 
-    train_p = prep(train).cache()   # the optimiser makes many passes
+    train_p = prep(train).filter(F.col(label).isNotNull()).cache()   # the optimiser makes many passes
+    rows, positives = train_p.agg(F.count("*"), F.coalesce(F.sum(label), F.lit(0.0))).first()
+    if positives in (0, rows):
+        train_p.unpersist()
+        return test.select(key, F.col(label).cast("int").alias(label),
+                           F.lit((positives + 1) / (rows + 2)).alias("score"))
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
