@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensa.llm import (byte_cnn, decontaminate, html_text, license_scan, near_dedup, oracle, packing,
-                          quality_rules, repeats, token_count, token_file)
+from propensa.llm import (byte_cnn, decontaminate, html_text, importance, license_scan, merkle, near_dedup, oracle,
+                          packing, quality_rules, repeats, secrets, token_count, token_file)
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -66,9 +66,26 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = importance.scored(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
+    return importance.ranked(scored.drop("text")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(_read(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return merkle.manifest(
+        docs, tampered=[merkle.lowered(docs["text"]) if f == "text" else docs[f] for f in merkle.FIELDS],
+        where=F.crc32(docs["doc_id"].cast("string").cast("binary")) % 3 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_licenses, op2_token_file, op3_repeats, op4_decontamination, op5_main_text, op6_packing,
-             op7_token_counts, op8_quality, op9_quality_rules, op10_near_dedup)
+             op7_token_counts, op8_quality, op9_quality_rules, op10_near_dedup, op11_importance, op12_secrets,
+             op13_manifest)
     return {f.__name__: f for f in found}
 
 
