@@ -65,13 +65,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 _OF_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 _POWERS: dict[int, np.ndarray] = {}
+KEPT = 1 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
+    """Powers 0 to n - 1; up to ``KEPT`` of them are held for the next call."""
     if base not in _POWERS or len(_POWERS[base]) < n:
         steps = np.full(max(n, 1), base, np.uint64)
         steps[0] = 1
-        _POWERS[base] = np.multiply.accumulate(steps)
+        powers = np.multiply.accumulate(steps)
+        if n > KEPT:
+            return powers
+        _POWERS[base] = powers
     return _POWERS[base][:n]
 
 

@@ -28,8 +28,11 @@ OTHER = re.compile(f"[^{SPACES}!-~{LETTERS}¡§«»¿–—‘’“”…]")
 BYTE_WORDS = re.compile(f" ?[{LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^{SPACES}{LETTERS}0-9]+"
                         f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 LOWER_WORDS = re.compile(f"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^{SPACES}{LETTERS}0-9]+")
-#: Words kept in each of a worker's two generations.
-CACHE_WORDS = 400_000
+#: Words kept in each of a worker's two generations; a word and its ids take
+#: about 170 bytes, so both together stay below 64 MB.
+CACHE_WORDS = 180_000
+#: Words longer than this are not kept.
+CACHED_LENGTH = 64
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -50,17 +53,27 @@ class Generations(dict):
 
     def turn(self) -> None:
         """Start a new generation if this one is full."""
-        if len(self) > self.limit:
+        if len(self) >= self.limit:
+            self.old = {}
             self.old = dict(self)
             self.clear()
 
     def __missing__(self, word):
         value = self.old.get(word)
+        if self.learn is None:    # all words of a batch are here already
+            self[word] = value
+            return value
         if value is None:
             value = self.learn(word)
-        self[word] = value
+        if len(word) <= CACHED_LENGTH:
+            self.turn()
+            self[word] = value
         return value
 
+    def release(self) -> None:
+        self.old = {}
+        self.clear()
+
     def unknown(self, words: set) -> list:
         """Which of ``words`` neither generation has."""
         return list(words.difference(self).difference(self.old))
@@ -89,7 +102,6 @@ class WordTokenizer:
         return array("I", [t.id for t in self.library.model.tokenize(mapped)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        self.cache.turn()
         return [self.encode_one(text) for text in texts]
 
     def encode_one(self, text: str) -> bytes:
@@ -99,7 +111,13 @@ class WordTokenizer:
         return b"".join(map(self.cache.__getitem__, words))
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One per Python worker and vocabulary file."""
+    """One per Python worker, for the vocabulary file used last."""
     return WordTokenizer(path)
+
+
+def release_tokenizer() -> None:
+    """Give the memory back: workers outlive a job, and the next one may have
+    other things to hold."""
+    word_tokenizer.cache_clear()
