@@ -68,12 +68,12 @@ def features(texts: list[str], low: int = 1, high: int = 1,
         words = words[tail:] + [w for _, w in new]
         document = np.concatenate([document[tail:], np.searchsorted(offsets, starts, side="right") - 1])
         old = len(words) - len(new)
-        owners, hashed = [], []
+        owners, hashed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         code: list[int] = []
         for n in range(1, high + 1):
             code = ([zlib.crc32(w) for w in words] if n == 1
                     else [zlib.crc32(b" " + w, c) for c, w in zip(code, words[n - 1:])])
-            if n < low:
+            if n < low or n > len(words):
                 continue
             first = max(0, old - n + 1)           # runs of n words that end among the new ones
             own = document[first:len(words) - n + 1]

@@ -8,7 +8,7 @@ the partition's; these roots, ordered, make the tree of the manifest's root.
    nowhere else.
 2. *Places.*  Leaves are numbered within their partition by sorted ranges
    (``numbering``), so a partition of any size is spread over all tasks.
-3. *Up.*  A superblock is ``FANOUT ** DEPTH`` neighbouring nodes.  Each is
+3. *Up.*  A superblock is ``FANOUT ** depth`` neighbouring nodes.  Each is
    reduced to its top; tops are the nodes of the next round, until a partition
    has one, and in the same way until the manifest has one.  A round's table
    is 1 / 512 of the one before.
@@ -62,11 +62,12 @@ def leaf_of(fields: Sequence[Column]) -> Column:
     return F.sha2(F.concat(*[framed(f) for f in fields]), 256)
 
 
-def levels_of(nodes: list[str], alone: bool) -> list[list[str]]:
-    """The levels of a superblock, its nodes first.  ``alone``: it is all its
-    tree has, and ends at one node; others have ``DEPTH`` levels more."""
-    levels = [nodes]
-    while len(levels[-1]) > 1 if alone else len(levels) <= DEPTH:
+def levels_of(nodes: list[str], n: int, depth: int) -> list[list[str]]:
+    """The levels of a superblock, its nodes first, of a tree of ``n`` nodes.
+    One that is all its tree has ends at one node, others after ``depth``
+    levels more."""
+    levels, alone = [nodes], n <= FANOUT ** depth
+    while len(levels[-1]) > 1 if alone else len(levels) <= depth:
         last = levels[-1]
         levels.append([digest(last[i:i + FANOUT]) for i in range(0, len(last), FANOUT)])
     return levels
@@ -90,38 +91,38 @@ def fold(node: str, lefts: Sequence[str], rights: Sequence[str]) -> str:
     return node
 
 
-def _tops(nodes: DataFrame) -> DataFrame:
+def _tops(nodes: DataFrame, depth: int) -> DataFrame:
     """tree, at, n, node of the superblocks of ``nodes``, as a written table."""
-    size = FANOUT ** DEPTH
+    size = FANOUT ** depth
 
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at")
         at, n = int(rows["at"].iloc[0]), int(rows["n"].iloc[0])
-        top = levels_of(rows["node"].tolist(), n <= size)[-1][0]
+        top = levels_of(rows["node"].tolist(), n, depth)[-1][0]
         return pd.DataFrame({"tree": [rows["tree"].iloc[0]], "at": [at // size], "n": [-(-n // size)], "node": [top]})
 
-    blocks = nodes.select("tree", "at", "n", "node").groupBy("tree", _block())
+    blocks = nodes.select("tree", "at", "n", "node").groupBy("tree", _block(depth))
     return written(blocks.applyInPandas(reduce, "tree string, at bigint, n bigint, node string"), "tops")
 
 
-def _block() -> Column:
-    return F.floor(F.col("at") / FANOUT ** DEPTH).cast("bigint").alias("block")
+def _block(depth: int) -> Column:
+    return F.floor(F.col("at") / FANOUT ** depth).cast("bigint").alias("block")
 
 
-def _rounds(nodes: DataFrame) -> list[DataFrame]:
+def _rounds(nodes: DataFrame, depth: int) -> list[DataFrame]:
     """``nodes`` and the tops of each round, the last with one node a tree."""
     rounds = [nodes]
     while (rounds[-1].agg(F.max("n")).first()[0] or 1) > 1:
-        rounds.append(_tops(rounds[-1]))
+        rounds.append(_tops(rounds[-1], depth))
     return rounds
 
 
-def _down(rounds: list[DataFrame], outer: DataFrame) -> DataFrame:
+def _down(rounds: list[DataFrame], outer: DataFrame, depth: int) -> DataFrame:
     """Outer nodes (tree, at, path, subroot, root) of the nodes of the first of
     ``rounds``, from those of the trees' roots."""
     def extend(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at")
-        levels = levels_of(rows["node"].tolist(), int(rows["n"].iloc[0]) <= FANOUT ** DEPTH)
+        levels = levels_of(rows["node"].tolist(), int(rows["n"].iloc[0]), depth)
         up = above.iloc[0]
         found = [siblings(levels, k) for k in range(len(rows))]
         return pd.DataFrame({
@@ -129,34 +130,35 @@ def _down(rounds: list[DataFrame], outer: DataFrame) -> DataFrame:
             "rights": [[*right, *up["rights"]] for _, right in found], "subroot": up["subroot"], "root": up["root"]})
 
     for nodes in rounds[-2::-1]:
-        outer = written(nodes.select("tree", "at", "n", "node").groupBy("tree", _block()).cogroup(
+        outer = written(nodes.select("tree", "at", "n", "node").groupBy("tree", _block(depth)).cogroup(
             outer.groupBy("tree", F.col("at").alias("block"))).applyInPandas(
             extend, f"tree string, at bigint, {PATH}, subroot string, root string"), "outer")
     return outer
 
 
-def _outer_of_partitions(subroots: DataFrame) -> DataFrame:
+def _outer_of_partitions(subroots: DataFrame, depth: int) -> DataFrame:
     """tree, at (0), path to the manifest's root, subroot and root, a row for
     each partition.  ``subroots``: tree and node."""
     leaves = written(subroots.select("tree", "node", F.monotonically_increasing_id().alias("row")), "subroots")
     placed = numbered(leaves, [F.col("tree")], [], "row").withColumnsRenamed({"tree": "of"}).withColumn(
         "tree", F.lit("")).select("of", "tree", "at", "n", "node")
     placed = written(placed, "subroots")
-    rounds = _rounds(placed)
+    rounds = _rounds(placed, depth)
     none = F.array().cast("array<string>")
     top = rounds[-1].select("tree", "at", none.alias("lefts"), none.alias("rights"),
                             F.lit(None).cast("string").alias("subroot"), F.col("node").alias("root"))
-    paths = _down(rounds, top).select("at", "lefts", "rights", "root")
+    paths = _down(rounds, top, depth).select("at", "lefts", "rights", "root")
     return written(placed.join(paths, "at").select(
         F.col("of").alias("tree"), F.lit(0).cast("bigint").alias("at"), "lefts", "rights", F.col("node").alias("subroot"),
         "root"), "outer")
 
 
 def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, partition: str = "lang", order: str = "doc_id",
-             tampered: Sequence[Column] | None = None, where: Column | None = None, proofs: bool = False) -> DataFrame:
+             tampered: Sequence[Column] | None = None, where: Column | None = None, proofs: bool = False,
+             depth: int = DEPTH) -> DataFrame:
     """Per row: ``order``, leaf, subroot, root, proof_sha256, folded_root and
     verified; with ``proofs`` also lefts and rights, the siblings level by
-    level.  ``tampered``: fields that replace the row's before folding, where
+    level.  A superblock has ``depth`` levels.  ``tampered``: fields that replace the row's before folding, where
     ``where`` is true."""
     kind = docs.schema[order].dataType.simpleString()
     own = [docs[f] for f in fields]
@@ -168,19 +170,19 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, partition: str = "
         F.monotonically_increasing_id().alias("row")), "leaves")
     placed = written(numbered(leaves, [F.col("id").asc_nulls_first(), F.col("node")], ["tree"], "row").select(
         "tree", "at", "n", "node", "changed", F.col("id").cast("string").alias("id")), "placed")
-    rounds = _rounds(placed)
+    rounds = _rounds(placed, depth)
     # down to the tops of the leaves' superblocks
-    outer = _down(rounds[1:], _outer_of_partitions(rounds[-1].select("tree", "node")))
-    return _finished(placed, outer, order, kind, proofs)
+    outer = _down(rounds[1:], _outer_of_partitions(rounds[-1].select("tree", "node"), depth), depth)
+    return _finished(placed, outer, order, kind, proofs, depth)
 
 
-def _finished(placed: DataFrame, outer: DataFrame, order: str, kind: str, proofs: bool) -> DataFrame:
+def _finished(placed: DataFrame, outer: DataFrame, order: str, kind: str, proofs: bool, depth: int) -> DataFrame:
     whole = f", {PATH}" if proofs else ""
 
     def finish(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at")
         nodes = rows["node"].tolist()
-        levels = levels_of(nodes, int(rows["n"].iloc[0]) <= FANOUT ** DEPTH)
+        levels = levels_of(nodes, int(rows["n"].iloc[0]), depth)
         up = above.iloc[0]
         outer_lefts, outer_rights, root = list(up["lefts"]), list(up["rights"]), up["root"]
         outer_proof = "".join(left + right for left, right in zip(outer_lefts, outer_rights))
@@ -197,7 +199,7 @@ def _finished(placed: DataFrame, outer: DataFrame, order: str, kind: str, proofs
         found.insert(0, "id", rows["id"].tolist())
         return found
 
-    done = placed.groupBy("tree", _block()).cogroup(outer.groupBy("tree", F.col("at").alias("block"))).applyInPandas(
+    done = placed.groupBy("tree", _block(depth)).cogroup(outer.groupBy("tree", F.col("at").alias("block"))).applyInPandas(
         finish, "id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "
                 f"verified boolean{whole}")
     return done.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", order)
