@@ -314,3 +314,50 @@ WITH f AS (SELECT user_id,
                   CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS fold
            FROM events GROUP BY user_id)
 SELECT user_id, label, true AS in_range FROM f WHERE seen > 0 AND fold = 0"""
+
+ORACLE["vector_search_exact"] = """
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS id,
+         sqrt(list_sum(list_transform(list_zip(q.embedding, x.embedding),
+                                      lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)))) AS d
+  FROM embeddings q JOIN embeddings x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, id) AS INTEGER) AS rank, id,
+       round(d, 6) AS distance
+FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, id) <= 10"""
+
+ORACLE["interval_join_state"] = """
+WITH valid AS (
+  SELECT event_id AS signup_id, user_id, ts AS a,
+         coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), TIMESTAMP '2100-01-01') AS z
+  FROM events WHERE event_type = 'signup')
+SELECT e.event_id, e.user_id, signup_id
+FROM events e LEFT JOIN valid v ON e.user_id = v.user_id AND v.a <= e.ts AND e.ts < v.z
+WHERE e.event_type = 'purchase'"""
+
+ORACLE["interval_join_any"] = """
+SELECT p.event_id, x.event_id AS error_id
+FROM events p JOIN events x ON x.ts <= p.ts AND p.ts < x.ts + INTERVAL 10 MINUTE
+WHERE p.event_type = 'purchase' AND x.event_type = 'error'"""
+
+ORACLE["overlap_join"] = """
+WITH v AS (SELECT event_id, user_id, ts AS a, ts + INTERVAL 3 HOUR AS z FROM events WHERE event_type = 'view'),
+     x AS (SELECT event_id AS error_id, user_id, ts AS b, ts + INTERVAL 1 DAY AS y FROM events WHERE event_type = 'error')
+SELECT event_id, error_id, greatest(a, b) AS overlap_start,
+       CAST(epoch_us(least(z, y)) - epoch_us(greatest(a, b)) AS DOUBLE) / 1000000.0 AS overlap_seconds
+FROM v JOIN x ON v.user_id = x.user_id AND a < y AND b < z"""
+
+ORACLE["funnel"] = """
+WITH e AS (SELECT user_id, event_type, ts, event_id FROM events WHERE event_type IN ('view', 'click', 'purchase')),
+s2 AS (
+  SELECT b.user_id, b.ts, b.event_id, max(a.ts) AS start
+  FROM e a JOIN e b ON a.user_id = b.user_id AND (a.ts < b.ts OR a.ts = b.ts AND a.event_id < b.event_id)
+  WHERE a.event_type = 'view' AND b.event_type = 'click' AND b.ts <= a.ts + INTERVAL 3 DAY GROUP BY 1, 2, 3),
+s3 AS (
+  SELECT c.user_id, c.ts
+  FROM s2 JOIN e c ON s2.user_id = c.user_id AND (s2.ts < c.ts OR s2.ts = c.ts AND s2.event_id < c.event_id)
+  WHERE c.event_type = 'purchase' AND c.ts <= start + INTERVAL 3 DAY)
+SELECT user_id,
+       CAST(CASE WHEN user_id IN (SELECT user_id FROM s3) THEN 3 WHEN user_id IN (SELECT user_id FROM s2) THEN 2
+            WHEN count(*) FILTER (WHERE event_type = 'view') > 0 THEN 1 ELSE 0 END AS INTEGER) AS depth,
+       (SELECT min(s3.ts) FROM s3 WHERE s3.user_id = e.user_id) AS completed_at
+FROM e GROUP BY user_id"""

@@ -37,4 +37,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # importing the plan modules registers their queries
-    from propensa.plans import batch, streams  # noqa: F401
+    from propensa.plans import batch, relations, streams  # noqa: F401
