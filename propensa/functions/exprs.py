@@ -79,9 +79,14 @@ def exact_std(c: Column, scale: int | None) -> Column:
     if scale is None:
         return F.when(n >= 2, F.stddev_samp(c))
     d = c.cast("decimal(20,0)")
-    wide = F.sum(d)
+    return std_of(n, F.sum(d), F.sum(d * d), scale)
+
+
+def std_of(n: Column, wide: Column, squares: Column, scale: int) -> Column:
+    """Sample standard deviation from the count, sum and sum of squares of
+    whole units."""
     q = F.round(wide.cast("double") / F.nullif(n, F.lit(0)).cast("double")).cast("decimal(20,0)")
-    around = F.sum(d * d) - F.lit(2) * (q * wide) + n.cast("decimal(20,0)") * (q * q)
+    around = squares - F.lit(2) * (q * wide) + n.cast("decimal(20,0)") * (q * q)
     rest = (wide - n.cast("decimal(20,0)") * q).cast("double")
     var = (around.cast("double") - rest * rest / n.cast("double")) / (n - F.lit(1)).cast("double")
     return F.when(n >= 2, unscaled(F.sqrt(F.greatest(var, F.lit(0.0))), scale))

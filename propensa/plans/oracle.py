@@ -361,3 +361,55 @@ SELECT user_id,
             WHEN count(*) FILTER (WHERE event_type = 'view') > 0 THEN 1 ELSE 0 END AS INTEGER) AS depth,
        (SELECT min(s3.ts) FROM s3 WHERE s3.user_id = e.user_id) AS completed_at
 FROM e GROUP BY user_id"""
+
+ORACLE["p25_stream_late"] = """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+WHERE event_id % 10 <> 0
+   OR ts > (SELECT max(ts) FROM events WHERE event_id % 10 <> 0 AND ts < TIMESTAMP '2024-01-16') - INTERVAL 1 HOUR"""
+
+ORACLE["stream_attribution"] = """
+SELECT p.event_id, p.user_id, c.event_id AS click_id
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c
+  ON p.user_id = c.user_id AND c.ts <= p.ts AND c.ts >= p.ts - INTERVAL 6 HOUR"""
+
+_SNAPSHOTS = """
+s AS (
+  SELECT 1 AS v, c_custkey, c_acctbal, c_mktsegment, c_nationkey FROM customer WHERE c_custkey % 10 <> 3
+  UNION ALL
+  SELECT 2, c_custkey, CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 100 ELSE c_acctbal END,
+         CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END, c_nationkey FROM customer WHERE c_custkey % 10 <> 5
+  UNION ALL
+  SELECT 3, c_custkey, c_acctbal, c_mktsegment, c_nationkey FROM customer WHERE c_custkey % 13 <> 0),
+marked AS (
+  SELECT *, v - 1 IS DISTINCT FROM lag(v) OVER k OR c_acctbal IS DISTINCT FROM lag(c_acctbal) OVER k
+         OR c_mktsegment IS DISTINCT FROM lag(c_mktsegment) OVER k
+         OR c_nationkey IS DISTINCT FROM lag(c_nationkey) OVER k AS begins
+  FROM s WINDOW k AS (PARTITION BY c_custkey ORDER BY v)),
+runs AS (SELECT *, sum(begins::INT) OVER (PARTITION BY c_custkey ORDER BY v) AS run FROM marked)"""
+
+ORACLE["scd_history"] = f"""
+WITH {_SNAPSHOTS}
+SELECT c_custkey, any_value(c_acctbal) AS c_acctbal, any_value(c_mktsegment) AS c_mktsegment,
+       any_value(c_nationkey) AS c_nationkey, make_timestamp(2024, min(v)::BIGINT, 1, 0, 0, 0.0) AS valid_from,
+       CASE WHEN max(v) < 3 THEN make_timestamp(2024, max(v)::BIGINT + 1, 1, 0, 0, 0.0) END AS valid_to
+FROM runs GROUP BY c_custkey, run"""
+
+ORACLE["scd_state_at"] = f"""
+WITH {_SNAPSHOTS},
+e AS (SELECT event_id, user_id AS c_custkey, ts + INTERVAL 15 DAY AS ts FROM events WHERE event_type = 'purchase')
+SELECT e.event_id, e.c_custkey, s.c_acctbal, s.c_mktsegment
+FROM e LEFT JOIN s ON e.c_custkey = s.c_custkey
+     AND s.v = CASE WHEN ts < TIMESTAMP '2024-01-01' THEN 0 WHEN ts < TIMESTAMP '2024-02-01' THEN 1 ELSE 2 END"""
+
+ORACLE["sketch_rollup"] = """
+SELECT event_type, a AS first_day, z AS last_day, count(*) AS n_events, true AS users_ok, true AS median_ok
+FROM events JOIN (VALUES (DATE '2024-01-01', DATE '2024-01-07'), (DATE '2024-01-10', DATE '2024-01-10'),
+                         (DATE '2024-01-01', DATE '2024-01-31')) r(a, z) ON CAST(ts AS DATE) BETWEEN a AND z
+GROUP BY 1, 2, 3"""
+
+ORACLE["clustered_read"] = """
+SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_shipdate FROM lineitem
+WHERE l_shipdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31' AND l_partkey BETWEEN 100 AND 500"""
+
+ORACLE["incremental_training_table"] = ORACLE["training_table"]

@@ -1,15 +1,19 @@
-"""Queries over the tables beside ``events``: vectors, intervals, baskets."""
+"""Vectors, intervals, funnels, histories, sketches and stored states."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from propensa.operators import vectors
+from propensa import defaults
+from propensa.operators import history, incremental, sketches, vectors
 from propensa.operators.funnel import funnel
 from propensa.operators.intervals import interval_join, overlap_join
 from propensa.plans.registry import register
-from propensa.sources import events, load
+from propensa.session import shared_dir, written
+from propensa.sources import events, load, read_clustered, write_clustered
 
 #: Neighbours per query.
 NEIGHBOURS = 10
@@ -83,3 +87,79 @@ def q_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """View, then click, then purchase, within three days of the view."""
     steps = [F.col("event_type") == kind for kind in ("view", "click", "purchase")]
     return funnel(events(spark, sf_dir), steps, 3 * 86_400)
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> list[tuple[dt.datetime, DataFrame]]:
+    """Three states of ``customer``: rows come, go, return and change."""
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
+    key = F.col("c_custkey")
+    second = customer.where(key % 10 != 5).withColumns({
+        "c_acctbal": F.when(key % 7 == 0, F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal")),
+        "c_mktsegment": F.when(key % 11 != 0, F.col("c_mktsegment"))})
+    return [(dt.datetime(2024, 1, 1), customer.where(key % 10 != 3)), (dt.datetime(2024, 2, 1), second),
+            (dt.datetime(2024, 3, 1), customer.where(key % 13 != 0))]
+
+
+@register("scd_history")
+def q_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.replay(_snapshots(spark, sf_dir), "c_custkey", ["c_acctbal", "c_mktsegment", "c_nationkey"]).drop(
+        "state_hash")
+
+
+@register("scd_state_at")
+def q_state_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer's segment at each purchase."""
+    past = history.replay(_snapshots(spark, sf_dir)[:2], "c_custkey", ["c_acctbal", "c_mktsegment", "c_nationkey"])
+    bought = events(spark, sf_dir).where("event_type = 'purchase'").select(
+        "event_id", F.col("user_id").alias("c_custkey"), F.expr("ts + interval 15 days").alias("ts"))
+    return history.state_at(bought, past, "c_custkey").select("event_id", "c_custkey", "c_acctbal", "c_mktsegment")
+
+
+#: Ranges of days that the sketch rollup is asked for.
+RANGES = [(dt.date(2024, 1, 1), dt.date(2024, 1, 7)), (dt.date(2024, 1, 10), dt.date(2024, 1, 10)),
+          (dt.date(2024, 1, 1), dt.date(2024, 1, 31))]
+
+
+@register("sketch_rollup")
+def q_sketch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per type and range: events, and whether distinct users and the median's
+    rank from stored daily sketches are within the stated errors."""
+    ev = events(spark, sf_dir)
+    daily = written(sketches.daily_sketches(ev, ["event_type"], "user_id", "value"), "sketches")
+    out = None
+    for first, last in RANGES:
+        got = sketches.rollup(daily, ["event_type"], first, last).withColumnRenamed("event_type", "kind")
+        inside = ev.where(F.to_date("ts").between(F.lit(first), F.lit(last)))
+        both = inside.join(got.select("kind", "n_distinct", "q50", F.col("n").alias("n_events")), F.col("event_type") == F.col("kind"))
+        # the least and greatest rank that the quantile's value may have
+        exact = both.groupBy("event_type", "n_events", "n_distinct", "q50").agg(
+            F.count_distinct("user_id").alias("users"), F.count("value").alias("values"),
+            F.count_if(F.col("value") < F.col("q50")).alias("below"), F.count_if(F.col("value") <= F.col("q50")).alias("upto"))
+        slack = sketches.KLL_RANK_ERROR * F.col("values") + 1
+        row = exact.select(
+            "event_type", F.lit(first).alias("first_day"), F.lit(last).alias("last_day"), "n_events",
+            (F.abs(F.col("n_distinct") - F.col("users")) <= sketches.distinct_error() * F.col("users") + 1).alias("users_ok"),
+            ((F.col("below") <= F.col("values") / 2 + slack) & (F.col("upto") >= F.col("values") / 2 - slack)).alias("median_ok"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("clustered_read")
+def q_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a range of dates and parts, from a table clustered on both."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
+    path = write_clustered(lines, shared_dir(spark, "clustered"), ["l_shipdate", "l_partkey"], 64)
+    return read_clustered(spark, path, {"l_shipdate": (dt.datetime(1997, 1, 1), dt.datetime(1997, 12, 31)),
+                                        "l_partkey": (100, 500)})
+
+
+@register("incremental_training_table")
+def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training table from daily states, of which some days came late or
+    were corrected after the first update."""
+    ev = events(spark, sf_dir)
+    base = shared_dir(spark, "state")
+    late = (F.to_date("ts") >= F.lit(dt.date(2024, 1, 28))) | (F.to_date("ts") == F.lit(dt.date(2024, 1, 10))) & (
+        F.col("event_id") % 5 == 0)
+    first = incremental.update(ev.where(~F.coalesce(late, F.lit(False))), base)
+    return incremental.training_table(spark, incremental.update(ev, base, first), defaults.CUTOFF)

@@ -1,14 +1,16 @@
 """Streaming (P23-P25) and sink (P26) queries.
 
-Each streaming query writes the events as a few files in time order, drains
-them through a stream, one file a micro-batch, into a fresh folder under the
-shared checkpoint folder and returns the sink read back as a table.  A last
-file holds one row far ahead, which closes all windows and sessions.
+Each streaming query writes the events as slices in time order, drains them
+through a stream, one slice a micro-batch, into a fresh folder under the
+shared checkpoint folder and returns the sink read back as a table.  A slice
+has as many files as it has rows for (``FILE_ROWS`` each), so no task writes or
+reads a slice whole.  Rows without a time are in the first one.  A last slice
+holds one row far ahead, which closes all windows and sessions.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +23,7 @@ from propensa.plans.registry import register
 from propensa.session import shared_dir
 from propensa.sources import events, write_csv, write_partitioned
 from propensa.streaming import (
-    event_stream, hourly_counts, run_available_now, stream_dedup, stream_sessions,
+    attribute, event_stream, hourly_counts, run_available_now, stream_dedup, stream_sessions,
 )
 
 
@@ -29,22 +31,41 @@ def _money_sum(c: str) -> Column:
     return exact_sum(units(c, defaults.MONEY_SCALE), defaults.MONEY_SCALE).alias("sum_value")
 
 
-def _drain(ev: DataFrame, build, name: str, files: int = 3) -> DataFrame:
+#: Rows of one file.
+FILE_ROWS = 5_000_000
+
+
+def _deliver(slices: list[DataFrame], rows: int, path: str) -> int:
+    """Write the slices one after the other; the number of files of each."""
+    files = max(1, -(-rows // FILE_ROWS))
+    for part in slices:
+        # coalescing would make the scan itself one task; few rows need no shuffle
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(path)
+    return files
+
+
+def _closing(ev: DataFrame, last: datetime) -> DataFrame:
+    # with a key: a join drops rows without one before it looks at their time
+    row = {"ts": last + timedelta(days=2), "user_id": -1}
+    return ev.sparkSession.createDataFrame([tuple(row.get(c) for c in ev.columns)], ev.schema)
+
+
+def _drain(ev: DataFrame, build, name: str, cuts: int = 2, slices: list[DataFrame] | None = None) -> DataFrame:
+    """``build`` of the stream of ``ev``, in ``cuts`` slices of equal time or
+    the given ones."""
     spark = ev.sparkSession
     base = shared_dir(spark, name)
-    first, last = ev.agg(F.min("ts"), F.max("ts")).first()
-    if first is not None:
-        edges = [first + (last - first) * k / files for k in range(1, files)]
+    first, last, rows = ev.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
+    if slices is None and first is not None:
+        edges = [first + (last - first) * k / cuts for k in range(1, cuts)]
+        time, slices = F.col("ts"), []
         for low, high in zip([None, *edges], [*edges, None]):
-            part = ev if low is None else ev.filter(F.col("ts") >= ts_lit(low))
-            part = part if high is None else part.filter(F.col("ts") < ts_lit(high))
-            part.coalesce(1).write.mode("append").parquet(f"{base}/in")
-        close = ev.limit(1).select(*[(ts_lit(last + timedelta(days=1)) if c == "ts" else F.lit(None)).cast(
-            ev.schema[c].dataType).alias(c) for c in ev.columns])
-        close.write.mode("append").parquet(f"{base}/in")
-    else:
-        ev.write.parquet(f"{base}/in")
-    out = build(event_stream(spark, f"{base}/in", max_files_per_trigger=1))
+            inside = F.lit(True) if high is None else time < ts_lit(high)
+            # the first slice also has the rows without a time
+            slices.append(ev.filter(time.isNull() | inside if low is None else (time >= ts_lit(low)) & inside))
+    slices = [*(slices or [ev]), *([_closing(ev, last)] if last is not None else [])]
+    files = _deliver(slices, rows, f"{base}/in")
+    out = build(event_stream(spark, f"{base}/in", max_files_per_trigger=files))
     run_available_now(out, f"{base}/out", f"{base}/checkpoint")
     return spark.read.schema(out.schema).parquet(f"{base}/out")
 
@@ -76,6 +97,33 @@ def q_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drain(twice, stream_dedup, "dedup").filter(F.col("event_id").isNotNull())
 
 
+#: Events from here on come in the second slice of the late stream.
+LATE_CUT = datetime(2024, 1, 16)
+
+
+@register("p25_stream_late")
+def q_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth event comes in the third slice, after all others.  It is
+    judged by the watermark that the first slice has set, and dropped as late
+    if it lies behind."""
+    ev = events(spark, sf_dir)
+    tenth = F.coalesce(F.col("event_id") % 10 == 0, F.lit(False))
+    early = F.col("ts") < ts_lit(LATE_CUT)
+    slices = [ev.filter(~tenth & (early | F.col("ts").isNull())), ev.filter(~tenth & ~early), ev.filter(tenth)]
+    return _drain(ev, stream_dedup, "late", slices=slices).filter(F.col("event_id").isNotNull())
+
+
+@register("stream_attribution")
+def q_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the user's clicks of the six hours before it."""
+    def build(stream: DataFrame) -> DataFrame:
+        clicks, bought = (stream.filter((F.col("event_type") == kind) | F.col("event_type").isNull()).select(
+            "event_id", "user_id", "ts") for kind in ("click", defaults.TARGET_TYPE))
+        return attribute(bought, clicks, "6 hours")
+    return _drain(events(spark, sf_dir), build, "attribution").filter(F.col("event_id").isNotNull()).select(
+        "event_id", "user_id", F.col("cause_event_id").alias("click_id"))
+
+
 @register("p26_partitioned_features")
 def q_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = (events(spark, sf_dir)

@@ -82,6 +82,24 @@ def stream_dedup(stream: DataFrame, key: str = "event_id",
     return out.withColumn("ts", _ntz(F.col("ts")))
 
 
+def attribute(effects: DataFrame, causes: DataFrame, within: str, key: str = "user_id", ts: str = "ts",
+              watermark: str = "1 hour") -> DataFrame:
+    """Stream-stream join: each effect with every cause of its key in
+    ``[ts - within, ts]``, and effects without one, once no cause can come any
+    more.
+
+    Both sides are watermarked and the condition bounds the times of a pair,
+    so Spark drops state that can match nothing.  An effect without a cause is
+    written when both watermarks have passed it.  Effects or causes without a
+    key or a time match nothing; such effects are written, too.  The cause's
+    columns are called cause_...
+    """
+    left = effects.withWatermark(ts, watermark)
+    right = causes.select([F.col(c).alias(f"cause_{c}") for c in causes.columns]).withWatermark(f"cause_{ts}", watermark)
+    near = F.expr(f"{key} = cause_{key} AND cause_{ts} <= {ts} AND cause_{ts} >= {ts} - INTERVAL {within}")
+    return left.join(right, near, "left_outer")
+
+
 def run_available_now(df: DataFrame, sink_dir: str, checkpoint_dir: str,
                       fmt: str = "parquet") -> str:
     """Drain everything available in micro-batches into an append-only file
