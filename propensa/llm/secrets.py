@@ -28,12 +28,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensa.llm.arrow import aside, slices, text_of
 from propensa.llm.guess_cost import LONGEST_WORD, guess_bits, word_bits
+from propensa.llm.words import words_of
 from propensa.session import written
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -48,7 +50,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")     # 16 and more; shorter matches hol
 HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_ASSIGNED = 8
 #: A text without any of these has neither base assignment nor context.
-HINT = re.compile(r"(?ai:pass|pwd|secret|token|key|credential|auth|bearer|login)|://")
+HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "login", "://")
+#: Hexadecimal digits as ones, other bytes as zeros; and as many as make a span.
+IS_HEX = bytes(c in b"0123456789abcdef" for c in range(256))
+HEX_RUN = b"\1" * 32
 CONTEXT = re.compile(
     r"""(?ai:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|login|(?:api|access|private|secret|client|auth)"""
     r"""[ _-]?(?:key|secret|token)|key))["']?[ \t]{0,8}(?P<by>[:=]=?>?|(?ai:is|was)(?=[ \t:]):?)[ \t]{0,8}"""
@@ -57,20 +62,26 @@ CONTEXT = re.compile(
 TRAILING = ".,;:!?)]}>"
 
 
-def base_spans(text: str) -> list[tuple[int, int, str]]:
+def hinted(text: str) -> bool:
+    low = text.lower()
+    return any(h in low for h in HINTS)
+
+
+def base_spans(text: str, hint: bool | None = None) -> list[tuple[int, int, str]]:
     """(start, number of the kind, end) of the base patterns, in order."""
     found = []
-    if HINT.search(text):
+    if hinted(text) if hint is None else hint:
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGNED]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
-    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    if HEX_RUN in text.encode().translate(IS_HEX):
+        found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     return sorted(found)
 
 
-def values(text: str) -> Iterator[tuple[int, int]]:
+def values(text: str, hint: bool | None = None) -> Iterator[tuple[int, int]]:
     """Places of the values of credential contexts."""
-    if not HINT.search(text):
+    if not (hinted(text) if hint is None else hint):
         return
     at = 0
     while m := CONTEXT.search(text, at):
@@ -84,34 +95,44 @@ def values(text: str) -> Iterator[tuple[int, int]]:
         if value and not (verb and value.isalpha() and value[1:].islower()):
             yield start, end
         # a short value may be the name of the next one: token: password = ...
-        at = start if len(value) <= LONGEST_WORD and HINT.search(value) else m.end()
+        at = start if len(value) <= LONGEST_WORD and hinted(value) else m.end()
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """word, n: all words of 3 to 24 letters outside credential values.
-    ``docs`` has text (not null)."""
-    letters = re.compile(r"[^\W\d_]{3,}")
-
+    """word, n: all words (runs of letters, digits and characters beyond
+    ASCII) that are 3 to 24 letters, outside credential values.  ``docs`` has
+    text (not null)."""
     def rows(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
                                           ["word", "n"])
 
+    def outside(text: str) -> str:
+        if not hinted(text):
+            return text
+        parts, low = [], 0
+        for start, end in values(text, True):
+            parts.append(text[low:start])
+            low = max(low, end)
+        return " ".join([*parts, text[low:]])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             for _, texts in slices(batch):
-                for text in texts:
-                    low = 0
-                    for start, end in [*values(text), (len(text), len(text))]:
-                        counts.update(letters.findall(text[low:start].lower()))
-                        low = max(low, end)
-                    if len(counts) > HELD:
-                        yield rows(counts)
-                        counts = Counter()
+                data = "\n".join(map(outside, texts)).encode()
+                start, end, code = words_of(np.frombuffer(data, np.uint8))
+                # each different word is looked at once
+                _, first, n = np.unique(code, return_index=True, return_counts=True)
+                for a, b, k in zip(start[first].tolist(), end[first].tolist(), n.tolist()):
+                    if 3 <= b - a <= 4 * LONGEST_WORD and (word := data[a:b].decode().lower()).isalpha():
+                        counts[word] += k
+                if len(counts) > HELD:
+                    yield rows(counts)
+                    counts = Counter()
         yield rows(counts)
 
     return docs.select("text").mapInArrow(count, "word string, n bigint").where(
-        F.length("word") <= LONGEST_WORD).groupBy("word").agg(F.sum("n").alias("n"))
+        F.length("word").between(3, LONGEST_WORD)).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
@@ -132,8 +153,9 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
 
 def find(text: str, words: Mapping[str, float], least: float = BITS) -> list[tuple[int, int, int, float | None]]:
     """(start, number of the kind, end, bits or null) of all spans."""
-    found = [(*span, None) for span in base_spans(text)]
-    for start, end in set(values(text)):
+    hint = hinted(text)
+    found = [(*span, None) for span in base_spans(text, hint)]
+    for start, end in set(values(text, hint)):
         bits = guess_bits(text[start:end], words)
         if bits >= least:
             found.append((start, 3, end, bits))

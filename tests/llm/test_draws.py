@@ -185,7 +185,8 @@ def plain_dictionary(rows):
             parts.append(text[low:a])
             low = max(low, b)
         for part in parts:
-            counts.update(w for w in re.findall(r"[^\W\d_]{3,}", part.lower()) if len(w) <= guess_cost.LONGEST_WORD)
+            words = [w.lower() for w in ascii_words(part)]
+            counts.update(w for w in words if w.isalpha() and 3 <= len(w) <= guess_cost.LONGEST_WORD)
     return sorted(counts, key=lambda w: (-math.floor(16 * math.log2(counts[w])), w))
 
 
