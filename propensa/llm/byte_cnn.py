@@ -7,8 +7,8 @@ logit of a document's chunks, on a scale fitted last, gives one probability.
 
 The network is fitted on a bounded sample of the labelled rows whose
 ``crc32(doc_id as text) mod 5`` is not 0: the ``TRAIN_ROWS`` with the lowest
-hash, of each up to ``TRAIN_CHUNKS`` chunks spread over the text.  Scoring uses
-all chunks of all texts.  Only bytes of the text are inputs.
+hash, in this order up to ``TRAIN_BYTES`` of text.  Fitting and scoring use all
+chunks of their texts.  Only bytes of the text are inputs.
 
 Cases: a null or empty text is one chunk of padding and has a score; labels
 that are null or without a document are not used; several labels of a row are
@@ -26,8 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensa.llm.arrow import aside, field_type, slices, text_of
+from propensa.llm.tokenizer import release_tokenizer
 
-TRAIN_ROWS, TRAIN_CHUNKS = 8192, 6
+#: The bounds of the sample; epochs over its chunks.
+TRAIN_ROWS, TRAIN_BYTES, EPOCHS = 8192, 16 << 20, 3
 CHUNK, OVERLAP = 256, 16
 VECTOR, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 12, 2, 48, 24
 #: Chunks convolved at once.
@@ -160,38 +162,32 @@ class ByteCNN:
         return self.probability(total / np.maximum(1, np.bincount(owner, minlength=len(texts))))
 
 
-def training_chunks(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, ...]:
+def training_chunks(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
+                    most_bytes: int = TRAIN_BYTES) -> tuple[np.ndarray, ...]:
     """Chunks, their row and the label of each row, of a bounded sample."""
     known = labels.select(labels["doc_id"].alias("doc_id"), labels["quality"].cast("int").alias("quality")).where(
         F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    sample = known.withColumn("order", order).orderBy("order", "doc_id", "quality").limit(rows)
-    table = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text")).join(
-        F.broadcast(sample), "doc_id").select("order", "quality", F.col("text").cast("binary").alias("data"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for data in batch.column("data"):
-                data = data.as_py()
-                starts = chunk_starts(len(data))
-                spread = np.unique(np.linspace(0, len(starts) - 1, min(len(starts), TRAIN_CHUNKS)).astype(int))
-                parts.append([data[starts[i]:starts[i] + CHUNK] for i in spread])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("order"), batch.column("quality"), pa.array(parts, pa.list_(pa.binary()))],
-                ["order", "quality", "parts"])
-
-    # at most ``rows`` rows (and repeats of their ids) of TRAIN_CHUNKS chunks
-    got = table.mapInArrow(cut, "order bigint, quality int, parts array<binary>").orderBy(
-        "order", "quality", F.xxhash64("parts")).limit(rows).collect()
-    chunks = [chunk_array(part, [0]) for r in got for part in r["parts"]]
-    owner = np.repeat(np.arange(len(got)), [len(r["parts"]) for r in got])
+    sample = known.withColumn("order", F.xxhash64(F.col("doc_id").cast("string"))).orderBy(
+        "order", "doc_id", "quality").limit(rows)
+    text = text_of(docs)
+    table = docs.select(docs["doc_id"].alias("doc_id"), text.alias("text"), F.octet_length(text).alias("size"),
+                        F.xxhash64(text).alias("h")).join(F.broadcast(sample), "doc_id")
+    keys = ["order", "quality", "h"]
+    # at most ``rows`` rows of numbers, then as many texts as fit; repeated
+    # rows of an id are one
+    sizes = table.select(*keys, "size").distinct().orderBy(*keys).limit(rows).collect()
+    room = np.searchsorted(np.cumsum([r["size"] for r in sizes]), most_bytes, side="right")
+    chosen = docs.sparkSession.createDataFrame([tuple(r)[:3] for r in sizes[:int(room)]], "order bigint, quality int, h bigint")
+    got = table.join(F.broadcast(chosen), keys).groupBy(*keys).agg(F.first("text").alias("text")).orderBy(*keys).collect()
+    data = [r["text"].encode() for r in got]
+    chunks = [chunk_array(text, chunk_starts(len(text))) for text in data]
+    owner = np.repeat(np.arange(len(got)), [len(c) for c in chunks])
     return (np.concatenate(chunks) if chunks else np.zeros((0, CHUNK), np.int16), owner,
             np.array([r["quality"] for r in got], np.float32))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 4) -> ByteCNN:
-    """Fit on the driver: the sample is bounded by ``rows``."""
+def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = EPOCHS) -> ByteCNN:
+    """Fit on the driver: the sample is bounded by ``rows`` and bytes."""
     chunks, owner, quality = training_chunks(docs, labels, rows)
     model = ByteCNN()
     ones = quality.sum()
@@ -214,6 +210,7 @@ def score(docs: DataFrame, model: ByteCNN, column: str = "score") -> DataFrame:
     table = docs.select(own)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tokenizer()
         for batch in batches:
             for rows, texts in slices(batch):
                 values = sent.value.scores([t.encode() for t in texts])

@@ -38,7 +38,7 @@ def test_many_names_take_digits(monkeypatch):
 
 
 def plain(rows, length):
-    """n_bytes, n_removed, n_spans and sha256 of what is left, of each row."""
+    """n_bytes, n_removed, n_spans, sha256 of what is left, and that, of each row."""
     texts = [(t or "").encode() for _, t in rows]
     places = {}
     for k, t in enumerate(texts):
@@ -53,7 +53,7 @@ def plain(rows, length):
     for (i, _), t, g in zip(rows, texts, gone):
         starts = int((np.diff(np.concatenate([[0], g.view(np.int8)])) == 1).sum())
         left = bytes(np.frombuffer(t, np.uint8)[~g])
-        out.append((i, len(t), int(g.sum()), starts, hashlib.sha256(left).hexdigest()))
+        out.append((i, len(t), int(g.sum()), starts, hashlib.sha256(left).hexdigest(), left.decode(errors="ignore")))
     return Counter(out)
 
 
