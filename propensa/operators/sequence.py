@@ -18,6 +18,10 @@ times.  Slices stay contiguous in time, so the carries work unchanged; where
 no cell is hot there is nothing to join.  Rows that share key and time, or
 have no time, are not cut.
 
+Where no key has more than ``max_bucket_rows`` rows, as-of lookups and sessions
+are plain windows per key: one shuffle of the rows and one scan besides the
+count.  The results are the same.
+
 The wide rows are shuffled once on ``(key, bucket)`` and the carry join
 reuses that partitioning; summary branches re-read only a narrow projection
 and aggregate it map-side.  Keys are handled through ``_k = struct(key)``,
@@ -85,6 +89,15 @@ def _hot_cells(cells: DataFrame, max_rows: int | None) -> DataFrame | None:
     return bounded_broadcast(materialize(cut), MAX_HOT, 64 << 20)
 
 
+def _all_small(rows: DataFrame, max_rows: int | None) -> bool:
+    """Whether every key has at most ``max_rows`` rows (a partial aggregate
+    of the keys alone).  A plain window per key is then no larger than a
+    bucket may be, and needs neither buckets nor carries."""
+    if max_rows is None:
+        return False
+    return rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(max_rows)).limit(1).isEmpty()
+
+
 def _cells(df: DataFrame, width_us: int, *times: str) -> DataFrame:
     """One ``(_k, _cell, _t)`` row per time column per row of ``df``."""
     pts = [F.struct(_cell(F.col(t), width_us).alias("_cell"), F.col(t).alias("_t"))
@@ -225,6 +238,10 @@ def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
                      .alias(c) for c in left.columns],
                    F.lit(1).alias("_side"), payload.alias("_p"), tie.alias("_tie"))
     u = lside.unionByName(rside)
+    found = [*[F.col(c) for c in left.columns], *[F.col(f"_m.{f}").alias(prefix + f) for f in ["ts"] + right_cols]]
+    if _all_small(u, max_bucket_rows):
+        w = (Window.partitionBy("_k").orderBy("_us", "_side", "_tie").rowsBetween(Window.unboundedPreceding, -1))
+        return u.withColumn("_m", F.last("_p", ignorenulls=True).over(w)).filter(F.col("_side") == 0).select(found)
     hot = _hot_cells(_cells(u, width, "_us"), max_bucket_rows)
     u = _with_bucket(u, "_us", width, hot)
 
@@ -244,8 +261,7 @@ def asof_last(left: DataFrame, right: DataFrame, key: str = "user_id",
 
     res = (_with_carry(local.filter(F.col("_side") == 0), carry)
            .withColumn("_m", F.coalesce("_local", "_carry")))
-    return res.select(*[F.col(c) for c in left.columns],
-                      *[F.col(f"_m.{f}").alias(prefix + f) for f in ["ts"] + right_cols])
+    return res.select(found)
 
 
 def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
@@ -267,6 +283,15 @@ def sessionize(df: DataFrame, key: str = "user_id", ts: str = "ts",
     gap = gap_minutes * US_PER_MINUTE
     width = bucket_hours * US_PER_HOUR
     base = _keyed(df, key, ts, *keep, key, ts)
+    if _all_small(base, max_bucket_rows):
+        w = Window.partitionBy("_k").orderBy("_us", order)
+        before = F.lag("_us").over(w)
+        # the first row with a time starts a session, and so does a key's first row
+        starts = F.when((F.row_number().over(w) == 1) | F.col("_us").isNotNull() & (
+            before.isNull() | (F.col("_us") - before > gap)), 1).otherwise(0)
+        return base.withColumn("_start", starts).select(
+            *keep, key, ts, F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint").alias("session_idx"),
+            F.col("_start").cast("int").alias("is_start"))
     hot = _hot_cells(_cells(base, width, "_us"), max_bucket_rows)
     base = _with_bucket(base, "_us", width, hot)
     w = Window.partitionBy("_k", "_b").orderBy("_us", order)

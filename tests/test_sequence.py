@@ -41,7 +41,7 @@ def test_rolling_matches_brute_force(make_events, bucket_hours, max_rows):
 
 
 @pytest.mark.parametrize("bucket_hours,max_rows", [(1, None), (24, None), (24 * 30, None),
-                                                   (24, 20)])
+                                                   (24, 20), (24, 10 ** 6)])
 def test_asof_matches_brute_force(make_events, bucket_hours, max_rows):
     rows = _random_rows(seed=5)
     ev = make_events(rows, 4)
@@ -86,7 +86,7 @@ def test_session_gap_edge(make_events, second, expected):
 
 
 @pytest.mark.parametrize("bucket_hours,max_rows", [(1, None), (24, None), (24 * 40, None),
-                                                   (24, 30), (24 * 40, 50)])
+                                                   (24, 30), (24 * 40, 50), (24, 10 ** 6)])
 def test_sessionize_matches_brute_force(make_events, bucket_hours, max_rows):
     rows = _random_rows(n=2000, days=5, seed=11)
     got = {r.event_id: (r.session_idx, r.is_start) for r in
@@ -106,7 +106,8 @@ def test_session_counts_sum_to_rows(make_events):
     assert sum(r.n_events for r in s) == len(rows)
 
 
-def test_null_keys_and_times_keep_their_rows(make_events):
+@pytest.mark.parametrize("most", [None, 1, 10 ** 6])
+def test_null_keys_and_times_keep_their_rows(make_events, most):
     rows = [(1, "2024-01-01 10:00:00", 1, "view", 1.0),
             (2, "2024-01-01 10:10:00", None, "view", 2.0),
             (3, "2024-01-01 10:20:00", None, "purchase", 3.0),
@@ -116,10 +117,11 @@ def test_null_keys_and_times_keep_their_rows(make_events):
     assert seq.rolling(ev, days=2).count() == 5
     got = {r.event_id: r.n_2d for r in seq.rolling(ev, days=2).collect()}
     assert got[3] == 2 and got[5] == 2          # null keys form one group
-    assert seq.sessionize(ev).count() == 5
+    numbers = {r.event_id: (r.session_idx, r.is_start) for r in seq.sessionize(ev, max_bucket_rows=most).collect()}
+    assert numbers == {1: (2, 1), 2: (1, 1), 3: (1, 0), 4: (1, 1), 5: (3, 1)}
     left = ev.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     right = ev.filter("event_type = 'view'").select("user_id", "ts", "value")
-    out = {r.event_id: r.prev_value for r in seq.asof_last(left, right).collect()}
+    out = {r.event_id: r.prev_value for r in seq.asof_last(left, right, max_bucket_rows=most).collect()}
     assert out == {3: None, 4: None, 5: 1.0}
 
 
