@@ -8,8 +8,10 @@ shorter than any phrase cannot hold one.  The rest is indexed.  Phrases are
 found by backward search, all of a length at once; their places come from
 sampled suffix positions and are merged to spans of words and of bytes.
 
-The benchmark is a stated query set.  It is taken in blocks of ``BLOCK_BYTES``
-of item text, one pass over the shards for each, so no broadcast is larger.
+The benchmark is a stated query set.  It is taken in blocks of at most
+``BLOCK_BYTES`` of item text (one item at least), one pass over the shards for
+each.  A block's windows, word numbers and vocabulary take at most 12 bytes a
+byte of text, which bounds the broadcast; it is made on the driver from arrays.
 
 Cases: a null or empty text has no words and no hits; an item without words
 has no phrase; items with equal text or id are found once per id; an item
@@ -33,36 +35,70 @@ from propensa.llm.words import texts_words
 from propensa.session import written
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: Windows searched together.
+TOGETHER = 1 << 16
 #: Bytes of text in a shard.
 SHARD = 8 << 20
 
 
 class Phrases:
-    """The windows of a block of items, as numbers of its vocabulary."""
+    """The windows of a block of items, as numbers of its vocabulary.
+
+    Windows are places in the items' words (``words``, 32 bits each), not
+    copies of them; ``by_length`` has, for each length, the places of the
+    different windows and, as one list with limits, whose they are.
+    """
 
     def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
         self.ids = sorted({i for i, _ in items if i is not None})
         number = {i: k for k, i in enumerate(self.ids)}
+        owner = np.array([-1 if i is None else number[i] for i, _ in items], np.int32)
         document, _, _, code = texts_words([t.encode() for _, t in items])
         self.vocabulary = np.unique(code)
-        symbols = np.searchsorted(self.vocabulary, code) + 1
+        self.words = (np.searchsorted(self.vocabulary, code) + 1).astype(np.int32)
         self.size = len(self.vocabulary) + 1
-        owners: dict[tuple[int, ...], set[int]] = {}
-        pairs = [np.zeros(0, np.int64)]
-        for k, (item, _) in enumerate(items):
-            mine = symbols[document == k]
-            pairs.append(mine[:-1] * self.size + mine[1:])
-            for at in range(max(1, len(mine) - window + 1) if len(mine) else 0):
-                who = owners.setdefault(tuple(mine[at:at + window].tolist()), set())
-                if item is not None:
-                    who.add(number[item])
-        self.pairs = np.unique(np.concatenate(pairs))
-        self.by_length: list[tuple[np.ndarray, list[np.ndarray]]] = []
-        for length in sorted({len(p) for p in owners}):
-            rows = sorted(p for p in owners if len(p) == length)
-            self.by_length.append((np.array(rows, np.int64), [np.array(sorted(owners[p]), np.int64) for p in rows]))
-        self.shortest = min((rows.shape[1] for rows, _ in self.by_length), default=0)
+        joined = document[1:] == document[:-1]
+        self.pairs = np.unique((self.words[:-1].astype(np.int64) * self.size + self.words[1:])[joined])
+        count = np.bincount(document, minlength=len(items))
+        begin = np.cumsum(count) - count
+        # a window per place that has ``window`` words after it, or one for all of a short item
+        short = (count > 0) & (count < window)
+        length = np.where(short, count, window)
+        places = np.where(count > 0, np.maximum(1, count - window + 1), 0)
+        item = np.repeat(np.arange(len(items)), places)
+        start = np.repeat(begin, places) + np.arange(places.sum()) - np.repeat(np.cumsum(places) - places, places)
+        self.by_length: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for n in np.unique(length[item]).tolist():
+            mine = length[item] == n
+            self.by_length.append((n, *self._different(start[mine], owner[item[mine]], n)))
+        self.shortest = min((n for n, *_ in self.by_length), default=0)
+
+    def _different(self, start: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of different windows of ``n`` words, limits of each one's
+        owners, and owners."""
+        order = np.arange(len(start))
+        for k in range(n - 1, -1, -1):       # by one word after the other
+            order = order[np.argsort(self.words[start[order] + k], kind="stable")]
+        start, owner = start[order], owner[order]
+        new = np.zeros(len(start), bool)
+        new[:1] = True
+        for k in range(n):
+            new[1:] |= self.words[start[1:] + k] != self.words[start[:-1] + k]
+        phrase = np.cumsum(new) - 1
+        whose = np.unique((phrase * (len(self.ids) + 1) + owner)[owner >= 0])
+        which = whose // (len(self.ids) + 1)
+        limits = np.searchsorted(which, np.arange(int(new.sum()) + 1))
+        return start[new].astype(np.int32), limits.astype(np.int32), (whose % (len(self.ids) + 1)).astype(np.int32)
+
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Runs of at most ``TOGETHER`` windows of a length as rows of word
+        numbers, with their limits and the owners."""
+        for n, start, limits, owners in self.by_length:
+            for at in range(0, len(start), TOGETHER):
+                part = start[at:at + TOGETHER]
+                yield (self.words[part[:, None] + np.arange(n)].astype(np.int64),
+                       limits[at:at + len(part) + 1].astype(np.int64), owners)
 
     def find(self, document: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of words in order: whether each is in an occurrence; and document
@@ -91,7 +127,7 @@ class Phrases:
         back[shift] = word
         index = FMIndex(text, self.size)
         where, who = [], []
-        for rows, items in self.by_length:
+        for rows, limits, owners in self.windows():
             low, high = index.search(rows)
             count = high - low
             phrase = np.repeat(np.arange(len(rows)), count)
@@ -99,13 +135,10 @@ class Phrases:
             place = back[index.locate(row)]
             np.add.at(hit, place, 1)
             np.add.at(hit, place + rows.shape[1], -1)
-            owned = np.array([len(i) for i in items], np.int64)
-            flat = np.concatenate([np.zeros(0, np.int64), *items])
-            begin = np.cumsum(owned) - owned
-            times = owned[phrase]
+            times = np.diff(limits)[phrase]
             where.append(np.repeat(document[place], times))
-            who.append(flat[np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                            + np.repeat(begin[phrase], times)])
+            who.append(owners[np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                              + np.repeat(limits[phrase], times)])
         both = np.unique(np.stack([np.concatenate(where), np.concatenate(who)]), axis=1)
         return np.cumsum(hit[:-1]) > 0, both[0], both[1]
 

@@ -2,8 +2,9 @@
 
 Each value keeps its low ``l`` bits verbatim and its high part in unary: the
 i-th one of the upper bit vector stands at ``(value >> l) + i``.  That takes
-about ``2 + log2(last / n)`` bits a value.  ``select`` finds the i-th one from
-a sampled directory and byte popcounts, so no value table is unpacked.
+about ``2 + log2(last / n)`` bits a value.  ``select`` starts at the nearest
+place of a sampled directory (32 bits for every ``SAMPLE`` values) and counts
+ones byte by byte from there, so no table of values or ranks is made.
 """
 
 from __future__ import annotations
@@ -15,13 +16,13 @@ import numpy as np
 #: One directory entry for this many ones.
 SAMPLE = 64
 HEAD = struct.Struct("<QBQQQ")   # values, low bits, bytes of low, high, directory
-ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
+ONES = np.array([b.bit_count() for b in range(256)], np.int64)
+LOWEST = np.array([(b & -b).bit_length() - 1 for b in range(256)], np.int64)
 
 
 class EliasFano:
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, directory: np.ndarray):
         self.n, self.low_bits, self.low, self.high, self.directory = n, low_bits, low, high, directory
-        self.before = None
 
     @classmethod
     def of(cls, values: np.ndarray) -> "EliasFano":
@@ -34,7 +35,7 @@ class EliasFano:
         ones = (v >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         bits = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
         bits[ones] = 1
-        return cls(n, low_bits, low, np.packbits(bits, bitorder="little"), ones[::SAMPLE].astype("<u8"))
+        return cls(n, low_bits, low, np.packbits(bits, bitorder="little"), ones[::SAMPLE].astype("<u4"))
 
     def to_bytes(self) -> bytes:
         parts = self.low.tobytes(), self.high.tobytes(), self.directory.tobytes()
@@ -47,21 +48,26 @@ class EliasFano:
         at = HEAD.size
         low = np.frombuffer(data, np.uint8, a, at)
         high = np.frombuffer(data, np.uint8, b, at + a)
-        directory = np.frombuffer(data, "<u8", c // 8, at + a + b)
+        directory = np.frombuffer(data, "<u4", c // 4, at + a + b)
         return cls(n, low_bits, low, high, directory), at + a + b + c
 
     def select(self, index) -> np.ndarray:
         """The values at the given positions."""
         i = np.atleast_1d(np.asarray(index, np.int64))
-        if self.before is None:    # ones before each byte of the upper bits
-            self.before = np.concatenate([[0], np.cumsum(ONES[self.high], dtype=np.int64)])
-        # from the sampled one, the byte that holds the wanted one
-        first = (self.directory[i // SAMPLE] >> np.uint64(3)).astype(np.int64)
-        byte = np.maximum(first, np.searchsorted(self.before, i, side="right") - 1)
-        left = i - self.before[byte]
-        bits = np.unpackbits(self.high[byte][:, None], axis=1, bitorder="little")
-        bit = np.argmax(np.cumsum(bits, axis=1) == (left + 1)[:, None], axis=1)
-        upper = byte * 8 + bit - i
+        at = self.directory[i // SAMPLE].astype(np.int64)
+        byte, still = at >> 3, i % SAMPLE                # ones to pass from the sampled one on
+        bits = self.high[byte] & (np.uint8(0xFF) << (at & 7).astype(np.uint8))
+        todo = np.arange(len(i))
+        while len(todo := todo[still[todo] >= ONES[bits[todo]]]):
+            still[todo] -= ONES[bits[todo]]
+            byte[todo] += 1
+            bits[todo] = self.high[byte[todo]]
+        # the wanted one is in ``bits``: drop the ones before it
+        for _ in range(7):
+            more = still > 0
+            bits[more] &= bits[more] - np.uint8(1)
+            still[more] -= 1
+        upper = byte * 8 + LOWEST[bits] - i
         value = upper.astype(np.uint64) << np.uint64(self.low_bits)
         for b in range(self.low_bits):
             at = i * self.low_bits + b

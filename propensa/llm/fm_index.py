@@ -77,11 +77,15 @@ class FMIndex:
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row ranges of the suffixes that start with each phrase (a row of
-        equally long phrases), by backward search."""
+        equally long phrases), by backward search.  Phrases whose end does not
+        occur are not carried on."""
         low = np.zeros(len(phrases), np.int64)
         high = np.full(len(phrases), len(self.last))
-        for symbol in phrases.T[::-1] + 1:
-            low, high = self.step(symbol, low), self.step(symbol, high)
+        alive = np.arange(len(phrases))
+        for k in range(phrases.shape[1] - 1, -1, -1):
+            symbol = phrases[alive, k] + 1
+            low[alive], high[alive] = self.step(symbol, low[alive]), self.step(symbol, high[alive])
+            alive = alive[high[alive] > low[alive]]
         return low, np.maximum(low, high)
 
     def locate(self, rows: np.ndarray) -> np.ndarray:

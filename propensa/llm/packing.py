@@ -177,7 +177,7 @@ def pack(docs: DataFrame, path: str, end_id: int, size: int) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32,
     sequence_id, offset."""
     spark = docs.sparkSession
-    cut = written(pieces(docs, path, end_id, size), "pieces")
+    cut = written(pieces(docs, path, end_id, size).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = cut.groupBy("length").agg(F.count("*").alias("n")).collect()    # at most ``size`` rows
     histogram = np.zeros(size + 1, np.int64)
     for row in counts:
@@ -187,11 +187,11 @@ def pack(docs: DataFrame, path: str, end_id: int, size: int) -> DataFrame:
     order = ["length", "slice"]
     spread = spark.createDataFrame([(r["length"], -(-r["n"] // SLICE)) for r in counts], "length bigint, slices bigint")
     sliced = cut.join(F.broadcast(spread), "length").withColumn(
-        "slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("slices"))).drop("slices")
+        "slice", F.pmod(F.xxhash64("row"), F.col("slices"))).drop("slices")
     sizes = sliced.groupBy(*order).agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(
         Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    within = F.row_number().over(Window.partitionBy(*order).orderBy("doc_id", "piece", "ids_crc32")) - 1
+    within = F.row_number().over(Window.partitionBy(*order).orderBy("row")) - 1
     numbered = sliced.withColumn("within", within).join(before, order).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("within")).alias("number"))
 

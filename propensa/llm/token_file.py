@@ -12,7 +12,7 @@ Spark can reach will do::
     before          ids of this part's earlier blocks
     n_ids           ids in this block
     doc_ids         ids of its documents, ascending, nulls first
-    data            b"EFT1", id width in bytes, Elias-Fano boundaries, ids
+    data            b"EFT2", id width in bytes, Elias-Fano boundaries, ids
 
 Cases: a null text is an empty text (one end id); null doc_ids come first;
 rows with equal doc_id are ordered by a hash of the text and all kept; an empty
@@ -35,7 +35,7 @@ from propensa.llm.elias_fano import EliasFano
 from propensa.llm.tokenizer import word_tokenizer
 from propensa.session import written
 
-MAGIC = b"EFT1"
+MAGIC = b"EFT2"
 #: A block is closed once it has so many ids or documents.
 BLOCK_IDS, BLOCK_DOCS = 1 << 20, 1 << 14
 
@@ -61,8 +61,10 @@ def write_tokens(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """Write the blocks of ``docs`` (doc_id, text) and return their table."""
     table = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
     table = table.withColumn("h", F.xxhash64("text"))
-    order = F.col("doc_id").asc_nulls_first(), F.col("h")
-    table = table.repartitionByRange(*order).sortWithinPartitions(*order).drop("h")
+    # the row's number last, so that any number of equal rows can be cut
+    order = F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("row")
+    table = table.withColumn("row", F.monotonically_increasing_id())
+    table = table.repartitionByRange(*order).sortWithinPartitions(*order).drop("h", "row")
     kind = table.schema["doc_id"].dataType
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
