@@ -1,5 +1,6 @@
 """Token files, counts and packing against the tokenizers library."""
 
+import functools
 import zlib
 from collections import Counter
 
@@ -18,8 +19,11 @@ from tests.llm.data import EDGES, table
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
 
+library = functools.cache(Tokenizer.from_file)
+
+
 def ids(path, text):
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+    return library(path).encode(text or "", add_special_tokens=False).ids
 
 
 @settings(max_examples=60, deadline=None)
