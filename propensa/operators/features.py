@@ -65,7 +65,7 @@ def observe(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
 # ---------------------------------------------------------------- aggregates
 
 def rollup_aggs(cond: Column | None = None, ts: str = "ts",
-                value: str = "value", exact_median: bool = True,
+                value: str = "value", exact_median: bool | None = None,
                 scale: int | None = None) -> list[Column]:
     """count, sum, mean, stddev, median of ``value`` and active days.
 
@@ -73,11 +73,12 @@ def rollup_aggs(cond: Column | None = None, ts: str = "ts",
     merged map-side: with a ``scale`` its size is bounded by the distinct
     units of a key, not by its rows.  ``exact_median=False`` uses a fixed-size
     sketch instead (``percentile_approx``) for value domains with no such
-    bound.
+    bound, and is the default where no scale is declared.
     """
     c = _when(cond, units(value, scale))
     day = _when(cond, F.to_date(F.col(ts)))
-    median = (F.percentile(c, F.lit(0.5)) if exact_median
+    exact = scale is not None if exact_median is None else exact_median
+    median = (F.percentile(c, F.lit(0.5)) if exact
               else F.percentile_approx(c, 0.5, 10_000).cast("double"))
     return [
         _count(cond).cast("bigint").alias("n_events"),
@@ -168,7 +169,7 @@ def label(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
 
 
 def rollup_features(df: DataFrame, key: str = "user_id", ts: str = "ts",
-                    value: str = "value", exact_median: bool = True,
+                    value: str = "value", exact_median: bool | None = None,
                     scale: int | None = None) -> DataFrame:
     return df.groupBy(key).agg(*rollup_aggs(None, ts, value, exact_median, scale))
 
@@ -205,7 +206,7 @@ def training_table(df: DataFrame, cutoff: _dt.datetime = defaults.CUTOFF,
                    horizons: Sequence[int] = defaults.HORIZONS,
                    target: str = defaults.TARGET_TYPE,
                    lookback_days: int | None = None,
-                   date_col: str | None = None, exact_median: bool = True,
+                   date_col: str | None = None, exact_median: bool | None = None,
                    scale: int | None = None) -> DataFrame:
     """One row per key seen before the cutoff: all features plus the label.
 
