@@ -34,8 +34,9 @@ from propensa.llm.arrow import text_of
 from propensa.llm.license_templates import OTHER, TEMPLATES
 
 BUCKETS = 1 << 13
-#: Documents whose lines train the unknown class, and lines of them at most.
-BACKGROUND, BACKGROUND_LINES = 256, 4096
+#: Different texts whose lines train the unknown class, different lines of them
+#: at most, and the longest line (bytes) that is taken for this.
+BACKGROUND, BACKGROUND_LINES, LINE_BYTES = 256, 4096, 1 << 14
 #: Least probability of a family, and least share of a statement's pairs.
 PROBABILITY, SIMILARITY = 0.5, 0.6
 #: Least share of a statement's pairs that vote for one first word.
@@ -96,27 +97,31 @@ class LicenseModel:
                     x[i, k] += 1
         return x
 
-    def fit(self, rows: list[list[int]], target: np.ndarray, rounds: int = 400, rate: float = 0.5,
-            penalty: float = 1e-4) -> None:
-        """Gradient steps on the mean loss; a fifth of the rows sets the
-        temperature."""
+    def fit(self, rows: list[list[int]], target: np.ndarray, rounds: int = 400) -> None:
+        """The temperature comes from a fifth of the rows, which a first model
+        has not seen; the model itself from all of them."""
         x = self.matrix(rows)
-        norm = np.maximum(1, np.sqrt((x ** 2).sum(axis=1)))
         aside = np.arange(len(rows)) % 5 == 4
-        train, y = x[~aside], np.eye(self.weights.shape[1])[target[~aside]]
-        # classes weigh alike
-        share = y.sum(axis=0)
-        weight = (y / np.maximum(1, share)).sum(axis=1)[:, None]
-        weight /= weight.sum()
-        scale = 1 / np.maximum(1, norm[~aside])[:, None]
-        for _ in range(rounds):
-            error = weight * (softmax(train @ self.weights) - y)
-            self.weights -= rate * (len(y) ** 0.5) * ((train * scale).T @ error + penalty * self.weights)
         if aside.any():
+            self._descend(x[~aside], target[~aside], rounds)
             logit, truth = x[aside] @ self.weights, target[aside]
             steps = np.geomspace(0.25, 4, 33)
             loss = [-np.log(softmax(logit / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in steps]
             self.temperature = float(steps[int(np.argmin(loss))])
+        self._descend(x, target, rounds)
+
+    def _descend(self, x: np.ndarray, target: np.ndarray, rounds: int, rate: float = 0.5, penalty: float = 1e-4) -> None:
+        """Gradient steps on the mean loss, from zero; classes weigh alike."""
+        self.weights[:] = 0
+        norm = np.maximum(1, np.sqrt((x ** 2).sum(axis=1)))
+        y = np.eye(self.weights.shape[1])[target]
+        share = y.sum(axis=0)
+        weight = (y / np.maximum(1, share)).sum(axis=1)[:, None]
+        weight /= weight.sum()
+        scaled = x / norm[:, None]
+        for _ in range(rounds):
+            error = weight * (softmax(x @ self.weights) - y)
+            self.weights -= rate * (len(y) ** 0.5) * (scaled.T @ error + penalty * self.weights)
 
 
 def _stated(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
@@ -131,9 +136,11 @@ def fit_licenses(docs: DataFrame, background: int = BACKGROUND) -> LicenseModel:
     families = sorted(TEMPLATES)
     stated = [(f, v) for f in families for t in TEMPLATES[f] for v in variants(t)] + [(UNKNOWN, t) for t in OTHER]
     text = text_of(docs)
-    sample = docs.select(text.alias("text")).orderBy(F.xxhash64("text"), "text").limit(background)
-    lines = sample.select(F.explode(F.split("text", "\n")).alias("line")).orderBy(F.xxhash64("line"), "line").limit(
-        BACKGROUND_LINES)
+    # hashes first: copies are one, and no text is sorted
+    lowest = docs.select(F.xxhash64(text).alias("h")).distinct().orderBy("h").limit(background)
+    sample = docs.select(text.alias("text"), F.xxhash64(text).alias("h")).join(F.broadcast(lowest), "h")
+    lines = sample.select(F.explode(F.split("text", "\n")).alias("line")).where(
+        F.octet_length("line") <= LINE_BYTES).distinct().orderBy(F.xxhash64("line"), "line").limit(BACKGROUND_LINES)
     given = _stated(spark, stated)
     hashed = given.unionByName(lines.select(F.lit("").alias("family"), "line")).withColumn("w", words(F.col("line"))).select(
         "family", grams("w").alias("grams")).collect()
