@@ -2,6 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and all its predecessor kept; all but
 the last return the columns of ``documents``.
+
+Cases: a null or empty text is scored as padding, and if that is not rejected
+one row of all such is kept and packed as its end id; of repeated rows one is
+kept; rows without doc_id are kept like others (of a class with ids, the lowest
+id); very long texts are scored, compared and cut whole; further columns,
+whatever their names, come along to the last stage; without labels all rows
+score 0.5 and stay; an empty table gives no rows, and an empty benchmark removes
+none.
 """
 
 from __future__ import annotations
