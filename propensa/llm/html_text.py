@@ -1,8 +1,8 @@
 """Main text of web pages, without what a site repeats (op 5).
 
 Pages are parsed into elements with their places in the source.  Each element
-that could belong to a site's template is hashed by its source, inline ones
-that make up a line as well.  Spark counts, per host, beside how many different
+that could belong to a site's template is hashed with all below it, from the
+innermost out, inline ones that make up a line as well.  Spark counts, per host, beside how many different
 contents each hash occurs.  Subtrees that recur beside ``PAGES`` contents of
 their host are deleted, however many pages it has, and so are those that name
 themselves as menus, footers, adverts and the like, which is all that pages of
@@ -176,13 +176,32 @@ class Page:
         return gone, inside
 
     def templates(self) -> Iterator[tuple[int, int]]:
-        """Elements that could be a site's, with the hash of their source."""
+        """Elements that could be a site's, with the hash of their subtree."""
         gone, inside = self.marks()
-        for i, (tag, _, start, end, parent) in enumerate(self.elements):
+        hashes = self.hashes()
+        for i, (tag, _, _, _, parent) in enumerate(self.elements):
             if i and tag not in SCOPE and not gone[parent] and not (inside[i] and (tag in TEXT or tag == "li")) \
                     and (tag not in INLINE or i in self.alone):
-                source = " ".join(self.source[start:end].split())
-                yield i, xxhash.xxh64_intdigest(source.encode("utf-8", "replace")) - (1 << 63)
+                yield i, hashes[i] - (1 << 63)
+
+    def hashes(self) -> list[int]:
+        """A hash of each element's subtree, from the innermost out: its tag,
+        its own text without needless white space, and its children's hashes.
+        Attributes do not count: menus differ in links and marks."""
+        own: list[list[str]] = [[] for _ in self.elements]
+        for element, raw in self.pieces:
+            if raw is not None:
+                own[element].append(raw)
+        children: list[list[int]] = [[] for _ in self.elements]
+        found = [0] * len(self.elements)
+        for i in range(len(self.elements) - 1, -1, -1):      # children come after their parent
+            tag, _, _, _, parent = self.elements[i]
+            text = " ".join("".join(own[i]).split())
+            nested = ",".join(map(str, reversed(children[i])))
+            found[i] = xxhash.xxh64_intdigest(f"{tag}\0{text}\0{nested}".encode("utf-8", "replace"))
+            if i:
+                children[parent].append(found[i])
+        return found
 
     def evidence(self) -> Iterator[tuple[int, int, int | None]]:
         """Hash of each element that could be a site's, 0, and the hash of the
