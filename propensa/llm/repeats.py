@@ -307,7 +307,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         if held:
             yield close()
 
-    from_shards = in_shards.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(shards, schema)
+    # a number of partitions, because sorting suffixes takes time by bytes, and
+    # a few MB of them more of it than Spark would expect
+    size = in_shards.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    parts = max(1, -(-size // SHARD))
+    from_shards = in_shards.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(shards, schema)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,7 +367,8 @@ def cut(data: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int, i
 
 
 def removal_report(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and text,
+    what is left; a character that lost some of its bytes is not in it."""
     table = with_removals(docs.select("doc_id", "text"), length, anchor, hot).select(
         "doc_id", F.col("text").cast("binary").alias("data"), "spans")
 
@@ -373,15 +378,16 @@ def removal_report(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             for data, spans in zip(batch.column("data"), batch.column("spans")):
                 data = data.as_py()
                 kept, gone = cut(data, spans.as_py())
-                rows.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()))
-            n, removed, spans, sha = zip(*rows) if rows else ((), (), (), ())
+                rows.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(),
+                             kept.decode(errors="ignore")))
+            n, removed, spans, sha, texts = zip(*rows) if rows else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(spans, pa.int64()), pa.array(sha, pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                 pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(texts, pa.string())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
     return table.mapInArrow(report, f"doc_id {field_type(table, 'doc_id')}, n_bytes bigint, n_removed bigint, "
-                                    "n_spans bigint, kept_sha256 string")
+                                    "n_spans bigint, kept_sha256 string, text string")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
