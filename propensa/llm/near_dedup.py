@@ -5,7 +5,10 @@ duplicates if their weighted Jaccard similarity is ``THRESHOLD`` or more, and
 a class is what such links connect.
 
 1. *Document frequencies* are counted over all documents in a table of
-   ``COUNTERS`` hashed counters, whose size does not grow.
+   ``COUNTERS`` hashed counters, whose size does not grow.  Only shares of the
+   documents count, and one in ``COMMON`` or fewer is as rare as any: what a
+   counter holds of other shingles is a share too, of a text's length by
+   ``COUNTERS``, so weights are the same at any size of the corpus.
 2. *Samples.*  Improved consistent weighted sampling (ICWS) draws ``BANDS`` x
    ``ROWS`` samples a text; two texts agree in one with the probability of their
    weighted Jaccard similarity.  A function looks at about ``SEEN`` to twice as
@@ -41,6 +44,7 @@ from pyspark.sql import functions as F
 
 from propensa.llm.arrow import aside, field_type, text_of
 from propensa.llm.components import components
+from propensa.llm.tokenizer import release_tokenizer
 from propensa.llm.words import texts_words
 from propensa.session import written
 
@@ -48,10 +52,10 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 21, 3
 SEEN = 256
 IDF_SPREAD = 0.2
-COUNTERS, COUNTER_BITS = 1 << 20, 20
+COUNTERS, COUNTER_BITS, COMMON = 1 << 20, 20, 1024
 #: Size of one verification task: shingles, and TEXT for each text; bytes of
 #: text handled at once.
-BLOCK, TEXT, SLICE = 1_000_000, 1000, 2 << 20
+BLOCK, TEXT, SLICE = 600_000, 1000, 1 << 20
 #: Shared shingles of one matrix product.
 DIMENSIONS = 4096
 
@@ -100,7 +104,7 @@ class Weights:
     """TF-IDF weights from the hashed document frequencies."""
 
     def __init__(self, counters: np.ndarray, documents: int):
-        share = np.log(np.maximum(1, documents) / np.maximum(1, counters)) / np.log(max(2, documents))
+        share = np.log(np.maximum(1, documents) / np.maximum(1, counters)) / np.log(COMMON)
         self.idf = (1 + IDF_SPREAD * np.clip(share, 0, 1)).astype(np.float32)
 
     def __call__(self, shingle: np.ndarray, tf: np.ndarray) -> np.ndarray:
@@ -246,6 +250,7 @@ def _classes(docs: DataFrame, threshold: float, block: int) -> DataFrame:
     kind = field_type(docs, "doc_id")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tokenizer()
         for rows, texts in _sliced(batches):
             found = shingles(texts)
             bands = [band_hashes(s, sent.value(s, t)).view(np.int64) for s, t in found]
