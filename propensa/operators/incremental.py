@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensa import defaults
-from propensa.functions import epoch_us, std_of, units, unscaled
+from propensa.functions import epoch_us, std_of, ts_lit, units, unscaled
 
 FINGERPRINT = "day date, n bigint, hashes string"
 
@@ -68,9 +68,8 @@ def update(events: DataFrame, base: str, before: str | None = None, **columns) -
     if changed:
         day = F.to_date(ts)
         low, high = changed[0], changed[-1] + dt.timedelta(days=1)
-        part = events.where((F.col(ts) >= F.lit(dt.datetime.combine(low, dt.time())).cast("timestamp_ntz"))
-                            & (F.col(ts) < F.lit(dt.datetime.combine(high, dt.time())).cast("timestamp_ntz"))
-                            & day.isin(changed))
+        part = events.where((F.col(ts) >= ts_lit(dt.datetime.combine(low, dt.time())))
+                            & (F.col(ts) < ts_lit(dt.datetime.combine(high, dt.time()))) & day.isin(changed))
         for name, table in zip(("days", "values"), daily_state(part, **columns)):
             table.write.partitionBy("day").parquet(f"{folder}/{name}")
     rows = [(d, r["n"], r["hashes"], folder if d in set(changed) else known[d]["folder"]) for d, r in sorted(now.items())]

@@ -19,6 +19,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propensa.functions import epoch_us, ts_lit
+
 #: Bits of each column's part number; error of the quantiles.
 BITS, QUANTILE_ERROR = 8, 0.001
 
@@ -28,7 +30,7 @@ def _number(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType.simpleString()
     c = F.col(column)
     if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        return epoch_us(column).cast("double")
     if kind == "date":
         return F.unix_date(c).cast("double")
     if kind == "string":    # the first six bytes
@@ -68,15 +70,20 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
     return path
 
 
+def _limit(df: DataFrame, column: str, value: Any) -> Column:
+    """A limit in the column's type; wall-clock times without a time zone."""
+    return ts_lit(value) if df.schema[column].dataType.simpleString() == "timestamp_ntz" else F.lit(value)
+
+
 def kept_files(spark: SparkSession, path: str, ranges: dict[str, tuple[Any, Any]]) -> list[str]:
     """Files that may hold rows in all the ranges (least, greatest; both
     included, None: open)."""
     limits = spark.read.parquet(f"{path}/limits")
     for column, (least, greatest) in ranges.items():
         if least is not None:
-            limits = limits.where(F.col(f"max_{column}") >= F.lit(least))
+            limits = limits.where(F.col(f"max_{column}") >= _limit(limits, f"max_{column}", least))
         if greatest is not None:
-            limits = limits.where(F.col(f"min_{column}") <= F.lit(greatest))
+            limits = limits.where(F.col(f"min_{column}") <= _limit(limits, f"min_{column}", greatest))
     return sorted(r["file"] for r in limits.select("file").collect())     # a name per file that is read
 
 
@@ -87,7 +94,7 @@ def read_clustered(spark: SparkSession, path: str, ranges: dict[str, tuple[Any,
     rows = spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
     for column, (least, greatest) in ranges.items():
         if least is not None:
-            rows = rows.where(F.col(column) >= F.lit(least))
+            rows = rows.where(F.col(column) >= _limit(rows, column, least))
         if greatest is not None:
-            rows = rows.where(F.col(column) <= F.lit(greatest))
+            rows = rows.where(F.col(column) <= _limit(rows, column, greatest))
     return rows

@@ -8,7 +8,8 @@ SMOKE = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE), reason="fixtures not present")
 
 NAMES = ["training_table", "p08_rolling", "p12_sessionize", "p20_report_cube",
-         "p23_hourly_counts_stream", "p24_stream_sessions"]
+         "p23_hourly_counts_stream", "p24_stream_sessions", "p25_stream_late", "funnel", "interval_join_state",
+         "scd_state_at", "clustered_read", "incremental_training_table"]
 
 
 def test_results_do_not_depend_on_session_time_zone(spark):
