@@ -49,7 +49,7 @@ HOT = 4096
 #: Neighbouring windows whose common middle is compared.
 BIN = 68
 #: Bytes hashed at once, and bytes in a shard.
-PART, SHARD = 1 << 21, 1 << 21
+PART, SHARD = 1 << 20, 1 << 21
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 PLACE_BITS = 24
