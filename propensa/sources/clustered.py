@@ -38,29 +38,35 @@ def _number(df: DataFrame, column: str) -> Column:
     return c.cast("double")
 
 
-def z_order(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
-    """Interleaved bits of the columns' quantile parts, as a bigint."""
+def z_order(df: DataFrame, columns: Sequence[str], place: str = "_place", bits: int = BITS) -> DataFrame:
+    """``df`` with interleaved bits of the columns' quantile parts, as a bigint."""
     if bits * len(columns) > 62:
         raise ValueError("too many bits for a bigint")
-    numbers = [f"_z{i}" for i in range(len(columns))]
-    table = df.select([_number(df, c).alias(n) for c, n in zip(columns, numbers)])
+    numbers, parts = [f"_z{i}" for i in range(len(columns))], [f"_part{i}" for i in range(len(columns))]
+    table = df.withColumns({n: _number(df, c) for c, n in zip(columns, numbers)})
     shares = [k / 2 ** bits for k in range(1, 2 ** bits)]
-    bounds = table.approxQuantile(numbers, shares, QUANTILE_ERROR)     # 2 ** bits numbers a column
-    place = F.lit(0).cast("bigint")
-    for i, (column, cut) in enumerate(zip(columns, bounds)):
-        number = _number(df, column)
-        part = F.size(F.filter(F.array(*[F.lit(x) for x in sorted(set(cut))]).cast("array<double>"), lambda b: b <= number))
-        part = F.when(number.isNull(), F.lit(0)).otherwise(part).cast("bigint")
+    bounds = [sorted(set(cut)) for cut in
+              table.select(numbers).approxQuantile(numbers, shares, QUANTILE_ERROR)]     # 2 ** bits numbers a column
+    cuts = [F.array(*map(F.lit, cut)).cast("array<double>") for cut in bounds]
+    # how many bounds are at most the number, by halves: one comparison a bit;
+    # beyond the last bound ``get`` is null, and a null number is above none
+    table = table.withColumns({p: F.lit(0) for p in parts})
+    for step in (1 << bit for bit in reversed(range(bits))):
+        table = table.withColumns({
+            p: F.col(p) + F.when(F.get(cut, F.col(p) + (step - 1)) <= F.col(n), step).otherwise(0)
+            for p, cut, n in zip(parts, cuts, numbers)})
+    found = F.lit(0).cast("bigint")
+    for i, part in enumerate(parts):
         for bit in range(bits):
-            one = F.shiftright(part, bit).bitwiseAND(F.lit(1))
-            place = place.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
-    return place
+            one = F.shiftright(F.col(part).cast("bigint"), bit).bitwiseAND(F.lit(1))
+            found = found.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
+    return table.withColumn(place, found).drop(*numbers, *parts)
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None) -> str:
     """Write ``df`` to ``path``/data and the files' limits to ``path``/limits.
     ``files``: how many ranges; by default Spark's shuffle partitions."""
-    placed = df.withColumn("_place", z_order(df, columns))
+    placed = z_order(df, columns)
     ranged = placed.repartitionByRange(files, "_place") if files else placed.repartitionByRange("_place")
     ranged.sortWithinPartitions("_place").drop("_place").write.parquet(f"{path}/data")
     data = df.sparkSession.read.schema(df.schema).parquet(f"{path}/data")

@@ -1,6 +1,7 @@
 """Histories, sketches, the clustered sink and incremental states."""
 
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from propensa.operators import features, history, incremental, sketches
 from propensa.session import shared_dir
 from propensa.sources import read_clustered, write_clustered
-from propensa.sources.clustered import kept_files
+from propensa.sources.clustered import QUANTILE_ERROR, kept_files, z_order
 
 D = [dt.datetime(2024, 1, d) for d in range(1, 9)]
 SCHEMA = "k long, a string, b double"
@@ -113,6 +114,20 @@ def test_clustered_reads_fewer_files_and_the_same_rows(spark):
     assert read_clustered(spark, path, {}).count() == 4000
 
 
+def test_places_take_a_comparison_a_bit(spark):
+    """The parts are those of a plain count of bounds, without going through
+    all bounds for each row."""
+    values = [None, float("nan"), float("inf"), -float("inf"), 0.0, 0.0, 1.5, 2.5, 2.5, 9.0, -4.0, 7.0]
+    df = spark.createDataFrame(list(enumerate(values)), "id bigint, x double")
+    placed = z_order(df, ["x"], bits=3)
+    assert placed.columns == ["id", "x", "_place"]
+    bounds = sorted(set(df.approxQuantile("x", [k / 8 for k in range(1, 8)], QUANTILE_ERROR)))
+    want = {i: 0 if x is None else sum(b <= x or math.isnan(x) for b in bounds) for i, x in enumerate(values)}
+    assert {r["id"]: r["_place"] for r in placed.collect()} == want
+    assert "lambda" not in placed._jdf.queryExecution().optimizedPlan().toString()
+    assert z_order(df.where("x is null"), ["x"], bits=3).first()["_place"] == 0
+
+
 def test_clustered_sink_of_strings_and_of_nothing(spark):
     df = spark.createDataFrame([(1, "b"), (2, None), (3, "é"), (4, "a")], "id long, s string")
     path = write_clustered(df, shared_dir(spark, "t"), ["s", "id"], 2)
