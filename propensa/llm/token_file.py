@@ -38,6 +38,9 @@ from propensa.session import written
 MAGIC = b"EFT2"
 #: A block is closed once it has so many ids or documents.
 BLOCK_IDS, BLOCK_DOCS = 1 << 20, 1 << 14
+#: Words in each of the tokenizer's generations, so that rarer ones are met
+#: again: about 70 MB each, for which there is room beside a block.
+WORDS = 400_000
 
 
 def pack_block(ids: list[bytes], width: int) -> tuple[bytes, int]:
@@ -68,7 +71,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     kind = table.schema["doc_id"].dataType
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(path)
+        tokenizer = word_tokenizer(path, WORDS)
         width = 2 if max(tokenizer.library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], "<u4").tobytes()
         part, block, before = TaskContext.get().partitionId(), 0, 0

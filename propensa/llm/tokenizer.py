@@ -66,7 +66,8 @@ class Generations(dict):
         if value is None:
             value = self.learn(word)
         if len(word) <= CACHED_LENGTH:
-            self.turn()
+            if len(self) >= self.limit:
+                self.turn()
             self[word] = value
         return value
 
@@ -82,7 +83,7 @@ class Generations(dict):
 class WordTokenizer:
     """``encode(texts)``: the ids of each text as little-endian uint32 bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -92,14 +93,17 @@ class WordTokenizer:
         self.lower = any(n["type"] == "Lowercase" for n in (config["normalizer"] or {}).get("normalizers", []))
         self.words = LOWER_WORDS if self.lower else BYTE_WORDS
         self.alphabet = byte_alphabet()
-        self.cache = Generations(self.ids_of)
+        self.tokenize = self.library.model.tokenize
+        self.cache = Generations(self.ids_of, words)
 
     def ids_of(self, word: str) -> bytes:
         if word.isascii() and word.isalnum():
             mapped = word
+        elif word[0] == " " and word.isascii() and word[1:].isalnum():    # most words
+            mapped = self.alphabet[32] + word[1:]
         else:
             mapped = word.encode().decode("latin-1").translate(self.alphabet)
-        return array("I", [t.id for t in self.library.model.tokenize(mapped)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(mapped)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self.encode_one(text) for text in texts]
@@ -112,9 +116,9 @@ class WordTokenizer:
 
 
 @functools.lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
-    """One per Python worker and vocabulary file."""
-    return WordTokenizer(path)
+def word_tokenizer(path: str, words: int = CACHE_WORDS) -> WordTokenizer:
+    """One per Python worker, vocabulary file and size of a generation."""
+    return WordTokenizer(path, words)
 
 
 def release_tokenizer() -> None:

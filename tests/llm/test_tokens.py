@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from propensa.llm import packing, token_count, token_file
 from propensa.llm.elias_fano import EliasFano
-from propensa.llm.tokenizer import word_tokenizer
+from propensa.llm.tokenizer import CACHE_WORDS, WordTokenizer, word_tokenizer
 from tests.llm.data import EDGES, table
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -67,6 +67,20 @@ def test_words_turn_over_generations():
         tokenizer.cache.limit = before
 
 
+def test_size_of_a_generation_is_the_callers():
+    """The token file holds more words than packing; few words of library
+    calls, and never more words than asked for."""
+    text = " ".join(f"wörd{i} x{i} it's, {i}" for i in range(40))
+    small, large = WordTokenizer(BYTE, 5), WordTokenizer(BYTE, 1000)
+    for tokenizer, learned in ((small, True), (large, False)):
+        first, again = tokenizer.encode([text])[0], []
+        tokenizer.cache.learn = lambda word: again.append(word) or tokenizer.ids_of(word)
+        assert first == tokenizer.encode([text])[0] == np.array(ids(BYTE, text), "<u4").tobytes()
+        assert bool(again) == learned
+    assert len(small.cache) <= 5 and len(small.cache.old) <= 5
+    assert token_file.WORDS > CACHE_WORDS
+
+
 def test_token_file_round_trip(spark, monkeypatch):
     monkeypatch.setattr(token_file, "BLOCK_IDS", 50)     # several blocks
     rows = token_file.read_tokens(token_file.write_tokens(table(spark, EDGES), BYTE, 2)).collect()
