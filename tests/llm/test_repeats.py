@@ -1,6 +1,7 @@
 """Suffix arrays, and removal of repeats against a plain count of windows."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -89,6 +90,17 @@ def test_each_window_is_in_one_piece(parts, part):
             assert selected.setdefault(text[i:i + length], (a + o - i, h)) == (a + o - i, h)
 
 
+def test_anchors_take_little_memory():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 110, 2000, dtype=np.uint8).tobytes() for _ in range(600)]
+    texts.append(b"".join(texts))
+    tracemalloc.start()
+    repeats.find_anchors(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+
+
 def test_rows_keep_their_columns(spark):
     rows = passages()
     given_rows = table(spark, rows)
